@@ -1,9 +1,10 @@
 """Exact quantiles that never gather a group.
 
-A mergeable sketch gives each group a pair of values that surely encloses the wanted rank; a second
-pass counts the rows below that bracket and ranks only the distinct values inside it. Both passes
-aggregate before they shuffle, so a group with a third of all rows is no heavier on one task than any
-other. Groups of up to ``whole_below`` rows skip the sketch and are ranked whole.
+A mergeable sketch gives each group, for every wanted rank, a pair of values that surely encloses it.
+A second pass keeps the values inside those brackets and folds all rows between two brackets into one
+count, so only a sliver of each group is ever ranked. Both passes aggregate before they shuffle: a group
+with a third of all rows is no heavier on one task than any other. Groups of up to ``whole_below`` rows,
+where the sketch is too coarse, are ranked whole.
 """
 
 from __future__ import annotations
@@ -24,19 +25,21 @@ def quantiles(
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     keys: Sequence[str] = (),
     accuracy: int = 100_000,
-    whole_below: int = 1_000_000,
+    whole_below: int = 500_000,
 ) -> DataFrame:
     """Linearly interpolated quantiles in long form: keys, variable, prob, value.
 
     NULL and NaN are left out; a group without values yields no row.
     """
     names = [columns] if isinstance(columns, str) else list(columns)
+    wanted = sorted(float(p) for p in probs)
+    key_columns = [quoted(k) for k in keys]
     data = df.select(
-        *[F.col(quoted(k)) for k in keys],
+        *key_columns,
         *[_finite(F.col(quoted(c)).cast("double")).alias(f"_c{i}") for i, c in enumerate(names)],
     )
-    bounds = data.groupBy(*[quoted(k) for k in keys]).agg(
-        *[_bounds(f"_c{i}", probs, accuracy).alias(f"_b{i}") for i in range(len(names))]
+    bounds = data.groupBy(*key_columns).agg(
+        *[_bounds(f"_c{i}", wanted, accuracy).alias(f"_b{i}") for i in range(len(names))]
     )
     if keys:
         wide = attach(data, settle(bounds), keys)
@@ -44,73 +47,82 @@ def quantiles(
         wide = data.withColumn("_bounds", bounds.select(F.struct(*bounds.columns)).scalar())
         wide = wide.select(*data.columns, "_bounds.*")
 
-    cells = [
-        _cell(i, j, whole_below) for i in range(len(names)) for j in range(len(probs))
-    ]
-    hit = F.explode(F.filter(F.array(*cells), lambda cell: cell.isNotNull())).alias("_cell")
-    part = [*[quoted(k) for k in keys], "_i", "_j", "_n"]
+    # One row per value first, then one short expression for all columns: a long one is not compiled.
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("_i"),
+                F.col(f"_c{i}").alias("_x"),
+                F.col(f"_b{i}.n").alias("_n"),
+                F.col(f"_b{i}.cuts").alias("_cuts"),
+            )
+            for i in range(len(names))
+        ]
+    )
+    part = [*key_columns, "_i", "_n"]
+    kept, folded = _fold(len(wanted), whole_below)
     counts = (
-        wide.select(*[quoted(k) for k in keys], hit)
-        .select(*[quoted(k) for k in keys], "_cell.*")
-        .groupBy(*part, "_v")
+        wide.select(*key_columns, F.inline(entries))
+        .where("_x IS NOT NULL")
+        .select(*part, kept.alias("_v"), folded.alias("_folded"))
+        .groupBy(*part, "_v", "_folded")
         .agg(F.count(F.lit(1)).alias("_rows"))
     )
-    # The rows below the bracket carry a NULL value: sorted first, they give the rank to start from.
-    upto = Window.partitionBy(*part).orderBy(F.col("_v").asc_nulls_first())
+    # Rows below the first bracket are folded into NULL, so they are counted first.
+    upto = Window.partitionBy(*part).orderBy(F.col("_v").asc_nulls_first(), "_folded")
     ranked = counts.withColumn("_upto", F.sum("_rows").over(upto))
-    pos = F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j") + 1) * (F.col("_n") - 1)
-    low = F.min(F.when(F.col("_upto") > F.floor(pos), F.col("_v")))
-    high = F.min(F.when(F.col("_upto") > F.ceil(pos), F.col("_v")))
-    found = ranked.groupBy(*part).agg(low.alias("_low"), high.alias("_high"))
-    return found.select(
-        *[quoted(k) for k in keys],
-        F.element_at(F.array(*[F.lit(c) for c in names]), F.col("_i") + 1).alias("variable"),
-        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j") + 1).alias("prob"),
-        (F.col("_low") + (pos - F.floor(pos)) * (F.col("_high") - F.col("_low"))).alias("value"),
+    found = ranked.groupBy(*part).agg(
+        *[_value_at(F.floor(_position(p))).alias(f"_low{j}") for j, p in enumerate(wanted)],
+        *[_value_at(F.ceil(_position(p))).alias(f"_high{j}") for j, p in enumerate(wanted)],
     )
+    results = []
+    for j, p in enumerate(wanted):
+        low, high, pos = F.col(f"_low{j}"), F.col(f"_high{j}"), _position(p)
+        value = low + (pos - F.floor(pos)) * (high - low)
+        results.append(F.struct(F.lit(p).alias("prob"), value.alias("value")))
+    variable = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("_i") + 1)
+    return found.select(*key_columns, variable.alias("variable"), F.inline(F.array(*results)))
 
 
 def _finite(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
+def _position(p: float) -> Column:
+    """Rank of a quantile, counted from zero; a fraction lies between two values."""
+    return F.lit(p) * (F.col("_n") - 1)
+
+
+def _value_at(rank: Column) -> Column:
+    return F.min(F.when((F.col("_upto") > rank) & ~F.col("_folded"), F.col("_v")))
+
+
 def _bounds(column: str, probs: Sequence[float], accuracy: int) -> Column:
     margin = 2.0 / accuracy
     cuts = [cut for p in probs for cut in (max(p - margin, 0.0), min(p + margin, 1.0))]
     return F.struct(
-        F.count(column).alias("n"),
-        F.min(column).alias("lo"),
-        F.max(column).alias("hi"),
-        F.percentile_approx(column, cuts, accuracy).alias("cuts"),
+        F.count(column).alias("n"), F.percentile_approx(column, cuts, accuracy).alias("cuts")
     )
 
 
-def _cell(i: int, j: int, whole_below: int) -> Column:
-    """What one row adds to quantile j of column i: its value, a row below the bracket, or nothing."""
-    value, bound = F.col(f"_c{i}"), F.col(f"_b{i}")
-    whole = bound["n"] <= whole_below
-    low = F.when(whole, bound["lo"]).otherwise(bound["cuts"][2 * j])
-    high = F.when(whole, bound["hi"]).otherwise(bound["cuts"][2 * j + 1])
-    kept = F.struct(
-        F.lit(i).alias("_i"),
-        F.lit(j).alias("_j"),
-        bound["n"].alias("_n"),
-        F.when(value >= low, value).alias("_v"),
-    )
-    return F.when(value <= high, kept)
+def _fold(brackets: int, whole_below: int) -> tuple[Column, Column]:
+    """A value that lies in a bracket, else the end of the bracket before it with the mark ``folded``."""
+    value, cuts = F.col("_x"), F.col("_cuts")
+    whole = F.col("_n") <= whole_below
+    kept, folded = F.when(whole, value), F.when(whole, F.lit(False))
+    for j in reversed(range(brackets)):
+        low, high = cuts[2 * j], cuts[2 * j + 1]
+        kept = kept.when(value >= low, F.least(value, high))
+        folded = folded.when(value >= low, value > high)
+    return kept, folded.otherwise(F.lit(True))
 
 
 def approximate_quantiles(
     df: DataFrame, column: str, probs: Sequence[float], keys: Sequence[str] = (), accuracy: int = 10_000
 ) -> DataFrame:
     """Sketched quantiles in one pass, for when an exact figure is not needed."""
-    found = df.groupBy(*[quoted(k) for k in keys]).agg(
-        F.percentile_approx(quoted(column), list(probs), accuracy).alias("values")
-    )
-    return found.select(
-        *[quoted(k) for k in keys], F.posexplode("values").alias("_j", "value")
-    ).select(
-        *[quoted(k) for k in keys],
-        F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j") + 1).alias("prob"),
-        "value",
-    )
+    wanted = [float(p) for p in probs]
+    key_columns = [quoted(k) for k in keys]
+    found = df.groupBy(*key_columns).agg(F.percentile_approx(quoted(column), wanted, accuracy).alias("_q"))
+    rows = [F.struct(F.lit(p).alias("prob"), F.col("_q")[j].alias("value")) for j, p in enumerate(wanted)]
+    return found.select(*key_columns, F.inline(F.array(*rows)))
