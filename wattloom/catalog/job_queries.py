@@ -65,7 +65,7 @@ EFFICIENCY_SQL = """
     ),
 )
 def x1(t: Tables) -> DataFrame:
-    efficiency = demo.efficiency_by_group(details(t), property_efficiency(t))
+    efficiency = demo.efficiency_by_group(settle(details(t)), property_efficiency(t))
     enriched = tf.enrich_halfhourly(readings(t), households(t), acorn_information(t), tariff(t), efficiency)
     return rounded(enriched, "Efficiency_Value", "Potential_Value", "Difference_Value", digits=4)
 
@@ -80,7 +80,7 @@ def x1(t: Tables) -> DataFrame:
     ),
 )
 def x2(t: Tables) -> DataFrame:
-    return rounded(rounded(demo.demographic_share(details(t)), "Total", digits=4), "Percentage")
+    return rounded(rounded(demo.demographic_share(settle(details(t))), "Total", digits=4), "Percentage")
 
 
 @query(
@@ -93,7 +93,7 @@ def x2(t: Tables) -> DataFrame:
     ),
 )
 def x3(t: Tables) -> DataFrame:
-    return rounded(demo.efficiency_by_group(details(t), property_efficiency(t)), digits=4)
+    return rounded(demo.efficiency_by_group(settle(details(t)), property_efficiency(t)), digits=4)
 
 
 USAGE_SQL = """
@@ -114,7 +114,7 @@ USAGE_VIEWS = ("readings", "households", "acorn_information", "tariff")
     ),
 )
 def x4(t: Tables) -> DataFrame:
-    usage = tf.tariff_slot_usage(readings(t), households(t), acorn_information(t), settle(tariff(t)))
+    usage = tf.tariff_slot_usage(readings(t), households(t), acorn_information(t), tariff(t))
     return rounded(usage, "mean_energy", digits=4)
 
 
@@ -130,7 +130,7 @@ def _slot_pivot_sql(group: str, values: list[str]) -> str:
 
 def _slot_pivot(t: Tables, group: str, values: list[str]) -> DataFrame:
     wide = tf.tariff_slot_pivot(
-        readings(t), households(t), acorn_information(t), settle(tariff(t)), group, values
+        readings(t), households(t), acorn_information(t), tariff(t), group, values
     )
     return rounded(wide, digits=4)
 
@@ -279,8 +279,12 @@ SERIES_COLUMNS = [c for c in lookups.SERIES_FEATURES if c not in ("day_of_week",
     ),
 )
 def x8(t: Tables) -> DataFrame:
-    base = feature_rows(t).select(
-        "LCLid", "day", "energy_sum", "temperatureMax", "temperatureMin", "humidity", "cloudCover"
+    # The feature table is read twice here, once for the windows and once for the fill values.
+    base = settle(
+        feature_rows(t).select(
+            "LCLid", "day", "energy_sum", "temperatureMax", "temperatureMin", "humidity", "cloudCover"
+        ),
+        "features",
     )
     series = feats.household_series_features(base, time=None)
     return rounded(series.select("LCLid", "day", *lookups.SERIES_FEATURES), *SERIES_COLUMNS, digits=4)
@@ -365,7 +369,7 @@ def _actual_vs_potential_sql() -> str:
 @query("x13_actual_vs_potential", _actual_vs_potential_sql())
 def x13(t: Tables) -> DataFrame:
     wide = tf.tariff_slot_pivot(
-        readings(t), households(t), acorn_information(t), settle(tariff(t)), "Acorn", RATIO_GROUPS
+        readings(t), households(t), acorn_information(t), tariff(t), "Acorn", RATIO_GROUPS
     )
     both = tf.potential_use(wide, property_efficiency(t), property_types(t), "rank", RATIO_GROUPS)
     return rounded(tf.actual_vs_potential(both, RATIO_GROUPS), digits=4)

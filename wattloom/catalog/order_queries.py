@@ -53,14 +53,14 @@ def l5(t: Tables) -> DataFrame:
 
 @query(
     "l6_batches",
-    """SELECT o_orderkey, CAST(o_orderkey % 16 AS INTEGER) AS shard,
-              CAST(floor((row_number() OVER (PARTITION BY o_orderkey % 16 ORDER BY o_orderkey) - 1) / 100.0)
-                   AS INTEGER) AS batch
-       FROM orders""",
+    """SELECT o_orderkey, shard,
+              CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY o_orderkey) - 1) / 100.0) AS INTEGER) AS batch
+       FROM (SELECT o_orderkey, CAST(((o_orderkey % 1000003) * 7919 + 42)
+                                     % (SELECT CAST(ceil(count(*) / 1000.0) AS BIGINT) FROM orders) AS INTEGER) AS shard
+             FROM orders)""",
 )
 def l6(t: Tables) -> DataFrame:
-    shard = F.pmod("o_orderkey", F.lit(16)).cast("int")
-    return od.batches(t.orders.select("o_orderkey"), ["o_orderkey"], 100, shard)
+    return od.batches(t.orders.select("o_orderkey"), "o_orderkey", 100, shard_rows=1000)
 
 
 @query(

@@ -75,9 +75,10 @@ def acorn_information(t: Tables) -> DataFrame:
 
 def tariff(t: Tables) -> DataFrame:
     """Priced slots: the slots seen and the same slots 40 days on, every seventh one missing."""
-    seen = t.events.select(half_hour("ts").alias("TariffDateTime")).distinct()
-    later = seen.select((F.col("TariffDateTime") + F.expr("INTERVAL 40 DAYS")).alias("TariffDateTime"))
-    slots = seen.union(later).distinct().where(slot_number("TariffDateTime") % 7 != 3)
+    slot = t.events.select(half_hour("ts").alias("_slot"))
+    both = F.array(F.col("_slot"), F.col("_slot") + F.expr("INTERVAL 40 DAYS"))
+    slots = slot.select(F.explode(both).alias("TariffDateTime")).distinct()
+    slots = slots.where(slot_number("TariffDateTime") % 7 != 3)
     hour = F.hour("TariffDateTime")
     return slots.select(
         "TariffDateTime",
@@ -138,16 +139,9 @@ def daily(t: Tables) -> DataFrame:
 
 def weather(t: Tables) -> DataFrame:
     """Daily weather: line items by shipping date, with gaps and text times."""
-    day = F.to_date("l_shipdate")
-    rows = t.lineitem.groupBy(day.alias("d")).agg(
-        F.max(F.col("l_quantity") - 20.0).alias("temperatureMax"),
-        F.min(F.col("l_quantity") - 20.0).alias("temperatureMin"),
-        F.max(F.col("l_quantity") - 21.0).alias("temperatureHigh"),
-        F.min(F.col("l_quantity") - 19.0).alias("temperatureLow"),
-        F.max(F.col("l_quantity") - 23.0).alias("apparentTemperatureMax"),
-        F.min(F.col("l_quantity") - 22.0).alias("apparentTemperatureMin"),
-        F.max(F.col("l_quantity") - 24.0).alias("apparentTemperatureHigh"),
-        F.min(F.col("l_quantity") - 25.0).alias("apparentTemperatureLow"),
+    rows = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(
+        F.max("l_quantity").alias("qmax"),
+        F.min("l_quantity").alias("qmin"),
         F.avg("l_discount").alias("humidity"),
         F.avg("l_tax").alias("cloud"),
         F.max("l_linenumber").alias("uv"),
@@ -164,9 +158,15 @@ def weather(t: Tables) -> DataFrame:
         F.concat(F.date_format("d", "dd/MM/yyyy "), F.when(F.col("n") % 2 == 0, "18:45").otherwise("20:05"))
         .alias("sunsetTime"),
         F.when(F.col("n") % 3 == 0, at(" 12:00")).alias("uvIndexTime"),
-        "temperatureMax", "temperatureMin", "temperatureHigh", "temperatureLow",
-        "apparentTemperatureMax", "apparentTemperatureMin", "apparentTemperatureHigh",
-        "apparentTemperatureLow", "humidity",
+        (F.col("qmax") - 20.0).alias("temperatureMax"),
+        (F.col("qmin") - 20.0).alias("temperatureMin"),
+        (F.col("qmax") - 21.0).alias("temperatureHigh"),
+        (F.col("qmin") - 19.0).alias("temperatureLow"),
+        (F.col("qmax") - 23.0).alias("apparentTemperatureMax"),
+        (F.col("qmin") - 22.0).alias("apparentTemperatureMin"),
+        (F.col("qmax") - 24.0).alias("apparentTemperatureHigh"),
+        (F.col("qmin") - 25.0).alias("apparentTemperatureLow"),
+        "humidity",
         F.when(F.dayofmonth("d") != 11, F.col("cloud")).alias("cloudCover"),
         F.when(F.dayofmonth("d") != 12, F.col("uv").cast("double")).alias("uvIndex"),
         F.when(F.dayofmonth("d") != 13, F.col("pressure")).alias("pressure"),

@@ -13,6 +13,7 @@ from wattloom.operators import windows as win
 from wattloom.operators.columns import unpivot
 from wattloom.plans.demographics import DETAIL_KEYS
 from wattloom.schemas import ACORN_CODES
+from wattloom.shared import settle
 
 
 def by_day(t: Tables, features: dict[str, win.Feature]) -> DataFrame:
@@ -56,7 +57,7 @@ def over_events(fn: str, n: int) -> str:
     ),
 )
 def w1(t: Tables) -> DataFrame:
-    long = unpivot(details(t), DETAIL_KEYS, ACORN_CODES)
+    long = unpivot(settle(details(t)), DETAIL_KEYS, ACORN_CODES)
     shares = win.share_of_group(long, ["MAIN CATEGORIES", "CATEGORIES", "Acorn"], "Value")
     return rounded(rounded(shares, "Total", digits=4), "Percentage")
 

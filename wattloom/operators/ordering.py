@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -39,15 +40,17 @@ def order_by_list(df: DataFrame, column: str, values: Sequence[object]) -> DataF
     return joined.select(column, *[F.col(quoted(c)) for c in rest])
 
 
-def batches(df: DataFrame, order: Sequence[str], size: int, shard: Column, name: str = "batch") -> DataFrame:
-    """Number disjoint slices of at most ``size`` rows inside each shard.
+def batches(df: DataFrame, key: str, size: int, shard_rows: int = 1_000_000) -> DataFrame:
+    """Number disjoint slices of at most ``size`` rows: adds the columns shard and batch.
 
-    ``shard`` is an expression that spreads the rows (a hash of the key); every slice of a shard is full
-    except its last, and no task sorts more than one shard.
+    Rows are spread by their (unique) key over as many shards as their number asks for, and each shard
+    is cut into slices in key order; all slices of a shard are full except its last. Counts the rows.
     """
-    spec = Window.partitionBy("shard").orderBy(*order)
-    numbered = df.withColumn("shard", shard).withColumn("_n", F.row_number().over(spec))
-    return numbered.withColumn(name, F.floor((F.col("_n") - 1) / F.lit(size)).cast("int")).drop("_n")
+    shards = max(1, math.ceil(df.count() / shard_rows))
+    spec = Window.partitionBy("shard").orderBy(F.col(quoted(key)))
+    numbered = df.withColumn("shard", (_mixed(df, key, 42) % F.lit(shards)).cast("int"))
+    number = F.row_number().over(spec) - 1
+    return numbered.withColumn("batch", F.floor(number / F.lit(size)).cast("int"))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
@@ -62,12 +65,15 @@ def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def split_fraction(df: DataFrame, key: str, seed: int = 42) -> Column:
     """A number in [0, 1) fixed by the key alone, in thousandths."""
-    prime = 1_000_003
+    return (_mixed(df, key, seed) % F.lit(1000)) / F.lit(1000.0)
+
+
+def _mixed(df: DataFrame, key: str, seed: int) -> Column:
+    """A well-spread non-negative number made from a key; 0 for NULL."""
     value = F.col(quoted(key))
     if not isinstance(df.schema[key].dataType, IntegralType):
         value = F.xxhash64(value)
-    mixed = (F.pmod(value.cast("bigint"), F.lit(prime)) * F.lit(7919) + F.lit(seed)) % F.lit(1000)
-    return F.coalesce(mixed, F.lit(0)) / F.lit(1000.0)
+    return F.coalesce(F.pmod(value.cast("bigint"), F.lit(1_000_003)) * F.lit(7919) + F.lit(seed), F.lit(0))
 
 
 def split(df: DataFrame, weights: Sequence[float], key: str, seed: int = 42) -> list[DataFrame]:

@@ -37,6 +37,7 @@ from wattloom.operators.windows import (
     trend,
     window_features,
 )
+from wattloom.shared import settle
 from wattloom.sources.readers import read_csv_dir, read_halfhourly
 
 STAMP = "dd/MM/yyyy HH:mm"
@@ -65,7 +66,8 @@ def daily_weather_features(daily: DataFrame, weather: DataFrame, bank_holidays:
     Weather gaps are filled over the weather table itself before the join; days that still miss a value
     are dropped, which also drops days without weather, so the join is an inner one.
     """
-    filled = fill_const(fill_mean(weather, "cloudCover"), {"uvIndex": 0.0})
+    days = settle(weather)
+    filled = fill_const(fill_mean(days, "cloudCover"), {"uvIndex": 0.0})
     dated = filled.withColumn("date", to_day(parse_ts("time", STAMP))).drop("uvIndexTime")
     use = daily.withColumn("day", parse_mixed_date(F.col("day").cast("string")))
     rows = drop_null_any(use.join(dated, F.col("day") == F.col("date"), "inner"))
@@ -182,7 +184,7 @@ def smoothed_weather(
     ),
 ) -> DataFrame:
     """Every household's days joined to the weather, with n-row means that wait for n values."""
-    joined = inner_join(daily, weather, on)
+    joined = inner_join(daily, settle(weather), on)
     return window_features(
         joined, [entity], [on], {name: rolling_mean_full(c, n) for c, name in columns}
     )

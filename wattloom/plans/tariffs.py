@@ -69,7 +69,7 @@ def household_readings(
     readings: DataFrame, households: DataFrame, acorn_information: DataFrame, tariff: DataFrame
 ) -> DataFrame:
     """Readings whose instant has a tariff, with household and category."""
-    priced = keep_matching(drop_null(readings, "energy"), settle(tariff), "tstp", "TariffDateTime")
+    priced = keep_matching(drop_null(readings, "energy"), tariff, "tstp", "TariffDateTime")
     return star_join(
         priced, [(households.drop("file"), "LCLid"), (acorn_information.select("Acorn", "Acorn Category"), "Acorn")]
     )
@@ -79,10 +79,18 @@ def tariff_slot_usage(
     readings: DataFrame, households: DataFrame, acorn_information: DataFrame, tariff: DataFrame
 ) -> DataFrame:
     """Mean use per slot and household, shown along every tariff slot."""
-    rows = household_readings(readings, households, acorn_information, tariff)
-    keys = ["tstp", "LCLid", "Acorn", "Acorn_grouped", "Acorn Category", "stdorToU"]
-    means = group_mean(rows, keys, "energy", "mean_energy")
-    return left_from_dense(tariff, means, "TariffDateTime", "tstp")
+    slots = settle(tariff)
+    priced = keep_matching(drop_null(readings, "energy"), slots, "tstp", "TariffDateTime")
+    means = group_mean(priced, ["tstp", "LCLid"], "energy", "mean_energy")
+    # The group columns depend on the household alone, so they are joined to the means, not the readings.
+    described = star_join(
+        means,
+        [
+            (households.select("LCLid", "Acorn", "Acorn_grouped", "stdorToU").distinct(), "LCLid"),
+            (acorn_information.select("Acorn", "Acorn Category").distinct(), "Acorn"),
+        ],
+    ).select("tstp", "LCLid", "Acorn", "Acorn_grouped", "`Acorn Category`", "stdorToU", "mean_energy")
+    return left_from_dense(slots, described, "TariffDateTime", "tstp")
 
 
 def tariff_slot_pivot(
@@ -94,9 +102,10 @@ def tariff_slot_pivot(
     values: Sequence[str],
 ) -> DataFrame:
     """Mean use per tariff slot, one column per value of a household group."""
-    rows = household_readings(readings, households, acorn_information, tariff)
+    slots = settle(tariff)
+    rows = household_readings(readings, households, acorn_information, slots)
     wide = pivot_mean(rows, "tstp", group, "energy", values)
-    dense = left_from_dense(tariff, wide, "TariffDateTime", "tstp").drop("tstp")
+    dense = left_from_dense(slots, wide, "TariffDateTime", "tstp").drop("tstp")
     return dense.withColumnRenamed("TariffDateTime", "Datetime")
 
 
@@ -133,14 +142,19 @@ def time_of_day_profiles(
 ) -> DataFrame:
     """The profiles of several groupings in one pass: grouping, time_of_day, group, energy.
 
-    Readings are summed once per time of day and demographic code; every grouping is a roll-up of that
-    small table. Codes without an entry in a grouping are left out of it.
+    Readings are summed per household and time of day before the household join, then per demographic
+    code; every grouping is a roll-up of that small table. Codes without an entry in a grouping are left
+    out of it.
     """
     period = time_range(readings, "tstp", start, end)
-    joined = inner_join(period, households.select("LCLid", "Acorn"), "LCLid")
-    base = joined.groupBy(time_of_day("tstp").alias("time_of_day"), "Acorn").agg(
+    sums = period.groupBy("LCLid", time_of_day("tstp").alias("time_of_day")).agg(
         F.sum("energy").alias("_sum"), F.count("energy").alias("_count")
     )
+    base = (
+        inner_join(sums, households.select("LCLid", "Acorn"), "LCLid")
+        .groupBy("time_of_day", "Acorn")
+        .agg(F.sum("_sum").alias("_sum"), F.sum("_count").alias("_count"))
+    )
     labels = [F.struct(F.lit(g).alias("grouping"), _group_label(g).alias("group")) for g in groupings]
     spread = base.select("time_of_day", "_sum", "_count", F.inline(F.array(*labels)))
     return (
@@ -179,8 +193,9 @@ def potential_use(
 def actual_vs_potential(with_potential: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Hourly actual, potential and difference per group, with the quartiles of the actual use.
 
-    Means, potentials and groups come from one pass over the wide table.
+    Means, potentials and groups come from one pass over the wide table, the quartiles from another.
     """
+    with_potential = settle(with_potential)
     pairs = F.array(
         *[
             F.struct(

@@ -42,11 +42,9 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimised plan; starts no job."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-        return int(plan.stats().sizeInBytes().toString())
-    except AttributeError:  # a remote session has no plan object to ask
+    if not hasattr(df, "_jdf"):  # a remote session has no plan object to ask
         return None
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def broadcast_limit(spark: SparkSession) -> int:
