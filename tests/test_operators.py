@@ -220,22 +220,22 @@ def test_describe_and_boxes_match_pandas(table):
     assert box["x"].outliers == len(frame) - len(inside) and box["y"].outliers == 0
 
 
-@pytest.mark.parametrize("whole_below,accuracy", [(10**6, 100_000), (0, 100), (0, 1000)])
-def test_quantiles_match_pandas(table, whole_below, accuracy):
-    random.seed(accuracy)
-    rows = [("hot", random.expovariate(1.0)) for _ in range(4000)]
+@pytest.mark.parametrize("buckets,levels", [(1024, 2), (3, 3), (1, 1), (8, 0), (1024, None)])
+def test_quantiles_match_pandas(table, buckets, levels):
+    random.seed(buckets)
+    rows = [("hot", random.choice([-1, 1]) * random.expovariate(1.0) ** 9) for _ in range(4000)]
     rows += [("hot", 0.5)] * 1500 + [("small", float(i)) for i in range(2500)] + [(None, 2.0)] * 2100
     rows += [("hot", None), ("hot", float("nan")), ("empty", None)]
     df = table("g STRING, v DOUBLE", *rows).repartition(5)
     probs = (0.01, 0.25, 0.5, 0.75, 0.999)
-    got = quantiles(df, "v", probs, ["g"], accuracy=accuracy, whole_below=whole_below).collect()
+    got = quantiles(df, "v", probs, ["g"], buckets=buckets, levels=levels).collect()
     frame = pd.DataFrame(rows, columns=["g", "v"])
     frame["g"] = frame["g"].fillna("-")
     want = frame.dropna().groupby("g")["v"].quantile(list(probs))
     assert len(got) == 15
     for r in got:
         assert r.value == pytest.approx(want[(r.g or "-", r.prob)], abs=1e-12)
-    overall = quantiles(df, "v", probs, accuracy=accuracy, whole_below=whole_below).collect()
+    overall = quantiles(df, "v", probs, buckets=buckets, levels=levels).collect()
     assert {r.prob: pytest.approx(r.value) for r in overall} == dict(frame.dropna()["v"].quantile(list(probs)))
 
 
@@ -298,8 +298,8 @@ def test_partial_and_full_frames(table):
     assert [r.full for r in got][:13] == [None] * 13 and [r.full for r in got][13:] == [6.5, 7.5]
 
 
-@pytest.mark.parametrize("width", [1, 3, 40])
-def test_chunked_windows_equal_whole_ones(table, width):
+@pytest.mark.parametrize("width,long_series", [(1, 0), (3, 10), (40, 100), (3, 1000)])
+def test_chunked_windows_equal_whole_ones(table, width, long_series):
     random.seed(width)
     rows = []
     for k, n in (("hot", 300), ("cold", 4), (None, 20)):
@@ -314,7 +314,8 @@ def test_chunked_windows_equal_whole_ones(table, width):
     }
     whole = wn.window_features(df, ["k"], ["day", "id"], features)
     cut = wn.window_features(
-        df, ["k"], ["day", "id"], features, chunk=F.floor(F.col("day") / F.lit(width)), lookback=8
+        df, ["k"], ["day", "id"], features, chunk=F.floor(F.col("day") / F.lit(width)), lookback=8,
+        long_series=long_series,
     )
     assert cut.columns == whole.columns
 

@@ -185,7 +185,7 @@ def test_household_series(table):
     a = whole[("a", days[39])]
     assert a.rolling_energy_30d == sum(range(10, 40)) and a.lag_7_day == 32.0
     assert a.energy_trend_3d == (37 + 38 + 39) - 38 and a.daily_energy_change == pytest.approx(-1 / 39)
-    chunked = feats.household_series_features(df, time=None, chunk=F.trunc("day", "month"))
+    chunked = feats.household_series_features(df, time=None, chunk=F.trunc("day", "month"), long_series=5)
     columns = ["LCLid", "day", *lookups.SERIES_FEATURES]
     assert values(chunked.select(columns)) == values(got.select(columns))
 

@@ -157,7 +157,7 @@ def x5_category(t: Tables) -> DataFrame:
 
 def _as_blocks(df: DataFrame, label: str) -> str:
     path = scratch_path(df.sparkSession, label)
-    df.repartition(4).write.option("header", True).csv(path)
+    df.write.option("header", True).csv(path)
     return path
 
 

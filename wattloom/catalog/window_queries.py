@@ -23,10 +23,10 @@ def by_day(t: Tables, features: dict[str, win.Feature]) -> DataFrame:
 
 
 def by_event(t: Tables, features: dict[str, win.Feature], lookback: int) -> DataFrame:
-    """Windows over a household's single events, cut into days so that no task holds a whole series."""
+    """Windows over a household's single events; long series are cut into hours."""
     rows = t.events.select("user_id", "ts", "event_id", "value")
     found = win.window_features(
-        rows, ["user_id"], ["ts", "event_id"], features, chunk=F.to_date("ts"), lookback=lookback
+        rows, ["user_id"], ["ts", "event_id"], features, chunk=F.date_trunc("hour", "ts"), lookback=lookback
     )
     return rounded(found, digits=4)
 
@@ -155,6 +155,6 @@ def w7(t: Tables) -> DataFrame:
     rows = t.events.select("user_id", "ts", "event_id", to_numeric(text).alias("rain"))
     found = win.window_features(
         rows, ["user_id"], ["ts", "event_id"], {"rain_7": win.rolling_sum("rain", 7)},
-        chunk=F.to_date("ts"), lookback=6,
+        chunk=F.to_date("ts"), lookback=6, long_series=50,  # low enough for the check to cut series
     )
     return found.select("user_id", "ts", "event_id", r(F.coalesce("rain_7", F.lit(0.0)), 4).alias("rain_7"))

@@ -1,22 +1,24 @@
 """Exact quantiles that never gather a group.
 
-A mergeable sketch gives each group, for every wanted rank, a pair of values that surely encloses it.
-A second pass keeps the values inside those brackets and folds all rows between two brackets into one
-count, so only a sliver of each group is ever ranked. Both passes aggregate before they shuffle: a group
-with a third of all rows is no heavier on one task than any other. Groups of up to ``whole_below`` rows,
-where the sketch is too coarse, are ranked whole.
+Each wanted rank is closed in on by counting: the range of a group is cut into equal buckets, the bucket
+that holds the rank becomes the new range, and the step is repeated until only a sliver is left, whose
+distinct values are ranked. A step is one scan of the columns with a partial count per bucket in each
+task, so what is shuffled depends on the number of buckets and not on the rows, and a group with a third
+of all rows is no heavier on one task than any other.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wattloom.functions.values import ratio
 from wattloom.operators.columns import quoted
 from wattloom.operators.joins import attach
-from wattloom.shared import settle
+from wattloom.shared import estimated_bytes, settle
 
 
 def quantiles(
@@ -24,97 +26,139 @@ def quantiles(
     columns: str | Sequence[str],
     probs: Sequence[float] = (0.25, 0.5, 0.75),
     keys: Sequence[str] = (),
-    accuracy: int = 100_000,
-    whole_below: int = 500_000,
+    buckets: int = 1024,
+    levels: int | None = None,
 ) -> DataFrame:
     """Linearly interpolated quantiles in long form: keys, variable, prob, value.
 
-    NULL and NaN are left out; a group without values yields no row.
+    NULL and NaN are left out; a group without values yields no row. ``levels`` counting steps leave about
+    one row in ``buckets ** levels`` to be ranked; every step is a scan of the named columns. By default
+    their number follows from the size estimate of the table.
     """
+    levels = _levels(df, buckets) if levels is None else levels
     names = [columns] if isinstance(columns, str) else list(columns)
-    wanted = sorted(float(p) for p in probs)
+    wanted = [float(p) for p in probs]
     key_columns = [quoted(k) for k in keys]
     data = df.select(
         *key_columns,
         *[_finite(F.col(quoted(c)).cast("double")).alias(f"_c{i}") for i, c in enumerate(names)],
     )
-    bounds = data.groupBy(*key_columns).agg(
-        *[_bounds(f"_c{i}", wanted, accuracy).alias(f"_b{i}") for i in range(len(names))]
+    # A quantile lies between two neighbouring ranks, counted from zero.
+    ranks = [r for p in wanted for r in (F.floor(_position(p)), F.ceil(_position(p)))]
+    state = data.groupBy(*key_columns).agg(
+        *[_whole_range(f"_c{i}", len(ranks)).alias(f"_b{i}") for i in range(len(names))]
     )
-    if keys:
-        wide = attach(data, settle(bounds), keys)
-    else:
-        wide = data.withColumn("_bounds", bounds.select(F.struct(*bounds.columns)).scalar())
-        wide = wide.select(*data.columns, "_bounds.*")
+    scales = [_logarithmic, *[_linear] * (levels - 1)][:levels]
+    for bucket in [*[_cut(scale, buckets) for scale in scales], lambda x, lo, hi: x]:
+        found = _narrow(data, state, keys, len(names), ranks, bucket)
+        state = found.groupBy(*key_columns).agg(
+            *[
+                F.max(F.when(F.col("_i") == i, F.struct("_n", "_ranges"))).alias(f"_b{i}")
+                for i in range(len(names))
+            ]
+        )
 
-    # One row per value first, then one short expression for all columns: a long one is not compiled.
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("_i"),
-                F.col(f"_c{i}").alias("_x"),
-                F.col(f"_b{i}.n").alias("_n"),
-                F.col(f"_b{i}.cuts").alias("_cuts"),
-            )
-            for i in range(len(names))
-        ]
-    )
-    part = [*key_columns, "_i", "_n"]
-    kept, folded = _fold(len(wanted), whole_below)
-    counts = (
-        wide.select(*key_columns, F.inline(entries))
-        .where("_x IS NOT NULL")
-        .select(*part, kept.alias("_v"), folded.alias("_folded"))
-        .groupBy(*part, "_v", "_folded")
-        .agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    # Rows below the first bracket are folded into NULL, so they are counted first.
-    upto = Window.partitionBy(*part).orderBy(F.col("_v").asc_nulls_first(), "_folded")
-    ranked = counts.withColumn("_upto", F.sum("_rows").over(upto))
-    found = ranked.groupBy(*part).agg(
-        *[_value_at(F.floor(_position(p))).alias(f"_low{j}") for j, p in enumerate(wanted)],
-        *[_value_at(F.ceil(_position(p))).alias(f"_high{j}") for j, p in enumerate(wanted)],
-    )
     results = []
     for j, p in enumerate(wanted):
-        low, high, pos = F.col(f"_low{j}"), F.col(f"_high{j}"), _position(p)
+        low, high = F.col("_ranges")[2 * j]["lo"], F.col("_ranges")[2 * j + 1]["lo"]
+        pos = _position(p)
         value = low + (pos - F.floor(pos)) * (high - low)
         results.append(F.struct(F.lit(p).alias("prob"), value.alias("value")))
     variable = F.element_at(F.array(*[F.lit(c) for c in names]), F.col("_i") + 1)
     return found.select(*key_columns, variable.alias("variable"), F.inline(F.array(*results)))
 
 
+Bucket = Callable[[Column, Column, Column], Column]
+
+
+def _levels(df: DataFrame, buckets: int, sliver: int = 1_000_000) -> int:
+    """Counting steps that leave about ``sliver`` rows, taking a row to need at least one byte."""
+    size = estimated_bytes(df)
+    if size is None:
+        return 3
+    return min(3, max(0, math.ceil(math.log(max(size, 1) / sliver, buckets))))
+
+
 def _finite(c: Column) -> Column:
     return F.when(~F.isnan(c), c)
 
 
 def _position(p: float) -> Column:
-    """Rank of a quantile, counted from zero; a fraction lies between two values."""
     return F.lit(p) * (F.col("_n") - 1)
 
 
-def _value_at(rank: Column) -> Column:
-    return F.min(F.when((F.col("_upto") > rank) & ~F.col("_folded"), F.col("_v")))
+def _whole_range(column: str, ranks: int) -> Column:
+    whole = F.struct(
+        F.min(column).alias("lo"), F.max(column).alias("hi"), F.lit(0).cast("bigint").alias("below")
+    )
+    return F.struct(F.count(column).alias("_n"), F.array_repeat(whole, ranks).alias("_ranges"))
 
 
-def _bounds(column: str, probs: Sequence[float], accuracy: int) -> Column:
-    margin = 2.0 / accuracy
-    cuts = [cut for p in probs for cut in (max(p - margin, 0.0), min(p + margin, 1.0))]
-    return F.struct(
-        F.count(column).alias("n"), F.percentile_approx(column, cuts, accuracy).alias("cuts")
-    )
+def _linear(x: Column) -> Column:
+    return x
 
 
-def _fold(brackets: int, whole_below: int) -> tuple[Column, Column]:
-    """A value that lies in a bracket, else the end of the bracket before it with the mark ``folded``."""
-    value, cuts = F.col("_x"), F.col("_cuts")
-    whole = F.col("_n") <= whole_below
-    kept, folded = F.when(whole, value), F.when(whole, F.lit(False))
-    for j in reversed(range(brackets)):
-        low, high = cuts[2 * j], cuts[2 * j + 1]
-        kept = kept.when(value >= low, F.least(value, high))
-        folded = folded.when(value >= low, value > high)
-    return kept, folded.otherwise(F.lit(True))
+def _logarithmic(x: Column) -> Column:
+    """Spreads out values that crowd near zero beside a few very large ones."""
+    return F.signum(x) * F.log1p(F.abs(x))
+
+
+def _cut(scale: Callable[[Column], Column], buckets: int) -> Bucket:
+    """Equal buckets between the ends of a range; they follow the order of the values."""
+
+    def bucket(x: Column, lo: Column, hi: Column) -> Column:
+        share = F.coalesce(ratio(scale(x) - scale(lo), scale(hi) - scale(lo)), F.lit(0.0))
+        return F.least(F.floor(share * F.lit(float(buckets))), F.lit(buckets - 1).cast("bigint"))
+
+    return bucket
+
+
+def _narrow(
+    data: DataFrame, state: DataFrame, keys: Sequence[str], columns: int, ranks: Sequence[Column], bucket: Bucket
+) -> DataFrame:
+    """For each rank the bucket that holds it, as its smallest and largest value and the rows below it."""
+    key_columns = [quoted(k) for k in keys]
+    if keys:
+        wide = attach(data, settle(state), keys)
+    else:
+        wide = data.withColumn("_state", state.select(F.struct(*state.columns)).scalar())
+        wide = wide.select(*data.columns, "_state.*")
+    # One row per value first, then one short expression for all columns: a long one is not compiled.
+    entries = [
+        F.struct(
+            F.lit(i).alias("_i"),
+            F.col(f"_c{i}").alias("_x"),
+            F.col(f"_b{i}._n").alias("_n"),
+            F.col(f"_b{i}._ranges").alias("_in"),
+        )
+        for i in range(columns)
+    ]
+    # Ranges of different ranks are the same or apart, so the first that fits is the only one.
+    value, ranges = F.col("_x"), F.col("_in")
+    which = F
+    for j in range(len(ranks)):
+        which = which.when((value >= ranges[j]["lo"]) & (value <= ranges[j]["hi"]), F.lit(j))
+    part = [*key_columns, "_i", "_range"]
+    counts = (
+        wide.select(*key_columns, F.inline(F.array(*entries)))
+        .where("_x IS NOT NULL")
+        .select(*key_columns, "_i", "_n", "_x", "_in", which.alias("_range"))
+        .where("_range IS NOT NULL")
+        .select(*part, "_n", "_x", ranges[F.col("_range")].alias("_r"))
+        .groupBy(*part, bucket(value, F.col("_r.lo"), F.col("_r.hi")).alias("_bucket"))
+        .agg(
+            F.count(F.lit(1)).alias("_rows"),
+            F.min("_x").alias("_lo"),
+            F.max("_x").alias("_hi"),
+            F.max("_r.below").alias("_start"),
+            F.max("_n").alias("_n"),
+        )
+    )
+    upto = F.col("_start") + F.sum("_rows").over(Window.partitionBy(*part).orderBy("_bucket"))
+    placed = counts.withColumn("_upto", upto).withColumn("_below", F.col("_upto") - F.col("_rows"))
+    here = F.struct(F.col("_lo").alias("lo"), F.col("_hi").alias("hi"), F.col("_below").alias("below"))
+    chosen = [F.max(F.when((F.col("_below") <= r) & (F.col("_upto") > r), here)) for r in ranks]
+    return placed.groupBy(*key_columns, "_i", "_n").agg(F.array(*chosen).alias("_ranges"))
 
 
 def approximate_quantiles(

@@ -105,11 +105,12 @@ def household_series_features(
     energy: str = "energy_sum",
     time: str | None = "time",
     chunk: Column | None = None,
+    long_series: int = 1_000_000,
 ) -> DataFrame:
     """Lags, rolling sums and trends of each household's daily use, with gaps filled.
 
     Windows count rows. All of them share one sort; a household has one row per day, so a series is
-    bounded by the calendar (pass ``chunk``, the year of ``day`` say, to split it further). Rows without
+    bounded by the calendar (pass ``chunk``, the year of ``day`` say, to cut a longer one). Rows without
     a figure take part in the windows and are dropped afterwards.
     """
     typed = rows.withColumn(time, F.col(time).try_cast("timestamp_ntz")) if time else rows
@@ -130,6 +131,7 @@ def household_series_features(
         },
         chunk=chunk,
         lookback=29,
+        long_series=long_series,
     )
     derived = series.withColumns(
         {
