@@ -8,31 +8,15 @@ one does not, so ``settle`` writes such a table out once and reads it back with
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_scratch: dict[str, str] = {}
-
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temp folder only for local masters."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="wattloom-")
-    return _local_scratch[app]
-
-
-def has_scratch(spark: SparkSession) -> bool:
-    """Whether there is a folder that tables may be written to on the way."""
+    """The shared folder named by ``spark.checkpoint.dir``; where that is unset, a folder in the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return bool(configured) or spark.sparkContext.master.startswith("local")
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
@@ -75,6 +59,6 @@ def settle(df: DataFrame, label: str = "dimension") -> DataFrame:
     """
     spark, size = df.sparkSession, estimated_bytes(df)
     limit = broadcast_limit(spark) if size is not None else -1
-    if size is None or limit < 0 or size <= limit or not has_scratch(spark):
+    if size is None or limit < 0 or size <= limit:
         return df
     return materialize(df, label)
