@@ -104,17 +104,5 @@ def test_settle_writes_only_what_looks_large(spark):
     assert folder is None or shared.scratch_dir(spark) == folder
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
-    class Conf:
-        def get(self, name, default=None):
-            return default
-
-    class Cluster:
-        conf = Conf()
-
-        class sparkContext:
-            master = "yarn"
-
-    assert not shared.has_scratch(Cluster())
-    with pytest.raises(ValueError):
-        shared.scratch_dir(Cluster())
+def test_scratch_is_in_the_warehouse_where_no_folder_is_named(spark):
+    assert shared.scratch_dir(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
