@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import line_dedup, mixing, quality_rules, warc
+from wattloom.llm import jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, warc
 from wattloom.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,12 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
     return cut.select("doc_id", "n_lines", "n_dropped", "kept_sha256")
 
 
+@query("op2_jaccard_join")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    groups = jaccard_join.near_duplicates(_table(spark, folder, "documents"), words=4, percent=85)
+    return groups.withColumnRenamed("id", "doc_id")
+
+
 MIXING_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
@@ -91,6 +97,12 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    scored = quality_classifier.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+    return scored.withColumnRenamed("id", "doc_id")
+
+
 @query("op9_quality_rules")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
