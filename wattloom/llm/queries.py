@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, warc
+from wattloom.llm import decontamination, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, warc
 from wattloom.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,6 +60,11 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return groups.withColumnRenamed("id", "doc_id")
 
 
+@query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return decontamination.found(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
 MIXING_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size FROM documents
