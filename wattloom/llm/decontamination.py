@@ -246,3 +246,20 @@ def found(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall:
         matches = narrow.mapInArrow(run, FOUND)
         result = matches if result is None else result.unionAll(matches)
     return spark.createDataFrame([], FOUND) if result is None else result
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, max_edits: float = 0.2, recall: float = 0.9, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in which no item is found, with their columns."""
+    spark, columns = docs.sparkSession, docs.columns
+    for items in item_blocks(benchmark):
+        sent = spark.sparkContext.broadcast(build_block(items, max_edits, recall))
+
+        def run(parts: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            block = sent.value
+            for rows, cut in slices(parts, text):
+                clean = np.ones(cut.rows, bool)
+                clean[[g[0] for g in search(cut, block, max_edits)]] = False
+                yield pa.RecordBatch.from_arrays(rows.filter(pa.array(clean)).columns, columns)
+
+        docs = docs.mapInArrow(run, docs.schema)
+    return docs

@@ -319,3 +319,13 @@ def _across(members: DataFrame, star: DataFrame, labels: DataFrame, sizes: DataF
         & (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & (other * (100 + percent) <= size * (100 - percent))
     )
     return pairs.select(F.least("name", "name_1").alias("a"), F.greatest("name", "name_1").alias("b")).distinct()
+
+
+def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of ``docs`` that have the smallest id of their component; rows that share an id are one document.
+
+    Rows without an id stay. Only the ids that go are joined to the texts, so few of them need no shuffle of texts.
+    """
+    groups = near_duplicates(docs, words, percent)
+    gone = stored(groups.where(F.col("component_id") != F.col("id")).select(F.col("id").alias("_gone")).distinct(), "duplicates")
+    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")

@@ -172,3 +172,10 @@ def _cut(docs: DataFrame, hits: DataFrame, min_key: int, id_column: str, text: s
     for name, kind in zip(added, ("long", "long", "string")):
         schema = schema.add(name, kind)
     return joined.select(*kept_columns, "_frequent").mapInArrow(cut, schema)
+
+
+def without_frequent_lines(docs: DataFrame, min_documents: int = 10) -> DataFrame:
+    """``docs`` with the frequent lines cut from the text, and ``n_chars`` (where there) counted anew; its own columns only."""
+    cut = drop_frequent_lines(docs, min_documents)
+    columns = [F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c) for c in docs.columns]
+    return cut.select(*columns)

@@ -97,3 +97,15 @@ def mix_copies(
         .withColumn("copies", F.when(F.col("size") > 0, F.least(upto(F.col("_rank")) - upto(F.col("_rank") - 1), F.lit(most).cast("long"))).otherwise(F.lit(0)))
         .select("id", "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
     )
+
+
+def mixed_rows(docs: DataFrame, seed: int = 7) -> DataFrame:
+    """The mix itself: each row of ``docs`` once per copy, with ``copy`` counting from 1.
+
+    Rows with equal id, source and size count as one row here.
+    """
+    copies = mix_copies(docs, seed=seed).where(F.col("copies") > 0).groupBy("id", "source", "size").agg(F.max("copies").alias("_copies"))
+    copies = copies.toDF("_id", "_source", "_size", "_copies")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_n_words") == F.col("_size"))
+    joined = docs.withColumn("_n_words", word_count()).join(copies, same)
+    return joined.select(*(c for c in docs.columns if c != "copy"), F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))

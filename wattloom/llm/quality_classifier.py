@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from wattloom.llm.storage import stored
 from wattloom.llm.text import GAP, STARTS_CODE_POINT, Slice, mix, slices, windows
@@ -74,6 +75,19 @@ def statistics(words: Slice) -> np.ndarray:
     return np.column_stack(columns).astype(np.float64)
 
 
+def beside_statistics(docs: DataFrame, prefix: str, text: str = "text") -> DataFrame:
+    """``docs`` with the statistics of each row as further columns, named with ``prefix``."""
+    names = [f"{prefix}{c}" for c in STATISTICS]
+    schema = StructType([*docs.schema.fields, *(StructField(name, DoubleType()) for name in names)])
+    columns = docs.columns
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, words in slices(parts, text):
+            yield pa.RecordBatch.from_arrays([*rows.columns, *map(pa.array, statistics(words).T)], [*columns, *names])
+
+    return docs.mapInArrow(run, schema)
+
+
 def with_statistics(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, STATISTICS...) of each row."""
 
@@ -139,11 +153,11 @@ class RuleModel:
     rules: list[Rule]
     weights: list[float]
 
-    def column(self) -> Column:
-        """The score, from 0 to 1, as one expression over the statistics."""
+    def column(self, prefix: str = "") -> Column:
+        """The score, from 0 to 1, as one expression over the statistics (in columns named with ``prefix``)."""
         margin = F.lit(float(self.intercept))
         for rule, weight in zip(self.rules, self.weights):
-            tests = [F.col(STATISTICS[f]) > t if above else F.col(STATISTICS[f]) <= t for f, above, t in rule]
+            tests = [F.col(prefix + STATISTICS[f]) > t if above else F.col(prefix + STATISTICS[f]) <= t for f, above, t in rule]
             condition = tests[0]
             for test in tests[1:]:
                 condition = condition & test
@@ -206,3 +220,10 @@ def classify(
     return stats.select(
         "id", F.coalesce(fold(F.col("id")) == 0, F.lit(False)).alias("held_out"), score.alias("score")
     ).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label: str = "quality", rows: int = TRAINING_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose score is ``threshold`` or more, with their columns; no text is shuffled."""
+    model = learn(with_statistics(docs), labels, label, rows)
+    prefix = "_statistic_"
+    return beside_statistics(docs, prefix).where(model.column(prefix) >= threshold).select(*docs.columns)
