@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, jaccard_join, line_dedup, mixing, quality_classifier, quality_rules, warc
+from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, quality_classifier, quality_rules, warc
 from wattloom.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,6 +108,11 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return scored.withColumnRenamed("id", "doc_id")
 
 
+@query("op8_language_model")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return language_model.score(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op9_quality_rules")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.quality_rules(_table(spark, folder, "documents").select("doc_id", "text")).drop("text")
