@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, quality_classifier, quality_rules, warc
+from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, quality_classifier, quality_rules, token_counts, warc
 from wattloom.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,14 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op6_token_counts")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    trees = token_counts.with_trees(docs).withColumn("edits", token_counts.masking_edits())
+    counted = token_counts.recount(trees)
+    return counted.select(F.col("id").alias("doc_id"), *(c for c in token_counts.COUNTED if c != "edited"))
+
+
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality_classifier.classify(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
