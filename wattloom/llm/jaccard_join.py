@@ -16,7 +16,9 @@ Popular shingles are found over all texts with a bounded summary per task; they
 
 **Verification.** Rows of equal signature meet in sorted order and stream past their first probing set, the pivot; pairs
 with the pivot are verified exactly on the full sets. Where that leaves a bucket in several components, its other pairs
-across components follow, except those whose differences from the pivot already rule a link out (the triangle inequality).
+across components follow, except those that one of two exact bounds rules out: the differences of both from the pivot (the
+triangle inequality), and parity sketches (each shingle flips one of 1,024 bits, so sets differ in as many shingles as
+their sketches differ in bits, or more).
 Pairs inside a component can add nothing to the components and are skipped. So a group of k near copies costs about k pairs.
 
 Defined results: texts without words, NULL included, have empty sets and are linked with nothing; texts with fewer words than
@@ -39,6 +41,7 @@ from wattloom.llm.text import Slice, mix, signed, slices, windows
 
 POPULAR = 20_000  # most shingles that can count as popular: bounds the summaries and what is sent to the tasks
 _REMEMBERED = 500_000  # sets a task remembers, to emit the signatures of equal sets once
+SKETCH = [f"s{i}" for i in range(16)]  # 64 bits each
 _SEGMENT, _CONTENT = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 
 
@@ -143,6 +146,13 @@ def signature_rows(
     return np.concatenate(keys), np.concatenate(roles), np.concatenate(named)
 
 
+def sketches(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """Parity sketches as rows of 16 longs."""
+    bits = 64 * len(SKETCH)
+    odd = np.bincount(row * bits + (mix(h + _CONTENT) >> np.uint64(20)).astype(np.int64) % bits, minlength=rows * bits) & 1
+    return np.packbits(odd.astype(np.uint8).reshape(rows, bits), axis=1).view(np.int64)
+
+
 def _narrow(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
 
@@ -273,7 +283,7 @@ def near_duplicates(
     star = stored(verified(stored(star, "star"), sets), "star")
     links = star.where(linked(percent)).select("a", "b")
     labels = components(links)
-    rest = _across(members, star, labels, sets.select("name", "n"), percent)
+    rest = _across(members, star, labels, sets.select("name", *SKETCH), percent)
     more = verified(stored(rest, "across"), sets).where(linked(percent)).select("a", "b")
     labels = components(links.union(more))
     named = every.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("_group", F.coalesce("component", "name"))
@@ -284,21 +294,22 @@ def near_duplicates(
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, words: int, id_column: str, text: str) -> DataFrame:
-    """(name, n, shingles) of the chosen rows, each name once."""
+    """(name, n, shingles, SKETCH...) of the chosen rows, each name once."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, cut in slices(parts):
             h, row, sizes = shingle_sets(cut, words)
             arrays = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), signed(h))
-            yield pa.RecordBatch.from_arrays([signed(fingerprints(h, row, sizes)), pa.array(sizes), arrays], ["name", "n", "shingles"])
+            parity = [pa.array(c) for c in sketches(h, row, cut.rows).T]
+            yield pa.RecordBatch.from_arrays([signed(fingerprints(h, row, sizes)), pa.array(sizes), arrays, *parity], ["name", "n", "shingles", *SKETCH])
 
     picked = _narrow(docs, id_column, text)
     picked = picked.join(chosen.withColumnRenamed("id", "_chosen"), F.col("id").eqNullSafe(F.col("_chosen")), "left_semi")
-    return picked.mapInArrow(run, "name bigint, n bigint, shingles array<bigint>").dropDuplicates(["name"])
+    return picked.mapInArrow(run, "name bigint, n bigint, shingles array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH)).dropDuplicates(["name"])
 
 
-def _across(members: DataFrame, star: DataFrame, labels: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a bucket in different components that the pivot does not rule out."""
+def _across(members: DataFrame, star: DataFrame, labels: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
+    """(a, b): pairs of a bucket in different components that neither the pivot nor their sketches rule out."""
     group = labels.select(F.col("node").alias("name"), "component")
     pivots = labels.select(F.col("node").alias("pivot"), F.col("component").alias("_pivot_component"))
     apart = star.select(
@@ -310,13 +321,17 @@ def _across(members: DataFrame, star: DataFrame, labels: DataFrame, sizes: DataF
         .withColumn("odd", F.col("component") != F.coalesce("_pivot_component", "pivot"))
         .select("key", "name", "role", "n", "far", "component", "odd")
     )
-    full = stored(full.distinct(), "members")
-    one = full.where("odd").select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "far", "component")))
+    full = full.distinct()
+    mixed = full.groupBy("key").agg(F.max("odd").alias("_odd")).where("_odd").select("key")  # else all members are in the pivot's component
+    full = stored(full.join(mixed, "key", "left_semi").join(parity, "name"), "members")
+    one = full.where("odd").select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "far", "component", *SKETCH)))
     size, other = F.col("n") + F.col("n_1"), F.abs(F.col("far") - F.col("far_1"))
+    flipped = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_1"))) for c in SKETCH), F.lit(0))
     pairs = one.join(full, "key").where(
         (F.col("component") != F.col("component_1")) & (~F.col("odd") | (F.col("name_1") < F.col("name")))
         & ((F.col("role") == 0) | (F.col("role_1") == 0))
         & (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & (other * (100 + percent) <= size * (100 - percent))
+        & (flipped * (100 + percent) <= size * (100 - percent))
     )
     return pairs.select(F.least("name", "name_1").alias("a"), F.greatest("name", "name_1").alias("b")).distinct()
 
