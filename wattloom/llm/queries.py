@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, quality_classifier, quality_rules, token_counts, warc
+from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, pii, quality_classifier, quality_rules, token_counts, warc
 from wattloom.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,11 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query("op5_pii")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.find(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
+
+
 @query("op6_token_counts")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
