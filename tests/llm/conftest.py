@@ -1,0 +1,31 @@
+"""Small documents with the odd cases that every operator has to take."""
+
+from __future__ import annotations
+
+import pytest
+
+from llm_texts import SCHEMA, odd_rows
+from wattloom.llm.storage import importable
+
+
+@pytest.fixture(autouse=True)
+def _package_on_workers(spark):
+    importable(spark)
+
+
+@pytest.fixture
+def odd(spark):
+    return spark.createDataFrame(odd_rows(), SCHEMA)
+
+
+@pytest.fixture
+def empty(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+@pytest.fixture
+def docs(spark):
+    def make(*texts, source="s"):
+        return spark.createDataFrame([(i, t, "en", source, len(t or "")) for i, t in enumerate(texts)], SCHEMA)
+
+    return make
