@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ COMMON = 200_000
 TRAINING_DOCUMENTS, TRAINING_WINDOWS = 400, 6_000
 SINGLE, SHARED = 64, 32  # classes of one id, and of many
 BLOCK, WIDTH = 16, 16
-_CACHED_WORDS = 300_000
+_CACHED_WORDS = 200_000
 END_WORD = np.uint64(0x243F6A8885A308D3)  # stands for the end among word hashes
 
 
@@ -58,7 +59,7 @@ class Encoder:
                 ids = known[key] = self.encode(" " + words.word(i).lower().decode())
             pieces.append(ids)
         sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.fromiter((x for p in pieces for x in p), np.int64, int(sizes.sum()))
+        flat = np.fromiter(chain.from_iterable(pieces), np.int64, int(sizes.sum()))
         begins = np.cumsum(sizes) - sizes
         n = sizes[at]
         total = np.bincount(words.row, n, words.rows).astype(np.int64) + 1
@@ -138,17 +139,31 @@ class Attention:
         h = x[:, BLOCK:] + a @ v
         return seen, x, q, k, v, a, h, h @ w["out"] + w["bias"]
 
-    def log_probabilities(self, targets: np.ndarray, inputs: np.ndarray, first: np.ndarray, batch: int = 1024) -> np.ndarray:
-        """log P of each target, in the targets' shape; 0 where there is none."""
-        out = np.zeros(targets.shape)
+    def log_probabilities(self, targets: np.ndarray, inputs: np.ndarray, first: np.ndarray, batch: int = 512) -> np.ndarray:
+        """log P of each target, in the targets' shape; 0 where there is none. The same sums as in ``_forward``.
+
+        Inputs are few classes, so each product of a class is looked up and not computed again at every place.
+        """
+        w = self.weights
+        value = w["embed"] @ w["value"]
+        affinity = np.exp((w["embed"] @ w["query"]) @ (w["embed"] @ w["key"]).T / np.float32(np.sqrt(WIDTH)))
+        near = np.exp(np.where(_unseen, np.float32(-1e9), w["near"][_distance])).astype(np.float32)
+        affinity, direct = affinity.astype(np.float32).ravel(), w["embed"] @ w["out"] + w["bias"]
+        classes, out = w["embed"].shape[0], np.zeros(targets.shape)
+        small, know = inputs.astype(np.int32), targets >= 0
         for a in range(0, len(targets), batch):
-            part = slice(a, a + batch)
-            before = inputs[np.maximum(np.arange(a, min(a + batch, len(targets))) - 1, 0)]
-            z = self._forward(inputs[part], before, first[part])[-1]
-            z -= z.max(-1, keepdims=True)
-            picked = np.take_along_axis(z, np.maximum(targets[part], 0)[..., None], -1)[..., 0]
-            out[part] = np.where(targets[part] >= 0, picked - np.log(np.exp(z).sum(-1)), 0)
-        return out
+            here, part = small[a : a + batch], slice(a, a + batch)
+            seen = np.concatenate([small[np.maximum(np.arange(a, a + len(here)) - 1, 0)], here], axis=1)
+            weight = affinity[here[:, :, None] * classes + seen[:, None, :]]
+            weight *= near
+            weight[first[part], :, :BLOCK] = 0
+            heard = (weight @ value[seen]) / weight.sum(-1, keepdims=True)
+            z = heard.reshape(-1, WIDTH) @ w["out"]
+            z += direct[here.ravel()]
+            picked = z[np.arange(len(z)), np.maximum(targets[part], 0).ravel()]
+            np.exp(z, out=z)
+            out[part] = (picked - np.log(z.sum(-1))).reshape(here.shape)
+        return np.where(know, out, 0)
 
     def gradients(self, targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
         w = self.weights
