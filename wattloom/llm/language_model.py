@@ -14,7 +14,7 @@ texts. Both are proper distributions, and so is their product.
 themselves and the block before. Blocks of many texts go through the attention as one masked batch.
 
 Defined results: NULL and empty texts are one end. Rows with a NULL id are trained on (``held_out`` is false). Repeated
-rows score alike. With no training text at all every word is unknown and classes are equally likely.
+rows score alike, to the rounding of float32. With no training text at all every word is unknown and classes are equally likely.
 """
 
 from __future__ import annotations
@@ -289,6 +289,8 @@ def score(docs: DataFrame, held_out_fold: int = 1, path: str = BYTE_BPE, id_colu
     words = counts.where(F.col("kind") == 0).select("key", "n")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total.n), int(total.v)
+    ends = words.where(F.col("key") == int(np.array([END_WORD]).view(np.int64)[0])).first()
+    end_count = int(ends.n) if ends else 0
     common = words.orderBy(F.desc("n"), "key").limit(COMMON).toPandas()
     keys = common["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
@@ -326,12 +328,11 @@ def score(docs: DataFrame, held_out_fold: int = 1, path: str = BYTE_BPE, id_colu
     def whole(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = scorer.value
         encode = Encoder(s.path)
-        end_known, end_log = common_part(s, np.array([END_WORD]))
         for rows, cut in slices(parts, "text"):
             h = cut.hashes(fold_case=True)
             is_common, log = common_part(s, h)
-            known = np.bincount(cut.row[is_common], minlength=cut.rows) + int(end_known[0])
-            sums = np.bincount(cut.row[is_common], log[is_common], cut.rows) + (end_log[0] if end_known[0] else 0.0)
+            known = np.bincount(cut.row[is_common], minlength=cut.rows) + (end_count > 0)
+            sums = np.bincount(cut.row[is_common], log[is_common], cut.rows) + np.log10(end_count + 0.5)
             ids, sizes = encode(cut, h)
             targets, inputs, first = blocks(s.classes.of[ids], sizes, s.classes.n)
             per_block = s.model.log_probabilities(targets, inputs, first).sum(1)
@@ -350,10 +351,9 @@ def score(docs: DataFrame, held_out_fold: int = 1, path: str = BYTE_BPE, id_colu
         F.sum(times * F.log10(c + F.lit(0.5))).alias("_rare"), F.sum(F.when(c > 0, times).otherwise(F.lit(0))).alias("_known"),
         F.sum((times == 0).cast("long")).alias("_copies"),
     )
-    unknown_end = 0.0 if n else float(np.log10(0.5))  # with no training text, the end is as unknown as any word
     scored = keyed.mapInArrow(whole, "row bigint, id bigint, n_tokens bigint, known bigint, sums double, score double")
     return scored.join(rare_sums, "row").select(
         "id", held_out.alias("held_out"), "n_tokens", (F.col("known") + (F.col("_known") / F.col("_copies")).cast("long")).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("sums") + F.lit(unknown_end) + F.col("_rare") / F.col("_copies") - F.col("n_tokens") * F.lit(float(floor))).alias("base_score"), "score",
+        (F.col("sums") + F.col("_rare") / F.col("_copies") - F.col("n_tokens") * F.lit(float(floor))).alias("base_score"), "score",
     )
