@@ -15,8 +15,8 @@ one-deletion neighbours are indexed. A set that cannot pay for dropping a segmen
 Popular shingles are found over all texts with a bounded summary per task; they only steer costs.
 
 **Verification.** Rows of equal signature meet in sorted order and stream past their first probing set, the pivot; pairs
-with the pivot are verified exactly on the full sets. Where that leaves a bucket in several components, its other pairs
-across components follow, except those that one of two exact bounds rules out: the differences of both from the pivot (the
+with the pivot are verified exactly on the full sets. A bucket that this leaves in several components gets two more pivots in
+turn, drawn by hash from outside the first one's component; what is still across components then is verified pair by pair, except those that one of two exact bounds rules out: the differences of both from the pivot (the
 triangle inequality), and parity sketches (each shingle flips one of 1,024 bits, so sets differ in as many shingles as
 their sketches differ in bits, or more).
 Pairs inside a component can add nothing to the components and are skipped. So a group of k near copies costs about k pairs.
@@ -283,9 +283,11 @@ def near_duplicates(
     star = stored(verified(stored(star, "star"), sets), "star")
     links = star.where(linked(percent)).select("a", "b")
     labels = components(links)
-    rest = _across(members, star, labels, sets.select("name", *SKETCH), percent)
-    more = verified(stored(rest, "across"), sets).where(linked(percent)).select("a", "b")
-    labels = components(links.union(more))
+    for pairs_of in (_star_of(1), _star_of(2), _across):
+        rest = pairs_of(_mixed_members(members, star, labels, sets.select("name", *SKETCH)), percent)
+        more = verified(stored(rest, "across"), sets).where(linked(percent)).select("a", "b")
+        links = stored(links.union(more), "links")
+        labels = components(links)
     named = every.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("_group", F.coalesce("component", "name"))
     smallest = named.where(F.col("n") > 0).groupBy("_group").agg(F.min("id").alias("_smallest"))
     return named.join(smallest, "_group", "left").select(
@@ -308,8 +310,9 @@ def _sets(docs: DataFrame, chosen: DataFrame, words: int, id_column: str, text:
     return picked.mapInArrow(run, "name bigint, n bigint, shingles array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH)).dropDuplicates(["name"])
 
 
-def _across(members: DataFrame, star: DataFrame, labels: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
-    """(a, b): pairs of a bucket in different components that neither the pivot nor their sketches rule out."""
+def _mixed_members(members: DataFrame, star: DataFrame, labels: DataFrame, parity: DataFrame) -> DataFrame:
+    """Members of buckets that are not yet one component: their size, difference from the pivot (``far``), component,
+    sketch, and whether they are outside the pivot's component (``odd``)."""
     group = labels.select(F.col("node").alias("name"), "component")
     pivots = labels.select(F.col("node").alias("pivot"), F.col("component").alias("_pivot_component"))
     apart = star.select(
@@ -320,22 +323,48 @@ def _across(members: DataFrame, star: DataFrame, labels: DataFrame, parity: Data
         .withColumn("component", F.coalesce("component", "name"))
         .withColumn("odd", F.col("component") != F.coalesce("_pivot_component", "pivot"))
         .select("key", "name", "role", "n", "far", "component", "odd")
-    )
-    full = full.distinct()
-    mixed = full.groupBy("key").agg(F.max("odd").alias("_odd")).where("_odd").select("key")  # else all members are in the pivot's component
-    full = stored(full.join(mixed, "key", "left_semi").join(parity, "name"), "members")
-    one = full.where("odd").select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "far", "component", *SKETCH)))
+    ).distinct()
+    mixed = full.groupBy("key").agg(F.max("odd").alias("_odd")).where("_odd").select("key")
+    return stored(full.join(mixed, "key", "left_semi").join(parity, "name"), "members")
+
+
+def _possible(percent: int):
+    """Whether the pair of a row (x and x_1) may be linked: sizes, differences from the pivot, and sketches allow it."""
     size, other = F.col("n") + F.col("n_1"), F.abs(F.col("far") - F.col("far_1"))
     flipped = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_1"))) for c in SKETCH), F.lit(0))
-    pairs = one.join(full, "key").where(
-        (F.col("component") != F.col("component_1")) & (~F.col("odd") | (F.col("name_1") < F.col("name")))
-        & ((F.col("role") == 0) | (F.col("role_1") == 0))
-        & (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & (other * (100 + percent) <= size * (100 - percent))
-        & (flipped * (100 + percent) <= size * (100 - percent))
+    few = lambda differing: differing * (100 + percent) <= size * (100 - percent)
+    return (
+        (F.col("component") != F.col("component_1")) & ((F.col("role") == 0) | (F.col("role_1") == 0))
+        & (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & few(other) & few(flipped)
     )
+
+
+def _as_other(full: DataFrame) -> DataFrame:
+    return full.select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "far", "component", *SKETCH)))
+
+
+def _distinct_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("name", "name_1").alias("a"), F.greatest("name", "name_1").alias("b")).distinct()
 
 
+def _star_of(seed: int):
+    """Pairs (a, b) of a member of each bucket, drawn from outside the pivot's component, with the other members."""
+
+    def pairs(full: DataFrame, percent: int) -> DataFrame:
+        odd = full.where("odd").withColumn("_draw", F.xxhash64(F.lit(seed), "key", "name"))
+        first = odd.groupBy("key").agg(F.min(F.struct("role", "_draw")).alias("_first"))  # probing members first
+        drawn = odd.join(first, "key").where((F.col("_draw") == F.col("_first._draw")) & (F.col("role") == F.col("_first.role")))
+        return _distinct_pairs(_as_other(drawn).join(full, "key").where(_possible(percent)))
+
+    return pairs
+
+
+def _across(full: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all pairs of a bucket in different components that may be linked."""
+    pairs = _as_other(full.where("odd")).join(full, "key").where(_possible(percent) & (~F.col("odd") | (F.col("name_1") < F.col("name"))))
+    return _distinct_pairs(pairs)
+
+
 def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that have the smallest id of their component; rows that share an id are one document.
 
