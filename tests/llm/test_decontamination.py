@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_texts import fold, prose
+from llm_texts import _package_on_workers, docs, empty, fold, odd, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from wattloom.llm import decontamination as D

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from llm_texts import fold, prose
+from llm_texts import _package_on_workers, docs, empty, fold, odd, prose  # noqa: F401
 from wattloom.llm import jaccard_join as J
 from wattloom.llm.components import components
 

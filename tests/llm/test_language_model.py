@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_texts import fold, prose
+from llm_texts import _package_on_workers, empty, fold, odd, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from wattloom.llm import language_model as L

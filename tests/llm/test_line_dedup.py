@@ -1,6 +1,7 @@
 import hashlib
 from collections import Counter
 
+from llm_texts import _package_on_workers, docs, empty, odd  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 

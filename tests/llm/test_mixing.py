@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from llm_texts import fold
+from llm_texts import _package_on_workers, docs, empty, fold, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from wattloom.llm import mixing

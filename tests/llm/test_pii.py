@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+from llm_texts import _package_on_workers, docs, empty, odd  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 

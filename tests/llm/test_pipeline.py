@@ -4,7 +4,7 @@ import os
 from collections import Counter
 
 import pytest
-from llm_texts import fold, prose
+from llm_texts import _package_on_workers, fold, prose  # noqa: F401
 from sql_check import compare, connect
 
 import __spark_entry__ as entry_points

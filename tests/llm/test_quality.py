@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 import zstandard
-from llm_texts import WORD, prose
+from llm_texts import WORD, _package_on_workers, docs, empty, odd, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from wattloom.llm import quality_classifier as C

@@ -5,6 +5,7 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from llm_texts import _package_on_workers  # noqa: F401
 from wattloom.llm.text import WORD, Slice, slices, windows
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aAbZ é日  \t\n\x0b\x0c\r", max_size=30)), max_size=8)

@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from llm_texts import prose
+from llm_texts import _package_on_workers, docs, empty, odd, prose  # noqa: F401
 from pyspark.sql import functions as F
 
 from wattloom.llm import token_counts as T

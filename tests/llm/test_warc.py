@@ -3,6 +3,7 @@ import hashlib
 import os
 import random
 
+from llm_texts import _package_on_workers  # noqa: F401
 import pytest
 from pyspark.sql import functions as F
 

@@ -16,9 +16,9 @@ Popular shingles are found over all texts with a bounded summary per task; they
 
 **Verification.** Rows of equal signature meet in sorted order and stream past their first probing set, the pivot; pairs
 with the pivot are verified exactly on the full sets. A bucket that this leaves in several components gets two more pivots in
-turn, drawn by hash from outside the first one's component; what is still across components then is verified pair by pair, except those that one of two exact bounds rules out: the differences of both from the pivot (the
-triangle inequality), and parity sketches (each shingle flips one of 1,024 bits, so sets differ in as many shingles as
-their sketches differ in bits, or more).
+turn, drawn by hash from outside the first one's component; what is still across components then is verified pair by pair.
+No sets are joined for pairs that an exact bound rules out: their sizes, and parity sketches (each shingle flips one of
+1,024 bits, so sets differ in as many shingles as their sketches differ in bits, or more).
 Pairs inside a component can add nothing to the components and are skipped. So a group of k near copies costs about k pairs.
 
 Defined results: texts without words, NULL included, have empty sets and are linked with nothing; texts with fewer words than
@@ -280,11 +280,12 @@ def near_duplicates(
     used = star.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     chosen = every.groupBy("name").agg(F.min(F.struct("id")).alias("_id")).join(used, "name").select(F.col("_id.id").alias("id"))
     sets = stored(_sets(docs, chosen.distinct(), words, id_column, text), "shingles")
-    star = stored(verified(stored(star, "star"), sets), "star")
-    links = star.where(linked(percent)).select("a", "b")
+    parity = sets.select("name", "n", *SKETCH)
+    links = verified(stored(_possible_pairs(star, parity, percent), "star"), sets).where(linked(percent)).select("a", "b")
+    links = stored(links, "links")
     labels = components(links)
     for pairs_of in (_star_of(1), _star_of(2), _across):
-        rest = pairs_of(_mixed_members(members, star, labels, sets.select("name", *SKETCH)), percent)
+        rest = pairs_of(_mixed_members(members, labels, parity), percent)
         more = verified(stored(rest, "across"), sets).where(linked(percent)).select("a", "b")
         links = stored(links.union(more), "links")
         labels = components(links)
@@ -296,51 +297,64 @@ def near_duplicates(
 
 
 def _sets(docs: DataFrame, chosen: DataFrame, words: int, id_column: str, text: str) -> DataFrame:
-    """(name, n, shingles, SKETCH...) of the chosen rows, each name once."""
+    """(name, n, shingles, SKETCH...) of the chosen rows; a name again only where rows with equal ids lie in different tasks."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for _, cut in slices(parts):
             h, row, sizes = shingle_sets(cut, words)
+            names = fingerprints(h, row, sizes)
+            fresh = np.zeros(cut.rows, bool)
+            for i, name in enumerate(names.tolist()):
+                fresh[i] = name not in seen
+                if len(seen) < _REMEMBERED:
+                    seen.add(name)
             arrays = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), signed(h))
             parity = [pa.array(c) for c in sketches(h, row, cut.rows).T]
-            yield pa.RecordBatch.from_arrays([signed(fingerprints(h, row, sizes)), pa.array(sizes), arrays, *parity], ["name", "n", "shingles", *SKETCH])
+            found = pa.RecordBatch.from_arrays([signed(names), pa.array(sizes), arrays, *parity], ["name", "n", "shingles", *SKETCH])
+            yield found.filter(pa.array(fresh))
 
     picked = _narrow(docs, id_column, text)
     picked = picked.join(chosen.withColumnRenamed("id", "_chosen"), F.col("id").eqNullSafe(F.col("_chosen")), "left_semi")
-    return picked.mapInArrow(run, "name bigint, n bigint, shingles array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH)).dropDuplicates(["name"])
+    return picked.mapInArrow(run, "name bigint, n bigint, shingles array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH))
 
 
-def _mixed_members(members: DataFrame, star: DataFrame, labels: DataFrame, parity: DataFrame) -> DataFrame:
-    """Members of buckets that are not yet one component: their size, difference from the pivot (``far``), component,
-    sketch, and whether they are outside the pivot's component (``odd``)."""
+def _mixed_members(members: DataFrame, labels: DataFrame, parity: DataFrame) -> DataFrame:
+    """Members of buckets that are not yet one component: their size, sketch and component, and whether they are outside
+    the pivot's component (``odd``)."""
     group = labels.select(F.col("node").alias("name"), "component")
     pivots = labels.select(F.col("node").alias("pivot"), F.col("component").alias("_pivot_component"))
-    apart = star.select(
-        F.col("a").alias("pivot"), F.col("b").alias("name"), F.col("n_b").alias("n"), (F.col("n_a") + F.col("n_b") - 2 * F.col("shared")).alias("far")
-    )
     full = (
-        members.join(apart, ["pivot", "name"]).join(group, "name", "left").join(pivots, "pivot", "left")
+        members.join(group, "name", "left").join(pivots, "pivot", "left")
         .withColumn("component", F.coalesce("component", "name"))
         .withColumn("odd", F.col("component") != F.coalesce("_pivot_component", "pivot"))
-        .select("key", "name", "role", "n", "far", "component", "odd")
+        .select("key", "name", "role", "component", "odd")
     ).distinct()
     mixed = full.groupBy("key").agg(F.max("odd").alias("_odd")).where("_odd").select("key")
     return stored(full.join(mixed, "key", "left_semi").join(parity, "name"), "members")
 
 
-def _possible(percent: int):
-    """Whether the pair of a row (x and x_1) may be linked: sizes, differences from the pivot, and sketches allow it."""
-    size, other = F.col("n") + F.col("n_1"), F.abs(F.col("far") - F.col("far_1"))
+def _may_link(percent: int):
+    """Whether the sizes and sketches of a pair (x and x_1) allow a link."""
+    size = F.col("n") + F.col("n_1")
     flipped = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_1"))) for c in SKETCH), F.lit(0))
-    few = lambda differing: differing * (100 + percent) <= size * (100 - percent)
-    return (
-        (F.col("component") != F.col("component_1")) & ((F.col("role") == 0) | (F.col("role_1") == 0))
-        & (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & few(other) & few(flipped)
-    )
+    return (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & (flipped * (100 + percent) <= size * (100 - percent))
+
+
+def _possible_pairs(pairs: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may be linked."""
+    other = parity.select(F.col("name").alias("b"), *(F.col(c).alias(f"{c}_1") for c in ("n", *SKETCH)))
+    both = pairs.join(parity.withColumnRenamed("name", "a"), "a").join(other, "b")
+    return both.where(_may_link(percent)).select("a", "b")
+
+
+def _possible(percent: int):
+    """Whether a pair of rows of a bucket is across components, probed by one side, and may be linked."""
+    return (F.col("component") != F.col("component_1")) & ((F.col("role") == 0) | (F.col("role_1") == 0)) & _may_link(percent)
 
 
 def _as_other(full: DataFrame) -> DataFrame:
-    return full.select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "far", "component", *SKETCH)))
+    return full.select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "component", *SKETCH)))
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
