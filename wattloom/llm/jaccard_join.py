@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.components import components
-from wattloom.llm.storage import stored
+from wattloom.llm.storage import drop_stored, release_shuffles, stored, stored_by
 from wattloom.llm.text import Slice, mix, signed, slices, windows
 
 POPULAR = 20_000  # most shingles that can count as popular: bounds the summaries and what is sent to the tasks
@@ -279,7 +279,9 @@ def near_duplicates(
     star = members.select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     used = star.select(F.explode(F.array("a", "b")).alias("name")).distinct()
     chosen = every.groupBy("name").agg(F.min(F.struct("id")).alias("_id")).join(used, "name").select(F.col("_id.id").alias("id"))
-    sets = stored(_sets(docs, chosen.distinct(), words, id_column, text), "shingles")
+    release_shuffles(docs.sparkSession)  # of the signatures, the largest
+    sets, table = stored_by(_sets(docs, chosen.distinct(), words, id_column, text), "shingles", "name")
+    release_shuffles(docs.sparkSession)
     parity = sets.select("name", "n", *SKETCH)
     links = verified(stored(_possible_pairs(star, parity, percent), "star"), sets).where(linked(percent)).select("a", "b")
     links = stored(links, "links")
@@ -289,6 +291,7 @@ def near_duplicates(
         more = verified(stored(rest, "across"), sets).where(linked(percent)).select("a", "b")
         links = stored(links.union(more), "links")
         labels = components(links)
+    drop_stored(docs.sparkSession, table)
     named = every.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("_group", F.coalesce("component", "name"))
     smallest = named.where(F.col("n") > 0).groupBy("_group").agg(F.min("id").alias("_smallest"))
     return named.join(smallest, "_group", "left").select(

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm.storage import remove, write_table
+from wattloom.llm.storage import remove, stored, write_table
 from wattloom.shared import scratch_path
 
 STRIPPED = b" \t\n\x0b\x0c\r"
@@ -112,6 +112,11 @@ class LineRuns:
             self.settled.append(f"{path}/settled=1")
         remove(self.spark, *old)
 
+    def remove(self) -> None:
+        """Delete all runs."""
+        remove(self.spark, *self.settled, *(p for level in self.levels for p in level))
+        self.settled, self.levels = [], [[]]
+
     def frequent(self) -> DataFrame:
         """(h): all hashes found in enough documents; merges what no level has merged yet."""
         while sum(map(len, self.levels)) > 1:
@@ -138,7 +143,9 @@ def drop_frequent_lines(
     runs = LineRuns(spark, min_documents, fanout)
     for batch in range(batches):
         runs.add(lines.where(F.col("batch") == batch).select("h"))
-    hits = lines.join(runs.frequent(), "h").groupBy("id").agg(F.collect_set("h").alias("_frequent"))
+    hits = stored(lines.join(runs.frequent(), "h").groupBy("id").agg(F.collect_set("h").alias("_frequent")), "line-hits")
+    remove(spark, path)
+    runs.remove()
     return _cut(docs, hits, min_key, id_column, text)
 
 
