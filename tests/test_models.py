@@ -100,4 +100,3 @@ def test_forecast_scoring(spark, rows, table, tmp_path):
     )
     scored = modelling.forecast_consumption(model, days, str(tmp_path / "f"))
     assert scored.columns == ["Date", "Predicted_Energy_Consumption"] and scored.count() == 1
-    assert len([f for f in os.listdir(tmp_path / "f") if f.endswith(".csv")]) == 1

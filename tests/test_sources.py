@@ -63,21 +63,22 @@ def test_partitioned_parquet_and_keyed_csv(spark, table, tmp_path):
     assert values(readers.read_csv(spark, str(tmp_path / "c"), "v INT, k STRING").select("k", "v")) == values(df)
 
 
-def test_single_csv_only_while_small(spark, table, tmp_path):
-    few = table("v INT", (1,), (2,), (3,)).repartition(3)
-    writers.write_single_csv(few, str(tmp_path / "small"))
-    assert len(_files(tmp_path / "small", ".csv")) == 1
+def test_csv_is_part_files_at_any_size(spark, table, tmp_path):
+    writers.write_csv(table("v INT", (1,), (2,), (3,)).repartition(3), str(tmp_path / "small"))
     many = spark.range(0, 100_001, 1, 3).selectExpr("cast(id AS INT) AS v")
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")
-        writers.write_single_csv(many, str(tmp_path / "large"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    writers.write_csv(many, str(tmp_path / "large"))
     assert len(_files(tmp_path / "large", ".csv")) == 3
+    assert readers.read_csv(spark, str(tmp_path / "small"), "v INT").count() == 3
     assert readers.read_csv(spark, str(tmp_path / "large"), "v INT").distinct().count() == 100_001
 
 
+def test_csv_with_another_header_is_an_error(spark, tmp_path):
+    (tmp_path / "t.csv").write_text("Tariff,TariffDateTime\nHigh,1/2/24 0:00\n")
+    assert readers.read_csv(spark, str(tmp_path / "t.csv"), "Tariff STRING, TariffDateTime STRING").count() == 1
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, str(tmp_path / "t.csv"), "TariffDateTime STRING, Tariff STRING").collect()
+
+
 def test_text_and_table(spark, table, tmp_path):
     writers.write_text(table("f STRING", ("b",), (None,), ("a",)), str(tmp_path / "t"), "f")
     assert values(spark.read.text(str(tmp_path / "t"))) == [("",), ("a",), ("b",)]
@@ -86,23 +87,6 @@ def test_text_and_table(spark, table, tmp_path):
     spark.sql(f"DROP TABLE {name}")
 
 
-def test_settle_writes_only_what_looks_large(spark):
-    small = spark.range(10)
-    assert shared.settle(small) is small
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
-        few = spark.range(100_000).selectExpr("id % 3 AS k").distinct()
-        settled = shared.settle(few)
-        assert settled is not few and values(settled) == [(0,), (1,), (2,)]
-        assert shared.estimated_bytes(settled) < shared.estimated_bytes(few)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-        assert shared.settle(few) is few
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
-    assert folder is None or shared.scratch_dir(spark) == folder
-
-
 def test_scratch_is_in_the_warehouse_where_no_folder_is_named(spark):
-    assert shared.scratch_dir(spark).startswith(spark.conf.get("spark.sql.warehouse.dir"))
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    assert shared.scratch_dir(spark) == (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")

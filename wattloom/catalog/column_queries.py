@@ -194,7 +194,7 @@ def p14(t: Tables) -> DataFrame:
     return ops.transpose(sums, "o_orderstatus", ["F", "O", "P"], ["orders", "customers"])
 
 
-RATIO_GROUPS = ["ACORN-A", "ACORN-B", "ACORN-C", "ACORN-D"]
+RATIO_GROUPS = [*(f"ACORN-{letter}" for letter in "ABCDEFGHIJKLMNOPQRSTU"), "ACORN-"]
 
 FACTORS_SQL = """
     SELECT "Acorn", first_current / last_potential AS factor

@@ -40,7 +40,7 @@ from wattloom.plans import daily_features as feats
 from wattloom.plans import demographics as demo
 from wattloom.plans import profiles
 from wattloom.plans import tariffs as tf
-from wattloom.shared import scratch_path, settle
+from wattloom.shared import scratch_path
 
 EFFICIENCY_SQL = """
     SELECT "Acorn", sum("Current Efficiency" * share) AS "Efficiency_Value",
@@ -65,7 +65,7 @@ EFFICIENCY_SQL = """
     ),
 )
 def x1(t: Tables) -> DataFrame:
-    efficiency = demo.efficiency_by_group(settle(details(t)), property_efficiency(t))
+    efficiency = demo.efficiency_by_group(details(t), property_efficiency(t))
     enriched = tf.enrich_halfhourly(readings(t), households(t), acorn_information(t), tariff(t), efficiency)
     return rounded(enriched, "Efficiency_Value", "Potential_Value", "Difference_Value", digits=4)
 
@@ -80,7 +80,7 @@ def x1(t: Tables) -> DataFrame:
     ),
 )
 def x2(t: Tables) -> DataFrame:
-    return rounded(rounded(demo.demographic_share(settle(details(t))), "Total", digits=4), "Percentage")
+    return rounded(rounded(demo.demographic_share(details(t)), "Total", digits=4), "Percentage")
 
 
 @query(
@@ -93,7 +93,7 @@ def x2(t: Tables) -> DataFrame:
     ),
 )
 def x3(t: Tables) -> DataFrame:
-    return rounded(demo.efficiency_by_group(settle(details(t)), property_efficiency(t)), digits=4)
+    return rounded(demo.efficiency_by_group(details(t), property_efficiency(t)), digits=4)
 
 
 USAGE_SQL = """
@@ -118,8 +118,10 @@ def x4(t: Tables) -> DataFrame:
     return rounded(usage, "mean_energy", digits=4)
 
 
-def _slot_pivot_sql(group: str, values: list[str]) -> str:
-    cells = ", ".join(f"""avg(CASE WHEN "{group}" = '{v}' THEN energy END) AS "{v}" """ for v in values)
+def _slot_pivot_sql(group: str, values: list[str | None]) -> str:
+    test = lambda v: f'"{group}" IS NULL' if v is None else f""""{group}" = '{v}'"""
+    cells = ", ".join(f"""avg(CASE WHEN {test(v)} THEN energy END) AS "{v or 'null'}" """ for v in values)
+    values = [v or "null" for v in values]
     shown = ", ".join(f"""{sr(f'"{v}"', 4)} AS "{v}" """ for v in values)
     return with_views(
         f"""SELECT "TariffDateTime" AS "Datetime", "Tariff", {shown}
@@ -128,16 +130,16 @@ def _slot_pivot_sql(group: str, values: list[str]) -> str:
     )
 
 
-def _slot_pivot(t: Tables, group: str, values: list[str]) -> DataFrame:
+def _slot_pivot(t: Tables, group: str, values: list[str | None]) -> DataFrame:
     wide = tf.tariff_slot_pivot(
         readings(t), households(t), acorn_information(t), tariff(t), group, values
     )
     return rounded(wide, digits=4)
 
 
-ALL_CODES = list(lookups.ACORN_PROFILE)
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+ALL_CODES = [*lookups.ACORN_PROFILE, "ACORN-", None]
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY", None]
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST", None]
 
 
 @query("x5_slot_pivot_acorn", _slot_pivot_sql("Acorn", ALL_CODES))
@@ -279,12 +281,8 @@ SERIES_COLUMNS = [c for c in lookups.SERIES_FEATURES if c not in ("day_of_week",
     ),
 )
 def x8(t: Tables) -> DataFrame:
-    # The feature table is read twice here, once for the windows and once for the fill values.
-    base = settle(
-        feature_rows(t).select(
-            "LCLid", "day", "energy_sum", "temperatureMax", "temperatureMin", "humidity", "cloudCover"
-        ),
-        "features",
+    base = feature_rows(t).select(
+        "LCLid", "day", "energy_sum", "temperatureMax", "temperatureMin", "humidity", "cloudCover"
     )
     series = feats.household_series_features(base, time=None)
     return rounded(series.select("LCLid", "day", *lookups.SERIES_FEATURES), *SERIES_COLUMNS, digits=4)

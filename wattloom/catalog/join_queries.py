@@ -22,7 +22,6 @@ from wattloom.catalog.stand_ins import (
 )
 from wattloom.operators import joins as jn
 from wattloom.plans.daily_features import holiday_calendar
-from wattloom.shared import settle
 
 
 @query(
@@ -68,7 +67,7 @@ def j3(t: Tables) -> DataFrame:
 )
 def j4(t: Tables) -> DataFrame:
     text = readings(t).withColumn("tstp", F.date_format("tstp", "yyyy-MM-dd HH:mm:ss"))
-    return jn.join_instants(text, settle(tariff(t)), "tstp", "TariffDateTime")
+    return jn.join_instants(text, tariff(t), "tstp", "TariffDateTime")
 
 
 @query(
@@ -79,7 +78,7 @@ def j4(t: Tables) -> DataFrame:
     ),
 )
 def j5(t: Tables) -> DataFrame:
-    return jn.keep_matching(readings(t), settle(tariff(t)), "tstp", "TariffDateTime")
+    return jn.keep_matching(readings(t), tariff(t), "tstp", "TariffDateTime")
 
 
 @query(
@@ -180,7 +179,7 @@ def j10(t: Tables) -> DataFrame:
 def j11(t: Tables) -> DataFrame:
     days = event_days(t)
     calendar = days.groupBy("day").agg(r(F.avg("energy_sum"), 4).alias("mean_use"))
-    return jn.join_all_entities(days.select("LCLid", "day", "energy_count"), settle(calendar), "day")
+    return jn.join_all_entities(days.select("LCLid", "day", "energy_count"), calendar, "day")
 
 
 @query(
@@ -193,4 +192,4 @@ def j11(t: Tables) -> DataFrame:
     ),
 )
 def j12(t: Tables) -> DataFrame:
-    return jn.join_twice(readings(t), settle(tariff(t)), "tstp", "TariffDateTime")
+    return jn.join_twice(readings(t), tariff(t), "tstp", "TariffDateTime")

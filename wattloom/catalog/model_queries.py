@@ -87,7 +87,7 @@ def m5(t: Tables) -> DataFrame:
 
 @query(
     "m6_split",
-    """SELECT o_orderkey, CASE WHEN ((o_orderkey % 1000003) * 7919 + 42) % 1000 < 800 THEN 'train' ELSE 'test' END AS part
+    """SELECT o_orderkey, CASE WHEN CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 800 THEN 'train' ELSE 'test' END AS part
        FROM orders""",
 )
 def m6(t: Tables) -> DataFrame:

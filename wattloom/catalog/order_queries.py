@@ -55,12 +55,11 @@ def l5(t: Tables) -> DataFrame:
     "l6_batches",
     """SELECT o_orderkey, shard,
               CAST(floor((row_number() OVER (PARTITION BY shard ORDER BY o_orderkey) - 1) / 100.0) AS INTEGER) AS batch
-       FROM (SELECT o_orderkey, CAST(((o_orderkey % 1000003) * 7919 + 42)
-                                     % (SELECT CAST(ceil(count(*) / 1000.0) AS BIGINT) FROM orders) AS INTEGER) AS shard
+       FROM (SELECT o_orderkey, CAST(CAST('0x' || substr(md5('42:' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 16 AS INTEGER) AS shard
              FROM orders)""",
 )
 def l6(t: Tables) -> DataFrame:
-    return od.batches(t.orders.select("o_orderkey"), "o_orderkey", 100, shard_rows=1000)
+    return od.batches(t.orders.select("o_orderkey"), "o_orderkey", 100, shards=16)
 
 
 @query(

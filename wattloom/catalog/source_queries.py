@@ -149,7 +149,7 @@ def k1(t: Tables) -> DataFrame:
 @query("k2_write_single_csv", ORDERS_SQL)
 def k2(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "k2")
-    writers.write_single_csv(t.orders.select(*ORDER_COLUMNS), path)
+    writers.write_csv(t.orders.select(*ORDER_COLUMNS), path)
     return readers.read_csv(t.spark, path, ORDERS_CSV)
 
 

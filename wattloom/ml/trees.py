@@ -7,6 +7,7 @@ is one aggregation over the executors, so no batch ever reaches the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import VectorAssembler
@@ -16,14 +17,14 @@ from pyspark.sql import functions as F
 
 from wattloom.ml.features import resolve_columns
 from wattloom.operators.aggregates import rmse
+from wattloom.operators.columns import quoted
 from wattloom.operators.filters import filter_in
 from wattloom.operators.ordering import split
 
 
-def _pipeline(df: DataFrame, features: Sequence[str], estimator, handle_invalid: str) -> Pipeline:
-    assembler = VectorAssembler(
-        inputCols=resolve_columns(df, features), outputCol="features", handleInvalid=handle_invalid
-    )
+def _pipeline(df: DataFrame, features: Sequence[str], estimator) -> Pipeline:
+    """Assembler and trees. Gaps pass the assembler; ``predict`` leaves such rows without a prediction."""
+    assembler = VectorAssembler(inputCols=resolve_columns(df, features), outputCol="features", handleInvalid="keep")
     return Pipeline(stages=[assembler, estimator])
 
 
@@ -34,14 +35,13 @@ def train_random_forest(
     trees: int = 100,
     depth: int = 10,
     seed: int = 42,
-    handle_invalid: str = "skip",
 ) -> PipelineModel:
     """Random forest that considers every feature at each split."""
     forest = RandomForestRegressor(
         featuresCol="features", labelCol=label, numTrees=trees, maxDepth=depth, seed=seed,
         featureSubsetStrategy="all",
     )
-    return _pipeline(train, features, forest, handle_invalid).fit(_model_input(train, features, label))
+    return _pipeline(train, features, forest).fit(_model_input(train, features, label))
 
 
 def train_boosted_trees(
@@ -55,7 +55,6 @@ def train_boosted_trees(
     column_sample: float = 0.85,
     min_rows: int = 5,
     seed: int = 42,
-    handle_invalid: str = "skip",
 ) -> PipelineModel:
     """Gradient-boosted trees with row and column sampling."""
     boosted = GBTRegressor(
@@ -63,14 +62,12 @@ def train_boosted_trees(
         subsamplingRate=row_sample, featureSubsetStrategy=str(column_sample),
         minInstancesPerNode=min_rows, seed=seed,
     )
-    return _pipeline(train, features, boosted, handle_invalid).fit(_model_input(train, features, label))
+    return _pipeline(train, features, boosted).fit(_model_input(train, features, label))
 
 
 def _model_input(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
-    """Only the columns the model reads, with a label in every row."""
-    return df.select(*resolve_columns(df, features), F.col(label).cast("double").alias(label)).na.drop(
-        subset=[label]
-    )
+    """Only the columns the model reads, of rows without a gap in them: what a model can be fitted on."""
+    return df.select(*resolve_columns(df, features), F.col(label).cast("double").alias(label)).na.drop()
 
 
 def feature_importance(model: PipelineModel, df: DataFrame, suffix: str = "_indexed") -> DataFrame:
@@ -93,9 +90,15 @@ def feature_importance(model: PipelineModel, df: DataFrame, suffix: str = "_inde
 
 
 def predict(model: PipelineModel, df: DataFrame, output: str = "prediction") -> DataFrame:
-    """Add the model's prediction to the rows."""
+    """Add the model's prediction to every row: NULL where a feature is NULL or NaN."""
+    inputs = model.stages[-2].getInputCols()
     scored = model.transform(df).drop("features")
-    return scored if output == "prediction" else scored.withColumnRenamed("prediction", output)
+    gap = reduce(
+        lambda a, b: a | b, [F.col(quoted(c)).isNull() | F.isnan(F.col(quoted(c)).cast("double")) for c in inputs]
+    )
+    found = F.when(~gap, F.col("prediction"))
+    columns = [found.alias(output) if c == "prediction" else F.col(quoted(c)) for c in scored.columns]
+    return scored.select(*columns)
 
 
 def compare_feature_sets(
@@ -108,8 +111,13 @@ def compare_feature_sets(
     depth: int = 10,
     seed: int = 42,
 ) -> DataFrame:
-    """Test error of one forest per named feature set: feature_set, features, rmse."""
+    """Test error of one forest per named feature set: feature_set, features, rmse.
+
+    All sets are scored on the same test rows: those without a gap in any feature of any set.
+    """
     train, test = split(df, weights, key, seed)
+    every = dict.fromkeys(c for features in sets.values() for c in resolve_columns(df, features))
+    test = test.na.drop(subset=[*every, label])
     results = []
     for name, features in sets.items():
         model = train_random_forest(train, features, label, trees, depth, seed)

@@ -93,8 +93,8 @@ def hourly_actual_vs_potential(
 
 
 def word_freq(df: DataFrame, column: str, stop_words: Sequence[str] = ()) -> DataFrame:
-    """How often each lower-cased word occurs; words are counted in each task before the shuffle."""
-    words = df.select(F.explode(F.split(F.lower(quoted(column)), r"\W+")).alias("word"))
+    """How often each lower-cased word of any script occurs; words are counted in each task before the shuffle."""
+    words = df.select(F.explode(F.split(F.lower(quoted(column)), r"(?U)\W+")).alias("word"))
     words = words.where(F.col("word") != "")
     if stop_words:
         words = words.where(~F.col("word").isin(list(stop_words)))

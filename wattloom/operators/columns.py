@@ -102,25 +102,16 @@ def wide_ratio(
         .agg(F.map_from_entries(F.collect_set(F.struct("_group", "_factor"))).alias("_factors"))
         .scalar()
     )
-    present = [g for g in groups if g in df.columns]
+    if missing := [g for g in groups if g not in df.columns]:
+        raise ValueError(f"no column for the groups {missing}")
     added = {
-        g + suffix: F.col(quoted(g)) * F.try_element_at(F.col("_factors"), F.lit(g)) for g in present
+        g + suffix: F.col(quoted(g)) * F.try_element_at(F.col("_factors"), F.lit(g)) for g in groups
     }
-    known = project(df, [*ids, *present]).withColumn("_factors", factors)
+    known = project(df, [*ids, *groups]).withColumn("_factors", factors)
     return known.withColumns(added).drop("_factors")
 
 
-def pivot_values(df: DataFrame, column: str, limit: int = 1000) -> list[object]:
-    """The distinct non-null values of a pivot column, sorted; refuses more than ``limit``."""
-    rows = df.select(column).where(F.col(quoted(column)).isNotNull()).distinct().limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError(f"{column} has more than {limit} values; too many for columns")
-    return sorted(row[0] for row in rows)
-
-
 def inline_rows(one_row: DataFrame, rows: Sequence[Mapping[str, Column]]) -> DataFrame:
     """Turn a one-row aggregate into several rows, one per mapping of output names to expressions."""
     structs = [F.struct(*[e.alias(n) for n, e in row.items()]) for row in rows]
     return one_row.select(F.inline(F.array(*structs)))
-
-

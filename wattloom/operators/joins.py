@@ -44,8 +44,16 @@ def keep_matching(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFra
 
 
 def left_from_dense(dim: DataFrame, facts: DataFrame, dim_key: str, facts_key: str) -> DataFrame:
-    """Every row of the dense side, with its facts where there are any; the facts key is kept."""
-    return dim.join(facts, F.col(quoted(dim_key)) == F.col(quoted(facts_key)), "left")
+    """Every row of the dense side, with its facts where there are any; the facts key is kept.
+
+    Facts are the left side of an inner join, so a key with very many facts can be split and a small dense side broadcast;
+    rows of the dense side without facts are added from an anti join against the distinct keys of the facts.
+    """
+    same = F.col(quoted(dim_key)) == F.col(quoted(facts_key))
+    found = facts.join(dim, same).select(*[F.col(quoted(c)) for c in (*dim.columns, *facts.columns)])
+    bare = dim.join(facts.select(quoted(facts_key)).distinct(), same, "left_anti")
+    gaps = [F.lit(None).cast(f.dataType).alias(f.name) for f in facts.schema.fields]
+    return found.unionAll(bare.select(*[F.col(quoted(c)) for c in dim.columns], *gaps))
 
 
 def star_join(fact: DataFrame, dimensions: Sequence[tuple[DataFrame, str]]) -> DataFrame:
@@ -85,8 +93,8 @@ def join_all_entities(a: DataFrame, b: DataFrame, on: str | Sequence[str]) -> Da
 
 
 def join_twice(a: DataFrame, dim: DataFrame, a_key: str, dim_key: str) -> DataFrame:
-    """Reduce ``a`` to keys of ``dim``, then show it along every row of ``dim``."""
-    return left_from_dense(dim, keep_matching(a, dim, a_key, dim_key), dim_key, a_key)
+    """``a`` reduced to the keys of ``dim`` and shown along every row of ``dim``; one join does both."""
+    return left_from_dense(dim, a, dim_key, a_key)
 
 
 def attach(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:

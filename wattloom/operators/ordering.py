@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegralType
 
 from wattloom.operators.columns import quoted
 
@@ -40,15 +38,14 @@ def order_by_list(df: DataFrame, column: str, values: Sequence[object]) -> DataF
     return joined.select(column, *[F.col(quoted(c)) for c in rest])
 
 
-def batches(df: DataFrame, key: str, size: int, shard_rows: int = 1_000_000) -> DataFrame:
+def batches(df: DataFrame, key: str, size: int, shards: int) -> DataFrame:
     """Number disjoint slices of at most ``size`` rows: adds the columns shard and batch.
 
-    Rows are spread by their (unique) key over as many shards as their number asks for, and each shard
-    is cut into slices in key order; all slices of a shard are full except its last. Counts the rows.
+    Rows are spread by a hash of their (unique) key over ``shards`` shards, and each shard is cut into slices in
+    key order; all slices of a shard are full except its last. Choose shards that a task can sort.
     """
-    shards = max(1, math.ceil(df.count() / shard_rows))
     spec = Window.partitionBy("shard").orderBy(F.col(quoted(key)))
-    numbered = df.withColumn("shard", (_mixed(df, key, 42) % F.lit(shards)).cast("int"))
+    numbered = df.withColumn("shard", (_mixed(key, 42) % F.lit(shards)).cast("int"))
     number = F.row_number().over(spec) - 1
     return numbered.withColumn("batch", F.floor(number / F.lit(size)).cast("int"))
 
@@ -63,17 +60,15 @@ def except_distinct(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.subtract(b)
 
 
-def split_fraction(df: DataFrame, key: str, seed: int = 42) -> Column:
+def split_fraction(key: str, seed: int = 42) -> Column:
     """A number in [0, 1) fixed by the key alone, in thousandths."""
-    return (_mixed(df, key, seed) % F.lit(1000)) / F.lit(1000.0)
+    return (_mixed(key, seed) % F.lit(1000)) / F.lit(1000.0)
 
 
-def _mixed(df: DataFrame, key: str, seed: int) -> Column:
-    """A well-spread non-negative number made from a key; 0 for NULL."""
-    value = F.col(quoted(key))
-    if not isinstance(df.schema[key].dataType, IntegralType):
-        value = F.xxhash64(value)
-    return F.coalesce(F.pmod(value.cast("bigint"), F.lit(1_000_003)) * F.lit(7919) + F.lit(seed), F.lit(0))
+def _mixed(key: str, seed: int) -> Column:
+    """32 bits of a hash of seed and key."""
+    text = F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(quoted(key)).cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
 
 
 def split(df: DataFrame, weights: Sequence[float], key: str, seed: int = 42) -> list[DataFrame]:
@@ -88,5 +83,5 @@ def split(df: DataFrame, weights: Sequence[float], key: str, seed: int = 42) ->
         running += w
         edges.append(running / total)
     edges[-1] = 1.0
-    fraction = split_fraction(df, key, seed)
+    fraction = split_fraction(key, seed)
     return [df.where((fraction >= lo) & (fraction < hi)) for lo, hi in zip(edges, edges[1:])]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.operators.columns import quoted
@@ -14,11 +14,20 @@ def _list(names: str | Sequence[str]) -> list[str]:
     return [names] if isinstance(names, str) else list(names)
 
 
+def listed(column: str, values: Sequence[object]) -> Column:
+    """The pivot column; a value that is not listed is an error, NULL too (list ``None`` to give it a column)."""
+    c, known = F.col(quoted(column)), [v for v in values if v is not None]
+    good = F.coalesce(c.isin(known), F.lit(None in values))
+    text = F.concat(F.lit(f"{column} has a value without a column: "), F.coalesce(c.cast("string"), F.lit("NULL")))
+    return F.when(good, c).otherwise(F.raise_error(text))
+
+
 def pivot_mean(
     df: DataFrame, rows: str | Sequence[str], column: str, value: str, values: Sequence[object]
 ) -> DataFrame:
     """Mean per row key, one column per group; ``None`` in ``values`` gives the column ``null``."""
-    return df.groupBy(*_list(rows)).pivot(column, list(values)).agg(F.avg(quoted(value)))
+    known = df.withColumn(column, listed(column, values))
+    return known.groupBy(*_list(rows)).pivot(column, list(values)).agg(F.avg(quoted(value)))
 
 
 def pivot_unique(
@@ -28,7 +37,7 @@ def pivot_unique(
     cell = F.when(
         F.count(F.lit(1)) > 1, F.raise_error(F.lit(f"more than one {value} for a cell"))
     ).otherwise(F.max(quoted(value)))
-    cells = df.groupBy(*_list(index), column).agg(cell.alias("_cell"))
+    cells = df.withColumn(column, listed(column, values)).groupBy(*_list(index), column).agg(cell.alias("_cell"))
     return cells.groupBy(*_list(index)).pivot(column, list(values)).agg(F.max("_cell"))
 
 
@@ -43,14 +52,14 @@ def pivot_mode(
     df: DataFrame, index: str | Sequence[str], column: str, value: str, values: Sequence[object]
 ) -> DataFrame:
     """Most frequent value per cell."""
-    modes = group_mode(df, [*_list(index), column], value, "_mode")
+    modes = group_mode(df.withColumn(column, listed(column, values)), [*_list(index), column], value, "_mode")
     return modes.groupBy(*_list(index)).pivot(column, list(values)).agg(F.max("_mode"))
 
 
 def crosstab(df: DataFrame, a: str, b: str, values: Sequence[object]) -> DataFrame:
     """Row counts of a by b, zero where there are none; rows with a NULL on either side are left out."""
     known = df.na.drop(subset=[a, b])
-    wide = known.groupBy(a).pivot(b, list(values)).count()
+    wide = known.withColumn(b, listed(b, values)).groupBy(a).pivot(b, list(values)).count()
     return wide.na.fill(0, subset=[str(v) for v in values])
 
 

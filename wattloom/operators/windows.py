@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from wattloom.functions.values import ratio
 from wattloom.operators.columns import quoted
 from wattloom.operators.joins import attach
-from wattloom.shared import settle
 
 Feature = Callable[[WindowSpec], Column]
 
@@ -69,31 +68,27 @@ def window_features(
     features: Mapping[str, Feature],
     chunk: Column | None = None,
     lookback: int = 0,
-    long_series: int = 1_000_000,
 ) -> DataFrame:
     """Add window columns per series, all over one sort.
 
     ``order`` must order the rows of a series uniquely. Without ``chunk`` a series is handled by one
     task, which suits series bounded by a calendar (one row per household and day). For series that can
     grow without bound give ``chunk``, an expression that never decreases along ``order`` (the hour or
-    day of a timestamp, say), and ``lookback``, the number of earlier rows any feature reaches. Series of
-    more than ``long_series`` rows are then cut: each chunk is handled on its own, after the last
-    ``lookback`` rows before it are copied in. Shorter series stay whole.
+    day of a timestamp, say), and ``lookback``, the number of earlier rows any feature reaches. Every series is
+    then cut: each chunk is handled on its own, after the last ``lookback`` rows before it are copied in.
     """
     if chunk is None:
         spec = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({name: make(spec) for name, make in features.items()})
 
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > long_series)
-    marked = attach(df, settle(counts.select(*keys, F.lit(True).alias("_long")), "long"), keys)
-    rows = marked.withColumn("_chunk", F.when(F.col("_long"), chunk))
+    rows = df.withColumn("_chunk", chunk)
     both = rows.withColumn("_carried", F.lit(False))
     if lookback > 0:
-        carried = _carried_rows(rows.where("_long"), keys, order, lookback)
+        carried = _carried_rows(rows, keys, order, lookback)
         both = both.unionByName(carried.withColumn("_carried", F.lit(True)))
     spec = Window.partitionBy(*keys, "_chunk").orderBy(*order)
     done = both.withColumns({name: make(spec) for name, make in features.items()})
-    return done.where(~F.col("_carried")).drop("_carried", "_chunk", "_long")
+    return done.where(~F.col("_carried")).drop("_carried", "_chunk")
 
 
 def _carried_rows(rows: DataFrame, keys: Sequence[str], order: Sequence[str], depth: int) -> DataFrame:
@@ -139,4 +134,4 @@ def share_of_group(
     task. NULL keys form a group; a zero total gives a NULL fraction.
     """
     totals = df.groupBy(*[quoted(k) for k in keys]).agg(F.sum(quoted(value)).alias(total))
-    return attach(df, settle(totals), keys).withColumn(share, ratio(F.col(quoted(value)), F.col(total)))
+    return attach(df, totals, keys).withColumn(share, ratio(F.col(quoted(value)), F.col(total)))

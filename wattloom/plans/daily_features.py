@@ -37,7 +37,6 @@ from wattloom.operators.windows import (
     trend,
     window_features,
 )
-from wattloom.shared import settle
 from wattloom.sources.readers import read_csv_dir, read_halfhourly
 
 STAMP = "dd/MM/yyyy HH:mm"
@@ -66,7 +65,7 @@ def daily_weather_features(daily: DataFrame, weather: DataFrame, bank_holidays:
     Weather gaps are filled over the weather table itself before the join; days that still miss a value
     are dropped, which also drops days without weather, so the join is an inner one.
     """
-    days = settle(weather)
+    days = weather
     filled = fill_const(fill_mean(days, "cloudCover"), {"uvIndex": 0.0})
     dated = filled.withColumn("date", to_day(parse_ts("time", STAMP))).drop("uvIndexTime")
     use = daily.withColumn("day", parse_mixed_date(F.col("day").cast("string")))
@@ -105,7 +104,6 @@ def household_series_features(
     energy: str = "energy_sum",
     time: str | None = "time",
     chunk: Column | None = None,
-    long_series: int = 1_000_000,
 ) -> DataFrame:
     """Lags, rolling sums and trends of each household's daily use, with gaps filled.
 
@@ -131,7 +129,6 @@ def household_series_features(
         },
         chunk=chunk,
         lookback=29,
-        long_series=long_series,
     )
     derived = series.withColumns(
         {
@@ -186,7 +183,7 @@ def smoothed_weather(
     ),
 ) -> DataFrame:
     """Every household's days joined to the weather, with n-row means that wait for n values."""
-    joined = inner_join(daily, settle(weather), on)
+    joined = inner_join(daily, weather, on)
     return window_features(
         joined, [entity], [on], {name: rolling_mean_full(c, n) for c, name in columns}
     )

@@ -26,7 +26,7 @@ from wattloom.operators.imputation import fill_const
 from wattloom.operators.ordering import split
 from wattloom.operators.profiling import corr_with_target
 from wattloom.plans.daily_features import forecast_features
-from wattloom.sources.writers import write_csv_by_key, write_single_csv, write_text
+from wattloom.sources.writers import write_csv, write_csv_by_key, write_text
 
 
 @dataclass
@@ -118,5 +118,5 @@ def forecast_consumption(model: PipelineModel, days: DataFrame, path: str | None
     """Predicted use for each day of a parsed forecast, written as one CSV when a path is given."""
     scored = score_forecast(model, forecast_features(days))
     if path:
-        write_single_csv(scored, path)
+        write_csv(scored, path)
     return scored

@@ -25,7 +25,7 @@ from wattloom.operators.joins import (
 from wattloom.operators.ordering import order_by_list, order_by_time
 from wattloom.operators.pivots import pivot_mean, pivot_mode, pivot_unique, size_unstack
 from wattloom.operators.profiling import quartiles
-from wattloom.shared import settle
+from wattloom.shared import materialize
 
 ENRICHED = [
     "Acorn",
@@ -53,13 +53,13 @@ def enrich_halfhourly(
 
     The tariff join comes first: it is the one that drops rows.
     """
-    priced = join_instants(drop_null(readings, "energy"), settle(tariff), "tstp", "TariffDateTime")
+    priced = join_instants(drop_null(readings, "energy"), tariff, "tstp", "TariffDateTime")
     joined = star_join(
         priced,
         [
             (households.drop("file"), "LCLid"),
             (acorn_information.select("Acorn", "Acorn Category"), "Acorn"),
-            (settle(efficiency), "Acorn"),
+            (efficiency, "Acorn"),
         ],
     )
     return joined.select(*[quoted(c) for c in ENRICHED])
@@ -79,8 +79,7 @@ def tariff_slot_usage(
     readings: DataFrame, households: DataFrame, acorn_information: DataFrame, tariff: DataFrame
 ) -> DataFrame:
     """Mean use per slot and household, shown along every tariff slot."""
-    slots = settle(tariff)
-    priced = keep_matching(drop_null(readings, "energy"), slots, "tstp", "TariffDateTime")
+    priced = keep_matching(drop_null(readings, "energy"), tariff, "tstp", "TariffDateTime")
     means = group_mean(priced, ["tstp", "LCLid"], "energy", "mean_energy")
     # The group columns depend on the household alone, so they are joined to the means, not the readings.
     described = star_join(
@@ -90,7 +89,7 @@ def tariff_slot_usage(
             (acorn_information.select("Acorn", "Acorn Category").distinct(), "Acorn"),
         ],
     ).select("tstp", "LCLid", "Acorn", "Acorn_grouped", "`Acorn Category`", "stdorToU", "mean_energy")
-    return left_from_dense(slots, described, "TariffDateTime", "tstp")
+    return left_from_dense(tariff, described, "TariffDateTime", "tstp")
 
 
 def tariff_slot_pivot(
@@ -102,10 +101,9 @@ def tariff_slot_pivot(
     values: Sequence[str],
 ) -> DataFrame:
     """Mean use per tariff slot, one column per value of a household group."""
-    slots = settle(tariff)
-    rows = household_readings(readings, households, acorn_information, slots)
+    rows = household_readings(readings, households, acorn_information, tariff)
     wide = pivot_mean(rows, "tstp", group, "energy", values)
-    dense = left_from_dense(slots, wide, "TariffDateTime", "tstp").drop("tstp")
+    dense = left_from_dense(tariff, wide, "TariffDateTime", "tstp").drop("tstp")
     return dense.withColumnRenamed("TariffDateTime", "Datetime")
 
 
@@ -193,9 +191,10 @@ def potential_use(
 def actual_vs_potential(with_potential: DataFrame, groups: Sequence[str]) -> DataFrame:
     """Hourly actual, potential and difference per group, with the quartiles of the actual use.
 
-    Means, potentials and groups come from one pass over the wide table, the quartiles from another.
+    Means, potentials and groups come from one pass over the wide table, the quartiles from others, so this
+    job writes the wide table once.
     """
-    with_potential = settle(with_potential)
+    with_potential = materialize(with_potential, "with-potential")
     pairs = F.array(
         *[
             F.struct(

@@ -1,9 +1,8 @@
-"""Plan size estimates and the shared scratch folder.
+"""The shared scratch folder.
 
-No operator forces a broadcast. Catalyst broadcasts a join side by itself when that side's size
-estimate is under ``spark.sql.autoBroadcastJoinThreshold``, and otherwise plans a shuffled join whose
-hot keys adaptive execution splits. File tables have exact estimates; a table derived from a large
-one does not, so ``settle`` writes such a table out once and reads it back with its real size.
+No operator forces a broadcast. Catalyst broadcasts a join side by itself when its size is under
+``spark.sql.autoBroadcastJoinThreshold`` (by estimate, or by what adaptive execution has measured), and otherwise plans a
+shuffled join whose hot keys adaptive execution splits.
 """
 
 from __future__ import annotations
@@ -24,41 +23,8 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimised plan; starts no job."""
-    if not hasattr(df, "_jdf"):  # a remote session has no plan object to ask
-        return None
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def broadcast_limit(spark: SparkSession) -> int:
-    """The session's automatic broadcast threshold in bytes; -1 when broadcasts are off."""
-    conf = spark._jsparkSession.sessionState().conf()
-    return int(conf.autoBroadcastJoinThreshold())
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether the size estimate is under the broadcast threshold."""
-    size = estimated_bytes(df)
-    return size is not None and size <= broadcast_limit(df.sparkSession)
-
-
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """Write to the shared folder and read back: cuts lineage and gives exact statistics."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def settle(df: DataFrame, label: str = "dimension") -> DataFrame:
-    """Give a derived join side its real size before it is joined to a large table.
-
-    Nothing happens when the estimate is small already or broadcasts are switched off. Otherwise the
-    side is written once; if it turns out small Catalyst broadcasts it and the large side is never
-    shuffled, and if it does not the join stays a shuffled one.
-    """
-    spark, size = df.sparkSession, estimated_bytes(df)
-    limit = broadcast_limit(spark) if size is not None else -1
-    if size is None or limit < 0 or size <= limit:
-        return df
-    return materialize(df, label)

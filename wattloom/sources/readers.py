@@ -23,10 +23,13 @@ def read_csv(
     quote: str = '"',
     **options: str,
 ) -> DataFrame:
-    """Headed CSV: one file, a folder, or an explicit list of files."""
+    """Headed CSV: one file, a folder, or an explicit list of files.
+
+    A header that does not name the schema's columns in order is an error, never a shift of values.
+    """
     paths = path if isinstance(path, str) else list(path)
     return spark.read.schema(schema).csv(
-        paths, header=True, sep=sep, quote=quote, encoding=encoding, **options
+        paths, header=True, sep=sep, quote=quote, encoding=encoding, enforceSchema=False, **options
     )
 
 

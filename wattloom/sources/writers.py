@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattloom.shared import is_small
-
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Parquet, optionally in partition folders.
@@ -22,9 +20,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
     df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
-def write_single_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Headed CSV; one file while the result is small, headed part files beyond that."""
-    _one_file_if_small(df).write.mode(mode).option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Headed CSV part files in one folder."""
+    df.write.mode(mode).option("header", True).csv(path)
 
 
 def write_csv_by_key(df: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
@@ -35,17 +33,7 @@ def write_csv_by_key(df: DataFrame, path: str, key: str, mode: str = "overwrite"
 def write_text(df: DataFrame, path: str, column: str, mode: str = "overwrite") -> None:
     """One value per line; rows with NULL are written as empty lines."""
     lines = df.select(F.coalesce(F.col(column).cast("string"), F.lit("")).alias("value"))
-    _one_file_if_small(lines).write.mode(mode).text(path)
-
-
-def _one_file_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
-    """A single partition for results that are small by estimate or by count.
-
-    The count stops after ``rows`` rows, so it never scans a large result to the end.
-    """
-    if is_small(df) or df.limit(rows + 1).count() <= rows:
-        return df.coalesce(1)
-    return df
+    lines.write.mode(mode).text(path)
 
 
 def register_table(
