@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,25 +39,3 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
-
-
-def release_shuffles(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that are done; it does so once the driver has let go of their plans."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
-def stored_by(df: DataFrame, label: str, key: str) -> tuple[DataFrame, str]:
-    """The rows of ``df`` in a table bucketed and sorted by ``key``, and its name: joins on the key need not shuffle it again."""
-    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    path = scratch_path(spark, label)
-    df.repartition(n, key).write.bucketBy(n, key).sortBy(key).option("path", path).format("parquet").saveAsTable(name)
-    return spark.table(name), name
-
-
-def drop_stored(spark: SparkSession, name: str) -> None:
-    """Drop a table of ``stored_by`` and its files."""
-    where = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'").first()["data_type"]
-    spark.sql(f"DROP TABLE {name}")
-    remove(spark, where)
