@@ -137,3 +137,22 @@ def test_odd_rows(odd, empty):
     assert len(got) == odd.count() and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
     assert len({(r.n_tokens, round(r.score, 3)) for r in got if r.id == 5}) == 1
     assert L.score(empty).count() == 0
+
+
+def test_every_training_text_is_learned_from(spark, monkeypatch):
+    """Without any window for the start, all that the model knows comes from the tasks."""
+    texts = [(i, "red green blue " * 2000) for i in range(200)]
+    docs = spark.createDataFrame(texts, "id bigint, text string").repartition(4)
+    ids, sizes = windows([t for _, t in texts[:1]])
+    classes = L.make_classes(np.bincount(ids, minlength=L.IDS).astype(float))
+    targets, inputs, first = L.blocks(classes.of[ids], sizes, classes.n)
+    monkeypatch.setattr(L, "training_windows", lambda *_: (targets[:0], inputs[:0], inputs[:0], first[:0]))
+    model, n = L.fit(docs, classes, BYTE_BPE)
+    assert n == 200 * len(targets)
+    before = L.Attention(classes.n).log_probabilities(targets, inputs, first).sum()
+    assert model.log_probabilities(targets, inputs, first).sum() > before / 2
+
+
+def test_context_moves_ids_beyond_the_commonest_64():
+    rest = L.make_classes(1.0 / np.arange(1, L.IDS + 1))
+    assert (rest.log_share[:200] == 0).sum() > 190

@@ -7,8 +7,11 @@ words of each document meet their counts in an equi-join, in which no word is fr
 **Model.** A text is the subword ids of its words, A-Z in lower case and each with a blank before it, and an end. The model gives
 P(id) = P(class | up to 31 ids before) P(id | class): the most frequent ids are classes of their own, the others
 share classes of about equal mass. The first factor is one head of causal self-attention over the classes, with a learned weight
-for each distance, trained in numpy on at most ``TRAINING_WINDOWS`` windows; the second comes from the counts of all training
-texts. Both are proper distributions, and so is their product.
+for each distance; the second comes from the counts of all training texts. Both are proper distributions, and so is their product.
+
+**Training.** The driver only finds a start, on at most ``TRAINING_WINDOWS`` windows. From there every window of every training text
+is learned from once: the texts fall into ``ROUNDS`` parts by hash, in a round each task takes Adam steps over its windows, and the
+tasks' weights are averaged by their windows. Steps grow with the windows; what a task sends has the size of the model.
 
 **Scoring.** Windows of 32 ids overlap by half: each block of 16 is scored once, by queries that see their own block up to
 themselves and the block before. Blocks of many texts go through the attention as one masked batch.
@@ -35,7 +38,8 @@ from wattloom.llm.tokenizers import BYTE_BPE, END, IDS, byte_bpe
 
 COMMON = 200_000
 TRAINING_DOCUMENTS, TRAINING_WINDOWS = 400, 6_000
-SINGLE, SHARED = 64, 32  # classes of one id, and of many
+ROUNDS = 2
+SINGLE, SHARED = 256, 64  # classes of one id, and of many
 BLOCK, WIDTH = 16, 16
 _CACHED_WORDS = 200_000
 END_WORD = np.uint64(0x243F6A8885A308D3)  # stands for the end among word hashes
@@ -113,6 +117,21 @@ _distance = np.clip(_query - _key, 0, 2 * BLOCK - 1)
 _unseen = _key > _query
 
 
+class Adam:
+    """The running moments of gradients."""
+
+    def __init__(self):
+        self.m, self.s, self.t = {}, {}, 0
+
+    def step(self, weights: dict[str, np.ndarray], gradients: dict[str, np.ndarray], rate: float) -> None:
+        self.t += 1
+        for name, g in gradients.items():
+            self.m[name] = 0.9 * self.m.get(name, 0) + 0.1 * g
+            self.s[name] = 0.99 * self.s.get(name, 0) + 0.01 * g * g
+            step = (self.m[name] / (1 - 0.9**self.t)) / (np.sqrt(self.s[name] / (1 - 0.99**self.t)) + 1e-8)
+            weights[name] -= (rate * step).astype(np.float32)
+
+
 class Attention:
     """One head of causal self-attention over class ids, with residual and softmax output; float32."""
 
@@ -193,14 +212,16 @@ class Attention:
         """Adam steps on random batches of windows, the rate falling to a tenth."""
         if not len(targets):
             return
-        rng, m, s = np.random.default_rng(seed), {}, {}
+        rng, adam = np.random.default_rng(seed), Adam()
         for t in range(1, steps + 1):
             pick = rng.integers(0, len(targets), batch)
-            for name, g in self.gradients(targets[pick], inputs[pick], before[pick], first[pick]).items():
-                m[name] = 0.9 * m.get(name, 0) + 0.1 * g
-                s[name] = 0.99 * s.get(name, 0) + 0.01 * g * g
-                step = (m[name] / (1 - 0.9**t)) / (np.sqrt(s[name] / (1 - 0.99**t)) + 1e-8)
-                self.weights[name] -= (rate * (1 - 0.9 * t / steps) * step).astype(np.float32)
+            adam.step(self.weights, self.gradients(targets[pick], inputs[pick], before[pick], first[pick]), rate * (1 - 0.9 * t / steps))
+
+    def learn(self, targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, adam: Adam, batch: int = 64, rate: float = 0.002) -> None:
+        """Adam steps over all windows, each used once, in batches of about ``batch``."""
+        order = np.random.default_rng(len(targets)).permutation(len(targets))
+        for pick in np.array_split(order, max(1, round(len(order) / batch))):
+            adam.step(self.weights, self.gradients(targets[pick], inputs[pick], before[pick], first[pick]), rate)
 
 
 def corpus_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
@@ -255,7 +276,7 @@ class Scorer:
 
 
 def training_windows(docs: DataFrame, classes: Classes, path: str, id_column: str, text: str) -> tuple[np.ndarray, ...]:
-    """At most ``TRAINING_WINDOWS`` windows of at most ``TRAINING_DOCUMENTS`` documents, those with the smallest hashes."""
+    """For the start: at most ``TRAINING_WINDOWS`` windows of at most ``TRAINING_DOCUMENTS`` documents, those with the smallest hashes."""
     some = docs.select(F.col(id_column).alias("_some")).orderBy(F.xxhash64("_some")).limit(TRAINING_DOCUMENTS).distinct()
     picked = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(F.broadcast(some), F.col("id").eqNullSafe(F.col("_some")), "left_semi")
 
@@ -275,6 +296,40 @@ def training_windows(docs: DataFrame, classes: Classes, path: str, id_column: st
     return got[:, :BLOCK], got[:, BLOCK : 2 * BLOCK], got[:, 2 * BLOCK : 3 * BLOCK], got[:, -1] > 0
 
 
+def fit(docs: DataFrame, classes: Classes, path: str, id_column: str = "id", text: str = "text") -> tuple[Attention, int]:
+    """The attention model trained on all windows of all of ``docs``, and how many windows those were."""
+    spark, model, windows = docs.sparkSession, Attention(classes.n), 0
+    model.train(*training_windows(docs, classes, path, id_column, text))
+    for part in range(ROUNDS):
+        sent = spark.sparkContext.broadcast((classes, model))
+
+        def run(parts: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+            classes, start = sent.value
+            encode, adam, own, n = Encoder(path), Adam(), Attention(classes.n), 0
+            own.weights = {name: w.copy() for name, w in start.weights.items()}
+            for _, words in slices(parts, "text"):
+                ids, sizes = encode(words, words.hashes(fold_case=True))
+                if not len(ids):
+                    continue
+                targets, inputs, first = blocks(classes.of[ids], sizes, classes.n)
+                own.learn(targets, inputs, inputs[np.maximum(np.arange(len(inputs)) - 1, 0)], first, adam)
+                n += len(targets)
+            if n:
+                flat = np.concatenate([[1.0], *(w.ravel() for w in own.weights.values())]) * n
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["place", "total"])
+
+        here = docs.where(F.pmod(F.xxhash64(id_column, text), F.lit(ROUNDS)) == part).select(F.col(text).alias("text"))
+        summed = here.mapInArrow(run, "place bigint, total double").groupBy("place").agg(F.sum("total").alias("total")).toPandas()
+        if len(summed):
+            total = summed.sort_values("place")["total"].to_numpy()
+            windows, mean, at = windows + round(total[0]), total[1:] / total[0], 0
+            for name, w in model.weights.items():
+                model.weights[name] = mean[at : at + w.size].astype(np.float32).reshape(w.shape)
+                at += w.size
+        sent.unpersist()
+    return model, windows
+
+
 def row_key(id_column: str, text: str) -> Column:
     return F.xxhash64(id_column, text)
 
@@ -298,8 +353,7 @@ def score(docs: DataFrame, held_out_fold: int = 1, path: str = BYTE_BPE, id_colu
     per_id = np.zeros(IDS)
     per_id[ids["key"].to_numpy(np.int64)] = ids["n"].to_numpy(np.float64)
     classes = make_classes(per_id)
-    model = Attention(classes.n)
-    model.train(*training_windows(training, classes, path, "id", "text"))
+    model, _ = fit(training, classes, path)
     floor = np.log10(n + 0.5 * (v + 1))
     scorer = spark.sparkContext.broadcast(Scorer(classes, model, keys[order], np.log10(common["n"].to_numpy(np.float64)[order] + 0.5), path))
     keyed = narrow.select(row_key("id", "text").alias("row"), "id", "text")
