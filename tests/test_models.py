@@ -9,6 +9,7 @@ import pytest
 from conftest import values
 from pyspark.ml.functions import vector_to_array
 
+from wattloom.catalog import all_queries
 from wattloom.ml import features as ft
 from wattloom.ml import trees as tr
 from wattloom.plans import modelling
@@ -100,3 +101,26 @@ def test_forecast_scoring(spark, rows, table, tmp_path):
     )
     scored = modelling.forecast_consumption(model, days, str(tmp_path / "f"))
     assert scored.columns == ["Date", "Predicted_Energy_Consumption"] and scored.count() == 1
+
+
+class Asked(Exception):
+    """Raised in place of a model, with what it was asked to be."""
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+@pytest.mark.parametrize(
+    "name",
+    ["m7_train_random_forest", "m8_train_boosted_trees", "m9_feature_importance", "m10_compare_feature_sets", "m11_predict",
+     "m12_score_forecast", "m13_actual_vs_predicted", "k6_save_and_load_model", "x9_train_evaluate_export",
+     "x10_screen_features", "x10_top_features", "x11_score_forecast"],
+)
+def test_registered_queries_ask_for_whole_models(spark, name, monkeypatch):
+    def asked(**parameters):
+        raise Asked(parameters)
+
+    monkeypatch.setattr(tr, "RandomForestRegressor", asked)
+    monkeypatch.setattr(tr, "GBTRegressor", asked)
+    with pytest.raises(Asked) as got:
+        all_queries()[name](spark, "/root/testdata/sf0.001")
+    wanted = {"maxIter": 600, "maxDepth": 5} if name.startswith("m8") else {"numTrees": 100, "maxDepth": 10}
+    assert wanted.items() <= got.value.args[0].items()

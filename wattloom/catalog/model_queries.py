@@ -21,10 +21,6 @@ from wattloom.plans.daily_features import forecast_features, household_series_fe
 from wattloom.shared import materialize, scratch_path
 from wattloom.sources import readers
 
-# Smaller than the defaults (100 trees of depth 10, 600 boosting rounds): the check needs a fitted model
-# on every row, not the last bit of accuracy.
-TREES, DEPTH, ROUNDS = 20, 6, 10
-
 
 def line_vectors(t: Tables, handle_invalid: str = "error") -> DataFrame:
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_discount", "l_tax")
@@ -103,7 +99,7 @@ def model_rows(t: Tables) -> DataFrame:
 
 def forest(rows: DataFrame):
     train, test = split(rows, [0.8, 0.2], "split_key")
-    return tr.train_random_forest(train, lookups.FORECAST_FEATURES, "energy_mean", TREES, DEPTH), test
+    return tr.train_random_forest(train, lookups.FORECAST_FEATURES, "energy_mean"), test
 
 
 @query("m7_train_random_forest")
@@ -117,7 +113,7 @@ def m8(t: Tables) -> DataFrame:
     series = household_series_features(feature_rows(t).drop("day_of_week", "is_weekend", "month"), time=None)
     rows = materialize(series.withColumn("split_key", F.xxhash64("LCLid", "day")), "series")
     train, test = split(rows, [0.9, 0.1], "split_key")
-    model = tr.train_boosted_trees(train, lookups.SERIES_FEATURES, "energy_sum", ROUNDS)
+    model = tr.train_boosted_trees(train, lookups.SERIES_FEATURES, "energy_sum")
     return tr.predict(model, test).select("LCLid", "day", "energy_sum", "prediction")
 
 
@@ -133,9 +129,7 @@ def m10(t: Tables) -> DataFrame:
     coded = ft.label_encode(model_rows(t), ["precipType"]).drop("precipType").withColumnRenamed(
         "precipType_code", "precipType"
     )
-    return tr.compare_feature_sets(
-        materialize(coded, "coded"), lookups.FEATURE_SETS, "energy_mean", "split_key", trees=TREES, depth=DEPTH
-    )
+    return tr.compare_feature_sets(materialize(coded, "coded"), lookups.FEATURE_SETS, "energy_mean", "split_key")
 
 
 @query("m11_predict")
@@ -168,7 +162,7 @@ def k6(t: Tables) -> DataFrame:
 
 @query("x9_train_evaluate_export")
 def x9(t: Tables) -> DataFrame:
-    trained = modelling.train_and_evaluate(model_rows(t), trees=TREES, depth=DEPTH)
+    trained = modelling.train_and_evaluate(model_rows(t))
     path = scratch_path(t.spark, "x9")
     modelling.export_actual_vs_predicted(trained, path, ["MAC1", "MAC3", "MAC5"])
     exported = readers.read_csv(t.spark, path, "Date DATE, Actual DOUBLE, Predicted DOUBLE, LCLid STRING")
@@ -187,13 +181,13 @@ SCREENED = [
 
 @query("x10_screen_features")
 def x10(t: Tables) -> DataFrame:
-    screening = modelling.screen_features(model_rows(t), SCREENED, trees=TREES, depth=DEPTH)
+    screening = modelling.screen_features(model_rows(t), SCREENED)
     return screening.importance
 
 
 @query("x10_top_features")
 def x10_top(t: Tables) -> DataFrame:
-    screening = modelling.screen_features(model_rows(t), SCREENED, trees=TREES, depth=DEPTH)
+    screening = modelling.screen_features(model_rows(t), SCREENED)
     path = scratch_path(t.spark, "x10")
     modelling.write_top_features(screening, path, 15)
     return t.spark.read.text(path)
