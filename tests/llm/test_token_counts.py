@@ -4,6 +4,7 @@ import pytest
 from llm_texts import _package_on_workers, docs, empty, odd, prose  # noqa: F401
 from pyspark.sql import functions as F
 
+from wattloom.llm import queries as Q
 from wattloom.llm import token_counts as T
 from wattloom.llm.tokenizers import byte_bpe
 
@@ -73,3 +74,14 @@ def test_masking_edits(docs):
     table = T.with_trees(docs("mail joe@a.example.org or 12345 now", None, "1234 and 1234")).withColumn("edits", T.masking_edits())
     got = [r.edited for r in T.recount(table).orderBy("id").collect()]
     assert got == ["mail [private] or [private] now", "", "[private] and 1234"]
+
+
+def test_every_match_is_masked(docs, monkeypatch):
+    texts = ["1234 and 1234", "x 123456, then 1234 and 3456", "a@b.org ü日 a@b.org 55555 a@b.org", None, "", "none 123", "é 1234" * 400]
+    expected = ["[private] and [private]", "x [private], then [private] and [private]", "[private] ü日 [private] [private] [private]", "", "", "none 123", "é [private]" * 400]
+    got = T.recount(T.with_trees(docs(*texts)).withColumn("edits", T.every_match_edits())).orderBy("id").collect()
+    assert [r.edited for r in got] == expected
+    assert [r.n_edits for r in got] == [2, 3, 4, 0, 0, 0, 400] and all(r.n_skipped == 0 for r in got)
+    assert all(r.n_tokens_after == len(encode(r.edited)) for r in got)
+    monkeypatch.setattr(Q, "_table", lambda *_: docs(*texts))
+    assert [r.n_edits for r in Q.QUERIES["op6_token_counts"](docs("").sparkSession, "").orderBy("doc_id").collect()] == [2, 3, 4, 0, 0, 0, 400]

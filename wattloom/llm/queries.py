@@ -110,7 +110,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_token_counts")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    trees = token_counts.with_trees(docs).withColumn("edits", token_counts.masking_edits())
+    trees = token_counts.with_trees(docs).withColumn("edits", token_counts.every_match_edits())
     counted = token_counts.recount(trees)
     return counted.select(F.col("id").alias("doc_id"), *(c for c in token_counts.COUNTED if c != "edited"))
 

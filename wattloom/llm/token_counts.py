@@ -166,6 +166,18 @@ def _batch(rows: list[tuple], names: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names)
 
 
+def every_match_edits(text: str = "text", pattern: str = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|[0-9]{4,}", mask: str = "[private]") -> Column:
+    """Edits that put ``mask`` over every match of ``pattern``, each at its own place."""
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64()), ("replacement", pa.string())]))
+
+    @F.arrow_udf(EDITS)
+    def edits(texts: pa.Array) -> pa.Array:
+        find = re.compile(pattern).finditer
+        return pa.array([[{"start": m.start(), "stop": m.end(), "replacement": mask} for m in find(t.as_py() or "")] for t in texts], kind)
+
+    return edits(F.col(text))
+
+
 def masking_edits(text: str = "text", pattern: str = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+|[0-9]{4,}", mask: str = "[private]") -> Column:
     """Edits that put ``mask`` over the first place of each different match of ``pattern``."""
     found = F.array_distinct(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(f"({pattern})"), F.lit(1)))
