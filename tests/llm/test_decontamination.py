@@ -106,3 +106,27 @@ def test_odd_rows(spark, odd, empty, items):
 
 def test_search_of_no_words():
     assert D.search(Slice(pa.array([None, " "], pa.string())), D.build_block([(1, "a b c")], 0.2, 0.9), 0.2) == []
+
+
+@pytest.mark.parametrize("n", [200, 400, 800])
+def test_long_items_edited_at_the_bound_are_found(n):
+    rng, hits = random.Random(n), 0
+    for k in range(12):
+        item = prose(5000 + n + k, n, 3000)
+        copy = edited(item.split(), int(n * 0.2), rng)
+        text = " ".join([prose(rng.random(), 40), *copy, prose(rng.random(), 40)])
+        got = D.search(Slice(pa.array([text], pa.string())), D.build_block([(7, item)], 0.2, 0.9), 0.2)
+        for _, _, first, length, edits in got:
+            assert distance(fold(item), fold(text)[first : first + length])[-1] == edits <= int(n * 0.2)
+        hits += len(got)
+    assert hits >= 10
+
+
+def test_walks_that_do_not_reach_the_recall_are_no_limit(monkeypatch):
+    monkeypatch.setattr(D, "MOST_REPETITIONS", 1)
+    D.repetitions.cache_clear()
+    item = prose(77, 50, 3000)
+    text = " ".join([prose(3, 20), *edited(item.split(), 10, random.Random(4)), prose(4, 20)])
+    assert D.repetitions(44, 10, 0.9) is None
+    assert [g[1] for g in D.search(Slice(pa.array([text], pa.string())), D.build_block([(7, item)], 0.2, 0.9), 0.2)] == [7]
+    D.repetitions.cache_clear()

@@ -10,8 +10,11 @@ Documents are searched for stretches within a bounded edit distance, in words, o
 2. **Embedding.** A CGK random walk copies a word sequence to 3c symbols: step j writes the word under the pointer, which
    moves on if a random bit of (j, word) says so. Sequences at a small edit distance get embeddings at a small Hamming distance.
 3. **Bit-sampling LSH.** Each repetition has its own walk and hashes a few sampled steps of it. Repetitions are as many as
-   a simulation of d random edits needs to reach the target recall.
+   a simulation of d random edits needs to reach the target recall, and a second draw confirms. Walks drift apart along long
+   sequences, so an item of more than ``LONGEST_PIECE`` words is indexed by equal pieces: of k pieces, one has at most d / k
+   edits. Where ``MOST_REPETITIONS`` walks do not reach the target, every window with enough pairs is a candidate instead.
 4. **Verification.** Each candidate (window, item) is aligned exactly over the whole item; only distances within the bound count.
+   From a piece, the whole item's start is sought up to d words to either side of where the piece puts it.
 
 The benchmark is the query set: it is taken in blocks of a bounded number of items, each block sent to the tasks and held
 against all rows in one pass without a shuffle. Documents are never collected.
@@ -35,7 +38,8 @@ from wattloom.llm.text import Slice, mix, slices, windows
 
 BLOCK_ITEMS, BLOCK_BYTES = 20_000, 16 << 20
 SAMPLED = 3  # steps hashed in a repetition
-MOST_REPETITIONS = 64
+MOST_REPETITIONS, TRIALS = 128, 300
+LONGEST_PIECE = 104  # words; the pieces of longer items are of the same classes as shorter items
 _PAD = np.uint64(0xA5A5A5A5A5A5A5A5)
 _STEP, _WALK = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xCA5A826395121157)
 
@@ -70,12 +74,9 @@ def sampled_steps(c: int, walk: int) -> np.ndarray:
     return np.sort(np.random.default_rng((c, walk)).integers(0, 3 * c // 2 + 1, SAMPLED))
 
 
-@lru_cache(maxsize=None)
-def repetitions(c: int, edits: int, recall: float) -> int:
-    """Walks needed so that a sequence of c words with that many random edits is met with the given recall."""
-    if edits == 0:
-        return 1
-    rng, trials = np.random.default_rng(c * 1000 + edits), 60
+def _edited_copies(c: int, edits: int, trials: int, seed: int) -> np.ndarray:
+    """``trials`` random sequences of c words, and then a copy of each with that many random edits."""
+    rng = np.random.default_rng(seed)
     originals, edited = [], []
     for _ in range(trials):
         words = rng.integers(1, 1 << 62, c + edits, dtype=np.int64).tolist()
@@ -91,26 +92,38 @@ def repetitions(c: int, edits: int, recall: float) -> int:
                 other[place] = fresh
         originals.append(words[:c])
         edited.append((other + [0] * c)[:c])
-    flat = np.array(originals + edited, np.int64).view(np.uint64).ravel()
-    starts = np.arange(2 * trials) * c
-    met = np.zeros(trials, np.int64)
-    for walk in range(MOST_REPETITIONS):
-        h = embed(flat, starts, starts + c, walk, sampled_steps(c, walk))
-        met += h[:trials] == h[trials:]
-        if (met > 0).mean() >= recall:
-            return walk + 1
-    return MOST_REPETITIONS
+    return np.array(originals + edited, np.int64).view(np.uint64).ravel()
+
+
+@lru_cache(maxsize=None)
+def repetitions(c: int, edits: int, recall: float) -> int | None:
+    """Walks needed so that a sequence of c words with that many random edits is met with the given recall, in two separate
+    draws of such sequences; None if ``MOST_REPETITIONS`` do not reach it."""
+    if edits == 0:
+        return 1
+    starts, needed = np.arange(2 * TRIALS) * c, 0
+    for draw in range(2):
+        flat, met = _edited_copies(c, edits, TRIALS, c * 1000 + edits + 1_000_003 * draw), np.zeros(TRIALS, bool)
+        for walk in range(MOST_REPETITIONS):
+            h = embed(flat, starts, starts + c, walk, sampled_steps(c, walk))
+            met |= h[:TRIALS] == h[TRIALS:]
+            if met.mean() >= recall:
+                needed = max(needed, walk + 1)
+                break
+        else:
+            return None
+    return needed
 
 
 @dataclass
 class ItemClass:
-    """The items of one length class and their hash tables: sorted keys, and the item of each key, by walk."""
+    """The pieces of one length class and their hash tables: sorted keys, and the piece of each key, by walk."""
 
     words: int
     edits: int
-    pairs: int  # distinct word pairs that each item's first words have at least
-    items: list[int]
-    tables: list[tuple[np.ndarray, np.ndarray]]
+    pairs: int  # distinct word pairs that each piece has at least
+    pieces: list[tuple[int, int]]  # item, and the piece's first word in it
+    tables: list[tuple[np.ndarray, np.ndarray]] | None  # None: every window with enough pairs is aligned
 
 
 @dataclass
@@ -130,21 +143,24 @@ def build_block(items: list[tuple[int, str]], max_edits: float, recall: float) -
         for i in np.flatnonzero(cut.n_words > 0):
             kept.append(items[at + i][0])
             hashes.append(h[cut.first_word[i] : cut.first_word[i + 1]].copy())
-    by_class: dict[int, list[int]] = {}
+    by_class: dict[int, list[tuple[int, int]]] = {}
+    bounds: dict[int, int] = {}
     for i, h in enumerate(hashes):
-        by_class.setdefault(length_class(len(h)), []).append(i)
+        n = max(1, -(-len(h) // LONGEST_PIECE))
+        c = length_class(len(h) // n)
+        by_class.setdefault(c, []).extend((i, len(h) * k // n) for k in range(n))
+        bounds[c] = max(bounds.get(c, 0), edit_bound(len(h), max_edits) // n)
     pairs, classes = [np.zeros(0, np.uint64)], []
     for c, members in sorted(by_class.items()):
-        edits = max(edit_bound(len(hashes[i]), max_edits) for i in members)
-        starts_of = np.concatenate([hashes[i][:c] for i in members])
+        starts_of = np.concatenate([hashes[i][at : at + c] for i, at in members])
         starts = np.arange(len(members)) * c
-        tables = []
-        for walk in range(repetitions(c, edits, recall)):
+        walks, tables = repetitions(c, bounds[c], recall), []
+        for walk in range(walks or 0):
             keys = embed(starts_of, starts, starts + c, walk, sampled_steps(c, walk))
             order = np.argsort(keys, kind="stable")
-            tables.append((keys[order], np.array(members)[order]))
-        own = [np.unique(pair_hashes(hashes[i][:c])) for i in members]
-        classes.append(ItemClass(c, edits, min(map(len, own)), members, tables))
+            tables.append((keys[order], order))
+        own = [np.unique(pair_hashes(hashes[i][at : at + c])) for i, at in members]
+        classes.append(ItemClass(c, bounds[c], min(map(len, own)), members, tables if walks else None))
         pairs += own
     return ItemBlock(kept, hashes, np.unique(np.concatenate(pairs)), classes)
 
@@ -171,6 +187,22 @@ def edit_distance(item: np.ndarray, stretch: np.ndarray, bound: int) -> tuple[in
     return int(row[at]), at
 
 
+def place_within(item: np.ndarray, stretch: np.ndarray, bound: int) -> tuple[int, int, int]:
+    """Least edits that turn ``item`` into any part of ``stretch``, that part's first place and length; bound + 1 where it is more."""
+    if np.isin(item, stretch).sum() < len(item) - bound:
+        return bound + 1, 0, 0
+    places = np.arange(len(stretch) + 1)
+    row = np.zeros_like(places)
+    for k, word in enumerate(item, 1):
+        best = np.minimum(np.append(k, row[:-1] + (stretch != word)), np.append(k, row[1:] + 1))
+        row = np.minimum.accumulate(best - places) + places
+        if row.min() > bound:
+            return bound + 1, 0, 0
+    end = int(np.argmin(row))
+    edits, length = edit_distance(item[::-1], stretch[max(0, end - len(item) - bound) : end][::-1], bound)
+    return edits, end - length, length
+
+
 def search(cut: Slice, block: ItemBlock, max_edits: float) -> list[tuple[int, int, int, int, int]]:
     """(row, item, first word, words, edits) of each row and item that lie within the bound, at the best place."""
     h = cut.hashes(fold_case=True)
@@ -194,18 +226,31 @@ def search(cut: Slice, block: ItemBlock, max_edits: float) -> list[tuple[int, in
         if not len(starts):
             continue
         ends = np.minimum(starts + group.words, row_end[starts])
+        if group.tables is None:
+            candidates.update((int(start), *piece) for start in starts for piece in group.pieces)
+            continue
         for walk, (keys, members) in enumerate(group.tables):
             got = embed(h, starts, ends, walk, sampled_steps(group.words, walk))
             low, high = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
             for k in np.flatnonzero(high > low):
-                candidates.update((int(starts[k]), int(i)) for i in members[low[k] : high[k]])
+                candidates.update((int(starts[k]), *group.pieces[m]) for m in members[low[k] : high[k]])
     best: dict[tuple[int, int], tuple[int, int, int]] = {}
-    for start, i in sorted(candidates):
+    tried: set[tuple[int, int]] = set()
+    for start, i, offset in sorted(candidates):
         key = (int(cut.row[start]), i)
         if best.get(key, (1,))[0] == 0:
             continue
         item = block.hashes[i]
         bound = edit_bound(len(item), max_edits)
+        if len(item) > LONGEST_PIECE:
+            if (start - offset, i) in tried:  # another piece puts the item at the same place
+                continue
+            tried.add((start - offset, i))
+            begin = max(start - offset - bound, int(cut.first_word[key[0]]))
+            edits, first, length = place_within(item, h[begin : min(start - offset + len(item) + 2 * bound, int(row_end[start]))], bound)
+            if edits <= bound and (key not in best or edits < best[key][0]):
+                best[key] = (edits, begin + first - int(cut.first_word[key[0]]), length)
+            continue
         edits, length = edit_distance(item, h[start : min(start + len(item) + bound, int(row_end[start]))], bound)
         if edits <= bound and (key not in best or edits < best[key][0]):
             best[key] = (edits, start - int(cut.first_word[key[0]]), length)
