@@ -124,3 +124,10 @@ def test_registered_queries_ask_for_whole_models(spark, name, monkeypatch):
         all_queries()[name](spark, "/root/testdata/sf0.001")
     wanted = {"maxIter": 600, "maxDepth": 5} if name.startswith("m8") else {"numTrees": 100, "maxDepth": 10}
     assert wanted.items() <= got.value.args[0].items()
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="test tables are not here")
+def test_screening_reads_every_weather_column(spark):
+    got = {r.Feature: r.Importance for r in all_queries()["x10_screen_features"](spark, "/root/testdata/sf0.001").collect()}
+    assert {"dewPoint", "visibility", "moonPhase", "temperatureMax", "is_holiday"} <= got.keys()
+    assert abs(sum(got.values()) - 1) < 1e-6

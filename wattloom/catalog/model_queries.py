@@ -11,13 +11,13 @@ from wattloom.catalog.job_queries import FEATURE_VIEWS, FEATURES_SQL, feature_ro
 from wattloom.catalog.join_queries import parsed_holidays_sql
 from wattloom.catalog.registry import Tables, query
 from wattloom.catalog.source_queries import forecast_days
-from wattloom.catalog.stand_ins import r, rounded, sr, with_views
+from wattloom.catalog.stand_ins import daily, holidays, r, rounded, screening_weather, sr, with_views
 from wattloom.ml import features as ft
 from wattloom.ml import trees as tr
 from wattloom.operators.ordering import split
 from wattloom.operators.profiling import corr_with_target
 from wattloom.plans import modelling
-from wattloom.plans.daily_features import forecast_features, household_series_features
+from wattloom.plans.daily_features import daily_weather_features, forecast_features, household_series_features
 from wattloom.shared import materialize, scratch_path
 from wattloom.sources import readers
 
@@ -177,17 +177,24 @@ SCREENED = [
     "temp_humidity_interaction", "temp_cloudcover_interaction", "temp_uvindex_interaction", "daylight_duration",
     "temp_daylight_interaction",
 ]
+# The correlations' SQL has the columns of the weather stand-in; the forests screen these as well.
+SCREENED_BY_FOREST = [*SCREENED, "dewPoint", "visibility", "moonPhase"]
+
+
+def screening_rows(t: Tables) -> DataFrame:
+    keyed = daily_weather_features(daily(t), screening_weather(t), holidays(t))
+    return materialize(keyed.withColumn("split_key", F.xxhash64("LCLid", "day")), "screening")
 
 
 @query("x10_screen_features")
 def x10(t: Tables) -> DataFrame:
-    screening = modelling.screen_features(model_rows(t), SCREENED)
+    screening = modelling.screen_features(screening_rows(t), SCREENED_BY_FOREST)
     return screening.importance
 
 
 @query("x10_top_features")
 def x10_top(t: Tables) -> DataFrame:
-    screening = modelling.screen_features(model_rows(t), SCREENED)
+    screening = modelling.screen_features(screening_rows(t), SCREENED_BY_FOREST)
     path = scratch_path(t.spark, "x10")
     modelling.write_top_features(screening, path, 15)
     return t.spark.read.text(path)

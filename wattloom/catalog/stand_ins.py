@@ -175,6 +175,19 @@ def weather(t: Tables) -> DataFrame:
     )
 
 
+def screening_weather(t: Tables) -> DataFrame:
+    """``weather`` with the columns that only the feature screening reads."""
+    more = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(
+        (F.avg("l_quantity") - 25.0).alias("dewPoint"), (F.avg("l_extendedprice") / 5000.0).alias("visibility")
+    )
+    phase = F.pmod(F.datediff("d", F.lit("1992-01-04").cast("date")), F.lit(29)) / F.lit(29.0)
+    dated = more.select(
+        F.concat(F.date_format("d", "dd/MM/yyyy"), F.lit(" 00:00")).alias("time"), "dewPoint", "visibility",
+        phase.alias("moonPhase"),
+    )
+    return weather(t).join(dated, "time", "left")
+
+
 HOLIDAYS = (
     ("1996-12-25", "Christmas Day"),
     ("01/01/1997", "New Year's Day"),
