@@ -17,7 +17,7 @@ tables = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables are n
 
 def test_all_are_registered():
     named = entry_points.queries()
-    assert "pipeline" in named and {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in queries.QUERIES}
+    assert "pipeline" in named and {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in queries.QUERIES}
     assert set(queries.QUERIES) <= set(named) and set(queries.SQL) <= set(entry_points.oracle_sql())
 
 

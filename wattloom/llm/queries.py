@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, pii, quality_classifier, quality_rules, token_counts, warc
+from wattloom.llm import decontamination, jaccard_join, language_model, line_dedup, mixing, pii, quality_classifier, quality_rules, simhash, token_counts, warc
 from wattloom.llm.storage import importable
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,8 @@ FROM p LEFT JOIN r ON p.html = r.html
 @query("op10_warc", WARC_SQL)
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(_table(spark, folder, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op11_simhash")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents")).withColumnRenamed("id", "doc_id")
