@@ -5,11 +5,13 @@ from __future__ import annotations
 import os
 import random
 
+import numpy as np
 import pytest
 from conftest import values
 from pyspark.ml.functions import vector_to_array
 
 from wattloom.catalog import all_queries
+from wattloom.ml import boosting
 from wattloom.ml import features as ft
 from wattloom.ml import trees as tr
 from wattloom.plans import modelling
@@ -131,3 +133,60 @@ def test_screening_reads_every_weather_column(spark):
     got = {r.Feature: r.Importance for r in all_queries()["x10_screen_features"](spark, "/root/testdata/sf0.001").collect()}
     assert {"dewPoint", "visibility", "moonPhase", "temperatureMax", "is_holiday"} <= got.keys()
     assert abs(sum(got.values()) - 1) < 1e-6
+
+
+def boosted_by_hand(x, y, rounds, depth, alpha, l2, min_weight, step):
+    """The same trees over plain arrays, with a cut at every value."""
+    p = np.full(len(y), y.mean())
+    soft = lambda g: np.sign(g) * max(abs(g) - alpha, 0)
+
+    def leaf(rows, left):
+        g, h = (p - y)[rows].sum(), len(rows)
+        best = (1e-9, None)
+        for f in range(x.shape[1]) if left else ():
+            for cut in sorted(set(x[:, f])):
+                a, b = rows[x[rows, f] <= cut], rows[x[rows, f] > cut]
+                if min(len(a), len(b)) >= min_weight:
+                    worth = lambda r: soft((p - y)[r].sum()) ** 2 / (len(r) + l2)
+                    gain = worth(a) + worth(b) - worth(rows)
+                    if gain > best[0] + 1e-9 * abs(best[0]):
+                        best = (gain, (a, b))
+        if best[1] is None:
+            out[rows] = -soft(g) / (h + l2)
+        else:
+            for side in best[1]:
+                leaf(side, left - 1)
+
+    for _ in range(rounds):
+        out = np.zeros(len(y))
+        leaf(np.arange(len(y)), depth)
+        p = p + step * out
+    return p
+
+
+@pytest.mark.parametrize(("alpha", "l2"), [(0.0, 0.0), (3.0, 1.5), (40.0, 1.5)])
+def test_regularised_trees_equal_those_by_hand(spark, alpha, l2):
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 12, (400, 3)).astype(float)
+    y = x[:, 0] * 0.7 + np.where(x[:, 1] > 5, 2.0, -1.0) * (x[:, 2] > 3) + rng.normal(0, 0.3, 400)
+    rows = spark.createDataFrame([(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))], "k INT, A DOUBLE, b DOUBLE, c DOUBLE, y DOUBLE")
+    model = boosting.train_regularised_trees(rows, ["a", "b", "c"], "y", "k", 12, 3, 0.3, alpha, l2, 1.0, 1.0)
+    got = np.array([r.prediction for r in model.predict(rows).orderBy("k").collect()])
+    assert np.allclose(got, boosted_by_hand(x, y, 12, 3, alpha, l2, 5, 0.3), atol=1e-9)
+    leaves = [w for f, w in zip(model.feature[0], model.weight[0]) if f < 0]
+    assert alpha < 10 or 0.0 in leaves
+    assert sum(model.importance().values()) == sum(f >= 0 for tree in model.feature for f in tree)
+
+
+def test_regularised_trees_on_any_partitioning_and_with_gaps(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "WRITE_EVERY", 2)
+    rng = random.Random(2)
+    data = [(str(i), rng.random(), rng.choice([None, 1.0, float("nan"), 2.0]), rng.random()) for i in range(300)]
+    rows, found = spark.createDataFrame(data, "k STRING, a DOUBLE, b DOUBLE, y DOUBLE"), []
+    for n in (1, 5):
+        model = boosting.train_regularised_trees(rows.repartition(n), ["a", "b"], "y", "k", rounds=5, depth=2, alpha=0.1)
+        found.append({r.k: r.prediction for r in model.predict(rows).collect()})
+    assert all(found[0][k] is None or abs(found[0][k] - v) < 1e-9 for k, v in found[1].items())
+    assert {k for k, _, b, _ in data if b is None or b != b} == {k for k, v in found[0].items() if v is None}
+    nothing = boosting.train_regularised_trees(rows.where("a > 5"), ["a", "b"], "y", "k", rounds=2)
+    assert nothing.feature == [] and nothing.predict(rows).where("prediction = 0").count() > 0

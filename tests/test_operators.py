@@ -208,6 +208,18 @@ def test_kde_matches_the_formula(table):
     assert [r.x for r in got] == pytest.approx(grid) and [r.density for r in got] == pytest.approx(want)
 
 
+def test_kde_by_boxes_is_within_its_bound(table):
+    rng = np.random.default_rng(4)
+    xs = np.concatenate([rng.normal(0, 1, 800), rng.normal(60, 0.01, 50), [500.0], np.zeros(300)])
+    got = sorted(pr.kde(table("x DOUBLE", *[(float(v),) for v in xs], (None,), (float("nan"),)), "x").collect(), key=lambda r: r.point)
+    h = xs.std(ddof=1) * len(xs) ** -0.2
+    for r in got:
+        want = np.exp(-0.5 * ((r.x - xs) / h) ** 2).mean() / (h * np.sqrt(2 * np.pi))
+        assert abs(r.density - want) < 1e-11 / h and len(got) == 200
+    flat = pr.kde(table("x DOUBLE", (2.0,), (2.0,)), "x", grid=3).collect()
+    assert [r.density for r in flat] == [None] * 3
+
+
 def test_describe_and_boxes_match_pandas(table):
     random.seed(3)
     xs = [random.gauss(0, 1) for _ in range(200)] + [50.0, -40.0]
@@ -250,17 +262,28 @@ def test_quantiles_with_far_outliers_and_close_values(spark):
     assert [r.value for r in got] == [-1e300, pytest.approx(1.0 + 10_000.5e-12, abs=1e-15), 1e300]
 
 
-def test_images_keep_the_order_of_doubles(table):
-    random.seed(4)
-    xs = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf"), float("-inf"), 1e300]
-    xs += [s * 2.0**k * f for k in range(-1070, 1023, 61) for f in (1, 1 - 2**-53, 1 + 2**-52) for s in (1, -1)]
-    xs += [random.gauss(0, 1) * 10 ** random.randint(-300, 300) for _ in range(500)]
-    rows = sorted(table("x DOUBLE", *[(x,) for x in xs]).select("x", qn._image(F.col("x")).alias("i")).collect(), key=lambda r: r.x)
-    assert all(a.i <= b.i for a, b in zip(rows, rows[1:]))
-    shared = {}
-    for r in rows:
-        shared.setdefault(r.i, set()).add(r.x)
-    assert max(map(len, shared.values())) <= 4
+@pytest.mark.parametrize("accuracy", [10, 60, 10_000])
+def test_quantiles_of_groups_beyond_the_sketch(spark, accuracy):
+    """Brackets narrower than the groups, with ties, heavy values and close quantiles: still exact."""
+    rng = random.Random(accuracy)
+    rows = [(i % 3, rng.choice([1.0, 1.0, 2.5, rng.random() * 100, rng.gauss(0, 1e-9), -(10.0 ** rng.randint(-300, 300))])) for i in range(6000)]
+    rows += [(3, float(v)) for v in range(5)] + [(4, None), (5, 7.0)]
+    frame = pd.DataFrame(rows, columns=["g", "v"])
+    probs = (0.0, 0.01, 0.25, 0.251, 0.5, 0.75, 0.999, 1.0)
+    df = spark.createDataFrame(rows, "g INT, v DOUBLE").repartition(7)
+    got = {(r.g, r.prob): r.value for r in quantiles(df, "v", probs, ["g"], accuracy).collect()}
+    want = frame.dropna().groupby("g")["v"].quantile(list(probs))
+    assert got.keys() == set(want.index) and all(got[k] == pytest.approx(want[k], rel=1e-12) for k in got)
+
+
+def test_quantiles_scan_twice_and_count_few(spark, tmp_path):
+    spark.range(50_000).select((F.col("id") % 40_000).cast("double").alias("v"), F.rand(1).alias("w")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = quantiles(df, ["v", "w"], (0.25, 0.5, 0.75))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+    data = df.select(F.col("v").alias("_c0"))
+    state = data.agg(qn._brackets("_c0", [0.25, 0.5, 0.75], 10_000).alias("_b0"))
+    assert qn._counted(data, state, [], 1, 3).count() < 0.005 * 50_000
 
 
 def test_approximate_quantiles(table):
@@ -289,6 +312,23 @@ def test_trend_interval(table):
     assert got[1] == (2, 5.0, None, None)
 
 
+def test_bootstrap_interval_is_the_same_on_any_partitioning(spark):
+    rng = random.Random(6)
+    rows = [(i, i % 2, rng.gauss(i % 2, 1)) for i in range(800)] + [(9000, 2, 5.0), (9001, 3, None), (9002, None, 1.0)]
+    df = spark.createDataFrame(rows, "k INT, g INT, y DOUBLE")
+    found = {r.g: (r.mean, r.ci_low, r.ci_high) for r in agg.bootstrap_mean_ci(df.repartition(3), "g", "y", "k", 120).collect()}
+    again = {r.g: (r.mean, r.ci_low, r.ci_high) for r in agg.bootstrap_mean_ci(df.repartition(9), "g", "y", "k", 120).collect()}
+    assert found.keys() == {0, 1, 2, None} and all(found[g] == pytest.approx(again[g]) for g in found)
+    assert found[2] == (5.0, 5.0, 5.0)
+    for g in (0, 1):
+        mean, low, high = found[g]
+        half = 1.96 / 20  # 400 rows of deviation 1
+        assert low < mean < high and abs((high - low) / 2 - half) < 0.35 * half
+    weights = agg.bootstrap_weights(df, "k", 40, "w").collect()
+    drawn = np.array([r.w for r in weights])
+    assert abs(drawn.mean() - 1) < 0.03 and abs(drawn.var() - 1) < 0.05
+
+
 def test_words_and_errors(table):
     df = table("s STRING", ("Rain, rain the sun",), (None,), ("the sun.",))
     assert values(agg.word_freq(df, "s", ["the"])) == [("rain", 2), ("sun", 2)]
@@ -387,6 +427,19 @@ def test_batches_are_disjoint_and_complete(spark):
     assert all((s.iloc[:-1] == 30).all() for _, s in sizes.groupby(level=0))
 
 
+def test_global_rank_and_exact_slices(spark):
+    rng = random.Random(3)
+    rows = [(i, rng.choice([None, 1.0, rng.random()]), "x") for i in range(1003)]
+    df = spark.createDataFrame(rows, "k INT, v DOUBLE, rank STRING").repartition(7)
+    ranked = {r.k: r.rank for r in od.global_rank(df, "v", "k").collect()}
+    order = sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, r[0]))
+    assert ranked == {k: i for i, (k, *_) in enumerate(order)}
+    cut = od.slices(df, 100, "v", "k")
+    assert cut.columns == ["k", "v", "rank", "slice"]
+    assert {r.slice: r["count"] for r in cut.groupBy("slice").count().collect()} == {**{i: 100 for i in range(10)}, 10: 3}
+    assert od.global_rank(df.where("k < 0"), "k").count() == 0
+
+
 def test_sets(table):
     a, b = table("x INT", (1,), (1,), (2,)), table("x INT", (2,), (3,))
     assert values(od.union_all([a, b, b])) == [(1,), (1,), (2,), (2,), (2,), (3,), (3,)]

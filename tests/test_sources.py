@@ -8,9 +8,10 @@ from datetime import datetime
 
 import pytest
 from conftest import values
+from pyspark.sql import functions as F
 
 from wattloom import schemas, shared
-from wattloom.sources import readers, writers
+from wattloom.sources import files, publish, readers, writers
 
 
 def _files(path, suffix):
@@ -90,3 +91,47 @@ def test_text_and_table(spark, table, tmp_path):
 def test_scratch_is_in_the_warehouse_where_no_folder_is_named(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     assert shared.scratch_dir(spark) == (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch")
+
+
+def test_one_headed_file_in_order(spark, tmp_path):
+    df = spark.range(0, 500, 1, 9).select((F.lit(500) - F.col("id")).alias("n"), F.concat(F.lit('a,"'), "id").alias("t, x"))
+    path = str(tmp_path / "deep" / "one.csv")
+    writers.write_single_csv(df, path, "n")
+    writers.write_single_csv(df, path, "n")  # replaces the file
+    lines = (tmp_path / "deep" / "one.csv").read_text().splitlines()
+    assert lines[0] == 'n,"t, x"' and [int(x.split(",")[0]) for x in lines[1:]] == list(range(1, 501))
+    assert os.listdir(tmp_path / "deep") in (["one.csv"], [".one.csv.crc", "one.csv"], ["one.csv", ".one.csv.crc"])
+    assert readers.read_csv(spark, path, "n BIGINT, `t, x` STRING", escape='"').count() == 500
+    writers.write_single_csv(df.where("n < 0"), path)
+    assert (tmp_path / "deep" / "one.csv").read_text().splitlines() == ['n,"t, x"']
+
+
+def test_publication_replaces_only_what_is_in_hand(spark, tmp_path, monkeypatch):
+    folder, schema = str(tmp_path / "table"), "k INT, day STRING"
+    read = lambda: values(publish.read_manifest(spark, f"{folder}/{publish.MANIFEST}", schema))
+    rows = lambda *r: spark.createDataFrame(list(r), schema)
+    publish.publish(rows((1, "mon"), (2, "tue"), (3, "tue")), folder, "day")
+    publish.publish(rows((4, "tue"), (5, "wed")), folder, "day")
+    assert read() == [(1, "mon"), (4, "tue"), (5, "wed")]
+    monkeypatch.setattr(publish, "write_manifest", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        publish.publish(rows((9, "mon")), folder, "day")
+    assert read() == [(1, "mon"), (4, "tue"), (5, "wed")]
+    assert len(publish.tidy(spark, folder)) == 2 and read() == [(1, "mon"), (4, "tue"), (5, "wed")]
+    monkeypatch.undo()
+    publish.publish(rows((7, "sun")), folder)
+    assert read() == [(7, "sun")]
+    with pytest.raises(ValueError, match="NULL"):
+        publish.publish(rows((7, None)), folder, "day")
+
+
+def test_manifest_settings(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("k|t\n1|'x|y'\n")
+    manifest = {"fileLocations": [{"URIs": [str(tmp_path / "a.txt")]}], "globalUploadSettings": {"format": "CSV", "delimiter": "|", "textqualifier": "'", "containsHeader": "true"}}
+    (tmp_path / "m.json").write_text(json.dumps(manifest, indent=2))
+    assert values(publish.read_manifest(spark, str(tmp_path / "m.json"), "k INT, t STRING")) == [(1, "x|y")]
+    manifest["globalUploadSettings"]["containsHeader"] = "false"
+    (tmp_path / "m.json").write_text(json.dumps(manifest))
+    with pytest.raises(ValueError, match="headed"):
+        publish.read_manifest(spark, str(tmp_path / "m.json"), "k INT, t STRING")
+    assert files.exists(spark, str(tmp_path / "m.json")) and not files.exists(spark, str(tmp_path / "none"))

@@ -11,6 +11,7 @@ from wattloom.catalog import (  # noqa: F401
     job_queries,
     join_queries,
     model_queries,
+    model_steps,
     order_queries,
     source_queries,
     window_queries,

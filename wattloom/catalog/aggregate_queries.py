@@ -324,6 +324,24 @@ def a22(t: Tables) -> DataFrame:
     return rounded(agg.trend_mean_ci(rows, "day", "l_quantity"), digits=4)
 
 
+def _bootstrap_sql(replicates: int) -> str:
+    drawn = " + ".join(f"CASE WHEN draw >= {limit} THEN 1 ELSE 0 END" for limit in agg._POISSON)
+    return f"""
+        WITH rows AS (SELECT l_returnflag AS flag, l_quantity AS y, l_orderkey || ':' || l_linenumber AS key FROM lineitem),
+        drawn AS (SELECT flag, y, b, CAST('0x' || substr(md5('42:' || (b // 8) || ':' || key), 4 * (b % 8) + 1, 4) AS INTEGER) AS draw
+                  FROM rows, (SELECT unnest(range({replicates})) AS b)),
+        replicate AS (SELECT flag, b, sum(y * w) / sum(w) AS m FROM (SELECT *, {drawn} AS w FROM drawn) GROUP BY 1, 2 HAVING sum(w) > 0),
+        means AS (SELECT flag, avg(y) AS mean FROM rows GROUP BY 1)
+        SELECT flag, {sr('any_value(mean)')} AS mean, {sr('quantile_cont(m, 0.025)')} AS ci_low, {sr('quantile_cont(m, 0.975)')} AS ci_high
+        FROM replicate JOIN means USING (flag) GROUP BY 1"""
+
+
+@query("a22_bootstrap_mean_ci", _bootstrap_sql(48))
+def a22_bootstrap(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(F.col("l_returnflag").alias("flag"), "l_quantity", F.concat_ws(":", "l_orderkey", "l_linenumber").alias("key"))
+    return rounded(agg.bootstrap_mean_ci(rows, "flag", "l_quantity", "key", 48))
+
+
 @query(
     "a23_group_mean_all_numeric",
     f"""SELECT p_type, p_brand, {sr('avg(p_partkey)', 3)} AS p_partkey, {sr('avg(p_size)', 4)} AS p_size,

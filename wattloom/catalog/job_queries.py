@@ -266,7 +266,7 @@ SERIES_COLUMNS = [c for c in lookups.SERIES_FEATURES if c not in ("day_of_week",
     with_views(
         f"""SELECT "LCLid", day, CAST(dayofweek(day) + 1 AS INTEGER) AS day_of_week,
                    CAST(CASE WHEN isodow(day) >= 6 THEN 1 ELSE 0 END AS INTEGER) AS is_weekend,
-                   CAST(month(day) AS INTEGER) AS month, CAST(0 AS INTEGER) AS hour,
+                   CAST(month(day) AS INTEGER) AS month, CAST(dayofyear(day) % 24 AS INTEGER) AS hour,
                    {', '.join(f'{sr(f"coalesce({c}, 0)", 4)} AS {c}' for c in ('lag_1_day', 'lag_2_day', 'lag_7_day'))},
                    {', '.join(f'{sr(c, 4)} AS {c}' for c in ('rolling_energy_3d', 'rolling_energy_7d', 'rolling_energy_14d', 'rolling_energy_30d', 'rolling_energy_mean_14d'))},
                    {sr('coalesce(rolling_energy_std_14d, (SELECT stddev_samp(energy_sum) FROM features))', 4)} AS rolling_energy_std_14d,
@@ -281,13 +281,19 @@ SERIES_COLUMNS = [c for c in lookups.SERIES_FEATURES if c not in ("day_of_week",
     ),
 )
 def x8(t: Tables) -> DataFrame:
-    base = feature_rows(t).select(
-        "LCLid", "day", "energy_sum", "temperatureMax", "temperatureMin", "humidity", "cloudCover"
-    )
-    series = feats.household_series_features(base, time=None)
+    series = feats.household_series_features(series_rows(t))
     return rounded(series.select("LCLid", "day", *lookups.SERIES_FEATURES), *SERIES_COLUMNS, digits=4)
 
 
+def series_rows(t: Tables) -> DataFrame:
+    """Daily rows with the time of a reading, whose hour goes round with the day of the year."""
+    hour = F.lpad((F.dayofyear("day") % 24).cast("string"), 2, "0")
+    time = F.concat(F.date_format("day", "yyyy-MM-dd "), hour, F.lit(":30:00"))
+    return feature_rows(t).select(
+        "LCLid", "day", "energy_sum", "temperatureMax", "temperatureMin", "humidity", "cloudCover", time.alias("time")
+    )
+
+
 @query(
     "x11_forecast_features",
     with_views(
@@ -417,7 +423,7 @@ def x14_month(t: Tables) -> DataFrame:
     return tf.tariff_frequency(tariff(t), "Month")
 
 
-PROFILED = ["energy_mean", "energy_max", "energy_sum", "energy_min"]
+PROFILED = ["energy_mean", "energy_max", "energy_count", "energy_sum", "energy_min"]
 
 
 def _profile(t: Tables, part: str, name: str | None = None) -> DataFrame:
@@ -439,27 +445,32 @@ def x15_boxes(t: Tables) -> DataFrame:
     return _profile(t, "boxes")
 
 
-@query(
-    "x15_profile_histogram",
-    histogram_sql("daily", "energy_sum", 30).replace("WITH e AS", with_views("", "daily").rstrip() + ", e AS", 1),
-)
-def x15_histogram(t: Tables) -> DataFrame:
-    return _profile(t, "histograms", "histogram_energy_sum")
+def _histogram(column: str, name: str) -> None:
+    sql = histogram_sql("daily", column, 30).replace("WITH e AS", with_views("", "daily").rstrip() + ", e AS", 1)
+    query(name, sql)(lambda t: _profile(t, "histograms", f"histogram_{column}"))
+
+
+_histogram("energy_sum", "x15_profile_histogram")
+for _column in PROFILED:
+    if _column != "energy_sum":
+        _histogram(_column, f"x15_profile_histogram_{_column}")
+
+WEATHER_COLUMNS = [
+    "time", "sunriseTime", "sunsetTime", "uvIndexTime", "temperatureMax", "temperatureMin", "temperatureHigh", "temperatureLow",
+    "apparentTemperatureMax", "apparentTemperatureMin", "apparentTemperatureHigh", "apparentTemperatureLow", "humidity", "cloudCover",
+    "uvIndex", "pressure", "windSpeed", "windBearing", "precipType",
+]
 
 
 @query(
     "x15_profile_nulls",
     with_views(
-        " UNION ALL ".join(
-            f"""SELECT '{c}' AS "column", count(*) - count("{c}") AS nulls FROM weather"""
-            for c in ("uvIndex", "cloudCover", "pressure", "uvIndexTime", "humidity")
-        ),
+        " UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) - count("{c}") AS nulls FROM weather""" for c in WEATHER_COLUMNS),
         "weather",
     ),
 )
 def x15_nulls(t: Tables) -> DataFrame:
-    gaps = weather(t).select("uvIndex", "cloudCover", "pressure", "uvIndexTime", "humidity")
-    return profiles.table_profile(gaps, parts=["nulls"])["nulls"]
+    return profiles.table_profile(weather(t), parts=["nulls"])["nulls"]
 
 
 @query(

@@ -7,11 +7,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom import lookups
-from wattloom.catalog.job_queries import FEATURE_VIEWS, FEATURES_SQL, feature_rows
+from wattloom.catalog.job_queries import FEATURE_VIEWS, FEATURES_SQL, feature_rows, series_rows
 from wattloom.catalog.join_queries import parsed_holidays_sql
 from wattloom.catalog.registry import Tables, query
 from wattloom.catalog.source_queries import forecast_days
 from wattloom.catalog.stand_ins import daily, holidays, r, rounded, screening_weather, sr, with_views
+from wattloom.ml import boosting
 from wattloom.ml import features as ft
 from wattloom.ml import trees as tr
 from wattloom.operators.ordering import split
@@ -110,13 +111,47 @@ def m7(t: Tables) -> DataFrame:
 
 @query("m8_train_boosted_trees")
 def m8(t: Tables) -> DataFrame:
-    series = household_series_features(feature_rows(t).drop("day_of_week", "is_weekend", "month"), time=None)
+    series = household_series_features(series_rows(t))
     rows = materialize(series.withColumn("split_key", F.xxhash64("LCLid", "day")), "series")
     train, test = split(rows, [0.9, 0.1], "split_key")
     model = tr.train_boosted_trees(train, lookups.SERIES_FEATURES, "energy_sum")
     return tr.predict(model, test).select("LCLid", "day", "energy_sum", "prediction")
 
 
+BOOSTED_ROUNDS, BOOSTED_ALPHA = 4, 60.0
+
+
+def _boosted_sql() -> str:
+    """Stumps over two features of few values, one round after the other: best cut by gain, weights by soft threshold."""
+    soft = lambda g: f"sign({g}) * greatest(abs({g}) - {BOOSTED_ALPHA}, 0)"
+    score = lambda g, h: f"pow(greatest(abs({g}) - {BOOSTED_ALPHA}, 0), 2) / ({h} + 1.5)"
+    views = {
+        "r0": """SELECT l_orderkey, l_linenumber, l_linenumber::DOUBLE AS f0, l_discount AS f1, l_extendedprice / 100000.0 AS y,
+                        avg(l_extendedprice / 100000.0) OVER () AS p FROM lineitem"""
+    }
+    for t in range(BOOSTED_ROUNDS):
+        views[f"h{t}"] = f"""SELECT f, v, sum(p - y) AS g, count(*) AS h FROM (SELECT 0 AS f, f0 AS v, p, y FROM r{t} UNION ALL SELECT 1, f1, p, y FROM r{t}) GROUP BY 1, 2"""
+        views[f"c{t}"] = f"""SELECT f, v, sum(g) OVER (PARTITION BY f ORDER BY v) AS gl, sum(h) OVER (PARTITION BY f ORDER BY v) AS hl,
+                                    sum(g) OVER (PARTITION BY f) AS ga, sum(h) OVER (PARTITION BY f) AS ha FROM h{t}"""
+        views[f"b{t}"] = f"""SELECT f, v, -({soft('gl')}) / (hl + 1.5) AS wl, -({soft('(ga - gl)')}) / (ha - hl + 1.5) AS wr
+                             FROM c{t} WHERE hl >= 5 AND ha - hl >= 5
+                             ORDER BY round({score('gl', 'hl')} + {score('(ga - gl)', '(ha - hl)')} - {score('ga', 'ha')}, 7) DESC, f, v LIMIT 1"""
+        views[f"r{t + 1}"] = f"""SELECT r.* EXCLUDE (p), p + 0.1 * CASE WHEN CASE WHEN f = 0 THEN f0 ELSE f1 END <= v THEN wl ELSE wr END AS p FROM r{t} r, b{t}"""
+    return with_views(f"SELECT l_orderkey, l_linenumber, {sr('p', 5)} AS prediction FROM r{BOOSTED_ROUNDS}", **views)
+
+
+@query("m8_regularised_trees", _boosted_sql())
+def m8_regularised(t: Tables) -> DataFrame:
+    rows = t.lineitem.select(
+        "l_orderkey", "l_linenumber", F.col("l_linenumber").cast("double").alias("f0"), F.col("l_discount").alias("f1"),
+        (F.col("l_extendedprice") / 100000.0).alias("y"), F.concat_ws(":", "l_orderkey", "l_linenumber").alias("row_key"),
+    )
+    model = boosting.train_regularised_trees(
+        rows, ["f0", "f1"], "y", "row_key", rounds=BOOSTED_ROUNDS, depth=1, alpha=BOOSTED_ALPHA, row_sample=1.0, column_sample=1.0
+    )
+    return model.predict(rows).select("l_orderkey", "l_linenumber", r("prediction", 5).alias("prediction"))
+
+
 @query("m9_feature_importance")
 def m9(t: Tables) -> DataFrame:
     rows = model_rows(t)
@@ -148,7 +183,7 @@ def m12(t: Tables) -> DataFrame:
 @query("m13_actual_vs_predicted")
 def m13(t: Tables) -> DataFrame:
     model, test = forest(model_rows(t))
-    return tr.actual_vs_predicted(model, test, "LCLid", "day", "energy_mean", ["MAC1", "MAC3", "MAC5"])
+    return tr.actual_vs_predicted(model, test, "LCLid", "day", "energy_mean")
 
 
 @query("k6_save_and_load_model")
@@ -164,7 +199,7 @@ def k6(t: Tables) -> DataFrame:
 def x9(t: Tables) -> DataFrame:
     trained = modelling.train_and_evaluate(model_rows(t))
     path = scratch_path(t.spark, "x9")
-    modelling.export_actual_vs_predicted(trained, path, ["MAC1", "MAC3", "MAC5"])
+    modelling.export_actual_vs_predicted(trained, path, None)
     exported = readers.read_csv(t.spark, path, "Date DATE, Actual DOUBLE, Predicted DOUBLE, LCLid STRING")
     per_household = exported.groupBy("LCLid").agg(F.count(F.lit(1)).alias("exported"))
     return per_household.withColumn("rmse", trained.evaluation.select("rmse").scalar())
@@ -177,24 +212,26 @@ SCREENED = [
     "temp_humidity_interaction", "temp_cloudcover_interaction", "temp_uvindex_interaction", "daylight_duration",
     "temp_daylight_interaction",
 ]
-# The correlations' SQL has the columns of the weather stand-in; the forests screen these as well.
-SCREENED_BY_FOREST = [*SCREENED, "dewPoint", "visibility", "moonPhase"]
+SCREENED += ["dewPoint", "visibility", "moonPhase"]
+
+
+def screening_features(t: Tables) -> DataFrame:
+    return daily_weather_features(daily(t), screening_weather(t), holidays(t))
 
 
 def screening_rows(t: Tables) -> DataFrame:
-    keyed = daily_weather_features(daily(t), screening_weather(t), holidays(t))
-    return materialize(keyed.withColumn("split_key", F.xxhash64("LCLid", "day")), "screening")
+    return materialize(screening_features(t).withColumn("split_key", F.xxhash64("LCLid", "day")), "screening")
 
 
 @query("x10_screen_features")
 def x10(t: Tables) -> DataFrame:
-    screening = modelling.screen_features(screening_rows(t), SCREENED_BY_FOREST)
+    screening = modelling.screen_features(screening_rows(t), SCREENED)
     return screening.importance
 
 
 @query("x10_top_features")
 def x10_top(t: Tables) -> DataFrame:
-    screening = modelling.screen_features(screening_rows(t), SCREENED_BY_FOREST)
+    screening = modelling.screen_features(screening_rows(t), SCREENED)
     path = scratch_path(t.spark, "x10")
     modelling.write_top_features(screening, path, 15)
     return t.spark.read.text(path)
@@ -204,13 +241,13 @@ def x10_top(t: Tables) -> DataFrame:
     "x10_correlations",
     with_views(
         " UNION ALL ".join(
-            f"""SELECT '{c}' AS variable, {sr(f'corr("{c}", energy_mean)', 4)} AS corr FROM features""" for c in SCREENED
+            f"""SELECT '{c}' AS variable, {sr(f'corr("{c}", energy_mean)', 4)} AS corr FROM features JOIN screening USING (date)""" for c in SCREENED
         ),
-        *FEATURE_VIEWS, calendar=parsed_holidays_sql(), features=FEATURES_SQL,
+        *FEATURE_VIEWS, "screening", calendar=parsed_holidays_sql(), features=FEATURES_SQL,
     ),
 )
 def x10_correlations(t: Tables) -> DataFrame:
-    return rounded(corr_with_target(feature_rows(t), SCREENED, "energy_mean"), digits=4)
+    return rounded(corr_with_target(screening_features(t), SCREENED, "energy_mean"), digits=4)
 
 
 @query("x11_score_forecast")

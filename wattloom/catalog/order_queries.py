@@ -62,6 +62,19 @@ def l6(t: Tables) -> DataFrame:
     return od.batches(t.orders.select("o_orderkey"), "o_orderkey", 100, shards=16)
 
 
+@query(
+    "l6_exact_slices",
+    """SELECT o_orderkey, CAST(floor((row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1) / 250.0) AS BIGINT) AS slice FROM orders""",
+)
+def l6_exact(t: Tables) -> DataFrame:
+    return od.slices(t.orders.select("o_orderdate", "o_orderkey"), 250, "o_orderdate", "o_orderkey").select("o_orderkey", "slice")
+
+
+@query("l3_global_rank", "SELECT o_orderkey, row_number() OVER (ORDER BY o_totalprice, o_orderkey) - 1 AS rank FROM orders")
+def l3_rank(t: Tables) -> DataFrame:
+    return od.global_rank(t.orders.select("o_totalprice", "o_orderkey"), "o_totalprice", "o_orderkey").select("o_orderkey", "rank")
+
+
 @query(
     "u1_union_all",
     """SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' UNION ALL

@@ -12,7 +12,7 @@ from wattloom.catalog.stand_ins import readings, with_views
 from wattloom.functions.values import field
 from wattloom.operators.aggregates import group_count2
 from wattloom.shared import scratch_path
-from wattloom.sources import readers, writers
+from wattloom.sources import publish, readers, writers
 
 ORDERS_CSV = "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE, o_orderpriority STRING"
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
@@ -153,6 +153,28 @@ def k2(t: Tables) -> DataFrame:
     return readers.read_csv(t.spark, path, ORDERS_CSV)
 
 
+@query("k2_write_one_file", ORDERS_SQL)
+def k2_one_file(t: Tables) -> DataFrame:
+    path = f"{scratch_path(t.spark, 'k2')}/orders.csv"
+    writers.write_single_csv(t.orders.select(*ORDER_COLUMNS), path, "o_orderkey")
+    return readers.read_csv(t.spark, path, ORDERS_CSV)
+
+
+@query(
+    "k4_publish_and_read_manifest",
+    """SELECT o_orderkey, CASE WHEN o_orderpriority LIKE '1%' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, o_orderpriority FROM orders""",
+)
+def k4_publish(t: Tables) -> DataFrame:
+    """All orders published by priority, then one priority anew."""
+    folder = scratch_path(t.spark, "k4")
+    rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority")
+    publish.publish(rows, folder, "o_orderpriority")
+    urgent = rows.where("o_orderpriority LIKE '1%'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    publish.publish(urgent, folder, "o_orderpriority")
+    publish.tidy(t.spark, folder)
+    return publish.read_manifest(t.spark, f"{folder}/{publish.MANIFEST}", "o_orderkey BIGINT, o_totalprice DOUBLE, o_orderpriority STRING")
+
+
 @query("k3_write_csv_by_key", "SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders")
 def k3(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "k3")

@@ -32,14 +32,19 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: r(F.col(f"`{c}`"), digits) for c in names})
 
 
+def _first_slot() -> Column:
+    return F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
+
+
 def half_hour(ts: str) -> Column:
-    return F.window(F.col(ts), "30 minutes")["start"]
+    """The half hour that a time falls in; NULL stays NULL."""
+    minutes = (slot_number(ts) * 30).cast("int")
+    return F.timestamp_add("MINUTE", minutes, _first_slot())
 
 
 def slot_number(ts: str | Column) -> Column:
     """Half hours since 2024-01-01."""
-    start = F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")
-    return F.floor(F.timestamp_diff("MINUTE", start, F.col(ts) if isinstance(ts, str) else ts) / F.lit(30))
+    return F.floor(F.timestamp_diff("MICROSECOND", _first_slot(), F.col(ts) if isinstance(ts, str) else ts) / F.lit(1.8e9))
 
 
 def acorn_code(nationkey: str) -> Column:
@@ -281,6 +286,10 @@ SQL: dict[str, str] = {
                      avg(l_extendedprice / 1000.0) AS pressure, sum(l_discount) AS "windSpeed",
                      max(l_tax) AS "windBearing", min(l_returnflag) AS flag, count(*) AS n
               FROM lineitem GROUP BY 1)""",
+    "screening": """
+        SELECT CAST(l_shipdate AS DATE) AS date, avg(l_quantity) - 25.0 AS "dewPoint", avg(l_extendedprice) / 5000.0 AS visibility,
+               any_value(date_diff('day', DATE '1992-01-04', CAST(l_shipdate AS DATE)) % 29 + 29) % 29 / 29.0 AS "moonPhase"
+        FROM lineitem GROUP BY 1""",
     "holidays": """
         SELECT * FROM (VALUES ('1996-12-25', 'Christmas Day'), ('01/01/1997', 'New Year''s Day'),
                               ('1/1/1997', 'Bank Day'), ('04/03/1998', 'Founders Day'),

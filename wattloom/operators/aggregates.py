@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -81,6 +82,51 @@ def trend_mean_ci(df: DataFrame, x: str, y: str) -> DataFrame:
     )
 
 
+#: P(X <= k) of a Poisson variable of mean 1, for k = 0, 1, ..., in 65,536ths.
+_POISSON = tuple(round(65536 * math.exp(-1) * sum(1 / math.factorial(j) for j in range(k + 1))) for k in range(8))
+
+
+def bootstrap_weights(df: DataFrame, key: str, replicates: int, output: str, seed: int = 42) -> DataFrame:
+    """Add an array of how often each replicate draws the row: Poisson numbers of mean 1, fixed by a hash of the row's key alone.
+
+    One MD5 gives sixteen bits for each of eight replicates.
+    """
+    name = F.coalesce(F.col(quoted(key)).cast("string"), F.lit(""))
+    hashes = F.concat(*[F.md5(F.concat(F.lit(f"{seed}:{block}:"), name).cast("binary")) for block in range(-(-replicates // 8))])
+    digits = F.split(F.regexp_replace(hashes, "(.{4})", "$1 "), " ", replicates + 1)
+    draws = F.transform(F.slice(digits, 1, replicates), lambda four: F.conv(four, 16, 10).cast("int"))
+    return df.withColumn(output, F.transform(draws, lambda draw: sum(((draw >= F.lit(limit)).cast("int") for limit in _POISSON), F.lit(0))))
+
+
+def bootstrap_mean_ci(
+    df: DataFrame, x: str, y: str, key: str, replicates: int = 200, level: float = 0.95, seed: int = 42
+) -> DataFrame:
+    """Mean of y per x with a percentile bootstrap interval.
+
+    A Poisson bootstrap: each replicate weighs every row by its own number, so all replicates are plain sums of one
+    aggregate (two numbers a replicate from each task) and no row is ever copied or drawn on one machine. The result is the same on
+    any partitioning. A replicate that draws no row of a group is left out of its interval. ``key`` names a row.
+    """
+    rows = df.select(F.col(quoted(x)).alias("_x"), F.col(quoted(y)).cast("double").alias("_y"), F.col(quoted(key)).alias("_key"))
+    rows = bootstrap_weights(rows.where(F.col("_y").isNotNull()), "_key", replicates, "_w", seed).drop("_key")
+    weights = [F.get("_w", F.lit(b)) for b in range(replicates)]
+    sums = rows.groupBy("_x").agg(
+        F.avg("_y").alias("mean"),
+        F.array(*[F.sum(w * F.col("_y")) for w in weights]).alias("_sums"),
+        F.array(*[F.sum(w) for w in weights]).alias("_counts"),
+    )
+    means = F.zip_with("_sums", "_counts", lambda total, n: F.when(n > 0, total / n))
+    ordered = sums.withColumn("_means", F.array_sort(F.filter(means, lambda m: m.isNotNull())))
+
+    def at(p: float) -> Column:
+        place = F.lit(p) * (F.size("_means") - 1)
+        low, high = (F.get("_means", f(place).cast("int")) for f in (F.floor, F.ceil))
+        return low + (place - F.floor(place)) * (high - low)
+
+    tail = (1 - level) / 2
+    return ordered.select(F.col("_x").alias(x), "mean", at(tail).alias("ci_low"), at(1 - tail).alias("ci_high"))
+
+
 def hourly_actual_vs_potential(
     df: DataFrame, group: str, ts: str, actual: str, potential: str
 ) -> DataFrame:

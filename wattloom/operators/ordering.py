@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattloom.operators.columns import quoted
+from wattloom.shared import materialize
 
 
 def order_by(df: DataFrame, *columns: str) -> DataFrame:
@@ -50,6 +51,31 @@ def batches(df: DataFrame, key: str, size: int, shards: int) -> DataFrame:
     return numbered.withColumn("batch", F.floor(number / F.lit(size)).cast("int"))
 
 
+def global_rank(df: DataFrame, *columns: str, rank: str = "rank") -> DataFrame:
+    """Number all rows from 0 in the order of ``columns``, over any number of tasks.
+
+    Rows are dealt out by ranges of the order and written with their place within their range; the ranges' sizes, one
+    row a range, give each range's first number. Rows that are equal in all columns named are numbered in any order.
+    """
+    kept = df.columns
+    order = [F.col(quoted(c)) for c in columns]
+    dealt = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # the id of a row is its task and its place there
+    placed = dealt.withColumn("_id", F.monotonically_increasing_id())
+    placed = materialize(placed.withColumns({"_range": F.shiftright("_id", 33), "_place": F.col("_id").bitwiseAND((1 << 33) - 1)}).drop("_id"), "ranges")
+    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_range").alias("_of"), F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
+    numbered = placed.join(starts, F.col("_range") == F.col("_of"))
+    return numbered.select(*[F.col(quoted(c)) for c in kept if c != rank], (F.col("_start") + F.col("_place")).alias(rank))
+
+
+def slices(df: DataFrame, size: int, *columns: str) -> DataFrame:
+    """Cut rows in the order of ``columns`` into numbered slices of exactly ``size`` rows, but for the last: adds ``slice``."""
+    ranked = global_rank(df, *columns, rank="_rank")
+    return ranked.withColumn("slice", F.floor(F.col("_rank") / F.lit(size)).cast("bigint")).drop("_rank")
+
+
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows of tables with the same columns; duplicates stay."""
     return reduce(DataFrame.unionByName, frames)

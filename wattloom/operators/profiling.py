@@ -128,35 +128,56 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
 def kde(df: DataFrame, column: str, grid: int = 200, cut: float = 3.0) -> DataFrame:
     """Gaussian density curve with Scott's bandwidth: point, x, density.
 
-    Equal values are counted first. The kernels of all grid points are sums of one aggregate, so rows are
-    never multiplied and each task sends one row.
+    A fast Gauss transform: values fall into boxes one bandwidth wide, and one aggregate sums the first ``_MOMENTS`` powers of
+    their distances from the box's middle, so the cost is rows times powers, not rows times points. A box gives its part of the curve
+    by a Hermite series at the points within ``_REACH`` bandwidths. The series leaves out less than 1.1 * 0.5^m / sqrt(m!) a row
+    at m powers, 4e-13 for 18, and points beyond the reach get less than 1e-17 a row.
     """
     values = df.select(_number(column).alias("_x")).where("_x IS NOT NULL")
     bandwidth = F.nullif(F.stddev_samp("_x"), F.lit(0.0)) * F.pow(F.count("_x"), F.lit(-0.2))
-    extent = values.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), bandwidth.alias("h")).select(
-        "h",
+    extent = values.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi"), bandwidth.alias("h"), F.count("_x").alias("n")).select(
+        "h", "n",
         (F.col("lo") - cut * F.col("h")).alias("start"),
         ((F.col("hi") - F.col("lo") + 2 * cut * F.col("h")) / F.lit(float(max(grid - 1, 1)))).alias("step"),
     )
-    counted = values.groupBy("_x").agg(F.count(F.lit(1)).alias("_rows"))
-    known = counted.withColumn("_e", extent.select(F.struct("h", "start", "step")).scalar()).select(
-        ((F.col("_x") - F.col("_e.start")) / F.col("_e.h")).alias("_z"),
-        (F.col("_e.step") / F.col("_e.h")).alias("_dz"),
-        "_rows",
-    )
-    kernel = lambda k: F.col("_z") - F.lit(k) * F.col("_dz")
-    sums = known.agg(
-        F.sum("_rows").alias("_n"), *[F.sum(F.col("_rows") * F.exp(F.lit(-0.5) * kernel(k) * kernel(k))).alias(f"_p{k}") for k in range(grid)]
-    )
-    points = [F.struct(F.lit(k).alias("point"), (F.col(f"_p{k}") / F.col("_n")).alias("_mean")) for k in range(grid)]
-    curve = sums.select(F.inline(F.array(*points)))
-    return curve.withColumn("_e", extent.select(F.struct("h", "start", "step")).scalar()).select(
+    known = values.withColumn("_e", extent.select(F.struct("h", "start", "step")).scalar())
+    z = (F.col("_x") - F.col("_e.start")) / F.col("_e.h")
+    boxed = known.select((F.col("_e.step") / F.col("_e.h")).alias("_dz"), F.floor(z).alias("_box"), (z - F.floor(z) - 0.5).alias("_u"))
+    power, powers = F.lit(1.0), []
+    for _ in range(_MOMENTS):
+        powers.append(power)
+        power = power * F.col("_u")
+    boxes = boxed.groupBy("_box", "_dz").agg(F.array(*[F.sum(x) for x in powers]).alias("_moments"))
+    middle = F.col("_box") + 0.5
+    first = F.greatest(F.ceil((middle - _REACH) / F.col("_dz")), F.lit(0))
+    last = F.least(F.floor((middle + _REACH) / F.col("_dz")), F.lit(grid - 1))
+    near = boxes.where(first <= last).select(F.explode(F.sequence(first, last)).alias("_point"), middle.alias("_middle"), "_dz", "_moments")
+    t = F.col("_point") * F.col("_dz") - F.col("_middle")
+    sums = near.groupBy("_point").agg(F.sum(F.exp(-0.5 * t * t) * _hermite_sum(t)).alias("_mass"))
+    frame = extent.select("*", F.posexplode(F.array_repeat(F.lit(0), grid)).alias("point", "_"))
+    return frame.join(sums, F.col("point") == F.col("_point"), "left").select(
         "point",
-        (F.col("_e.start") + F.col("point") * F.col("_e.step")).alias("x"),
-        (F.col("_mean") / (F.col("_e.h") * math.sqrt(2 * math.pi))).alias("density"),
+        (F.col("start") + F.col("point") * F.col("step")).alias("x"),
+        F.when(F.col("h").isNotNull(), F.coalesce("_mass", F.lit(0.0)) / (F.col("n") * F.col("h") * math.sqrt(2 * math.pi))).alias("density"),
     )
 
 
+_MOMENTS, _REACH = 18, 9.0
+
+
+def _hermite_sum(t: Column) -> Column:
+    """The sum of moment m times He_m(t) / m!, by the recursion He_m+1 = t He_m - m He_m-1."""
+    start = F.struct(F.lit(0.0).alias("before"), F.lit(1.0).alias("now"), F.lit(1.0).alias("factor"), F.lit(0.0).alias("total"), F.lit(0.0).alias("m"))
+
+    def step(s: Column, moment: Column) -> Column:
+        return F.struct(
+            s.now.alias("before"), (t * s.now - s.m * s.before).alias("now"), (s.factor / (s.m + 1)).alias("factor"),
+            (s.total + moment * s.now * s.factor).alias("total"), (s.m + 1).alias("m"),
+        )
+
+    return F.aggregate("_moments", start, step, lambda s: s.total)
+
+
 def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Quartiles, the most extreme values within 1.5 IQR of the box, and the count beyond them."""
     boxes = {

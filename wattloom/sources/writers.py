@@ -7,6 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattloom.operators.columns import quoted
+from wattloom.shared import scratch_path
+from wattloom.sources.files import join_files, part_files, remove_path
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Parquet, optionally in partition folders.
@@ -25,6 +29,23 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).option("header", True).csv(path)
 
 
+def write_single_csv(df: DataFrame, path: str, *order: str) -> None:
+    """Exactly one headed CSV file at ``path``, in the order of the columns named.
+
+    Tasks write the parts in parallel, without headers; the file system then joins them in order behind the header: by its own
+    concatenation where it has one, else as a stream of bytes, so no task or process ever holds the rows.
+    """
+    spark = df.sparkSession
+    parts = scratch_path(spark, "csv-parts")
+    rows = df.orderBy(*[F.col(quoted(c)) for c in order]) if order else df
+    rows.write.option("header", False).csv(f"{parts}/rows")
+    names = [F.struct(*[F.lit(c).alias(f"c{i}") for i, c in enumerate(df.columns)])]
+    spark.range(1).coalesce(1).select(F.inline(F.array(*names))).write.option("header", False).csv(f"{parts}/header")
+    files = [f for folder in ("header", "rows") for f in sorted(part_files(spark, f"{parts}/{folder}"))]
+    join_files(spark, files, path)
+    remove_path(spark, parts)
+
+
 def write_csv_by_key(df: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
     """One CSV folder per key value; a key with very many rows is spread over several files."""
     df.hint("rebalance", key).write.mode(mode).partitionBy(key).option("header", True).csv(path)
