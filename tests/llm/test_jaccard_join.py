@@ -80,13 +80,19 @@ def test_every_close_pair_shares_a_probed_signature():
         assert probes[0] & every[1] or probes[1] & every[0], (trial, n)
 
 
-def test_sketches_never_exceed_the_difference():
-    rng = np.random.default_rng(1)
-    h = rng.integers(1, 1 << 62, 3000, dtype=np.int64).view(np.uint64)
-    row = np.repeat([0, 1], [1500, 1500])
-    h[1500:2800] = h[:1300]
-    a, b = J.sketches(h, row, 2)
-    assert 0 < sum(int(x).bit_count() for x in (a ^ b).view(np.uint64)) <= 400
+@pytest.mark.parametrize("n", [3, 60, 1500, 9000])
+def test_sketches_bound_the_difference_and_tell_sets_apart_at_any_size(spark, n):
+    rng = np.random.default_rng(n)
+    h = rng.integers(1, 1 << 62, 4 * n, dtype=np.int64).view(np.uint64)
+    longer = n + n // 5
+    near = np.concatenate([h[:longer], h[:n], h[2 * n : 3 * n]])
+    sizes = np.array([longer, n, n])
+    made = J.sketches(near, np.repeat([0, 1, 2], sizes), sizes, 80).to_pylist()
+    rows = spark.createDataFrame([(made[0], made[1]), (made[0], made[2]), (made[1], made[2]), (made[2], made[2])], "x array<bigint>, y array<bigint>")
+    like, unlike, unlike_2, same = (r[0] for r in rows.select(J._bits_apart(rows.x, rows.y, 80)).collect())
+    allowed = (longer + n) * 20 / 180
+    assert like <= longer - n and same == 0
+    assert n < 50 or (unlike > allowed and unlike_2 > 2 * n * 20 / 180)
 
 
 def test_components_of_long_chains(spark):
@@ -100,7 +106,7 @@ def test_odd_rows(odd):
     assert len(rows) == odd.count()
     assert {r.component_id for r in rows if r.id in (5, 6)} == {5}
     assert all(r.component_id == r.id and r.n_shingles == 0 for r in rows if r.id in (0, 1, 2))
-    kept = J.one_of_each_group(odd.withColumnRenamed("lang", "component_id").withColumnRenamed("n_chars", "_gone_2"))
+    kept = J.one_of_each_group(odd.withColumnRenamed("lang", "component_id").withColumnRenamed("n_chars", "_GONE").withColumnRenamed("source", "sketch"))
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == [0, 1, 2, 3, 4, 5, 5, 5, 7, 8, 9, 10, 50]
     assert kept.where("doc_id is null").count() == 2
 

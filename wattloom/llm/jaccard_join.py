@@ -17,8 +17,11 @@ Popular shingles are found over all texts with a bounded summary per task; they
 **Verification.** Rows of equal signature meet in sorted order and stream past their first probing set, the pivot; pairs
 with the pivot are verified exactly on the full sets. A bucket that this leaves in several components gets two more pivots in
 turn, drawn by hash from outside the first one's component; what is still across components then is verified pair by pair.
-No sets are joined for pairs that an exact bound rules out: their sizes, and parity sketches (each shingle flips one of
-1,024 bits, so sets differ in as many shingles as their sketches differ in bits, or more).
+No sets are made for pairs that an exact bound rules out: their sizes, and parity sketches. Each shingle flips one bit, so
+sets differ in as many shingles as their sketches differ in bits, or more. A sketch has eight bits or more for each shingle that linked
+sets of its size may differ in, so it tells unrelated sets apart at any size; the longer of two sketches is folded to the shorter.
+Sketches come with the names, in the first pass. Full sets are made only for names in pairs that are left: a bitmap of fixed
+size over their documents' ids lets each task pass over most texts, and what it lets through by chance is dropped by name.
 Pairs inside a component can add nothing to the components and are skipped. So a group of k near copies costs about k pairs.
 
 Defined results: texts without words, NULL included, have empty sets and are linked with nothing; texts with fewer words than
@@ -36,12 +39,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.components import components
-from wattloom.llm.storage import stored
+from wattloom.llm.storage import Scratch, stored, unused
 from wattloom.llm.text import Slice, mix, signed, slices, windows
 
 POPULAR = 20_000  # most shingles that can count as popular: bounds the summaries and what is sent to the tasks
 _REMEMBERED = 500_000  # sets a task remembers, to emit the signatures of equal sets once
-SKETCH = [f"s{i}" for i in range(16)]  # 64 bits each
+MEMBERSHIP = 1 << 24  # bits of the map over ids whose sets are wanted; a full map costs time, not results
 _SEGMENT, _CONTENT = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 
 
@@ -146,29 +149,38 @@ def signature_rows(
     return np.concatenate(keys), np.concatenate(roles), np.concatenate(named)
 
 
-def sketches(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
-    """Parity sketches as rows of 16 longs."""
-    bits = 64 * len(SKETCH)
-    odd = np.bincount(row * bits + (mix(h + _CONTENT) >> np.uint64(20)).astype(np.int64) % bits, minlength=rows * bits) & 1
-    return np.packbits(odd.astype(np.uint8).reshape(rows, bits), axis=1).view(np.int64)
+def sketch_longs(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """The length of each set's sketch, a power of two, in longs."""
+    bits = 16 * sizes * (100 - percent) // (100 + percent) + 1
+    return np.left_shift(1, np.maximum(np.ceil(np.log2(bits)).astype(np.int64) - 6, 0))
+
+
+def sketches(h: np.ndarray, row: np.ndarray, sizes: np.ndarray, percent: int) -> pa.Array:
+    """The parity sketch of each row, as a list of longs."""
+    bounds = np.concatenate([[0], np.cumsum(sketch_longs(sizes, percent))])
+    width = np.diff(bounds) * 64
+    bit = (mix(h + _CONTENT) >> np.uint64(20)).astype(np.int64) & (width - 1)[row]
+    odd = np.bincount(bounds[row] * 64 + bit, minlength=int(bounds[-1]) * 64) & 1
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.packbits(odd.astype(np.uint8)).view(np.int64)))
 
 
 def _narrow(docs: DataFrame, id_column: str, text: str) -> DataFrame:
     return docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
 
 
-def nodes(docs: DataFrame, words: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, name): the set size and set name of each row."""
+def nodes(docs: DataFrame, words: int, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, n, name, sketch): the set size, set name and parity sketch of each row."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cut in slices(parts):
             h, row, sizes = shingle_sets(cut, words)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(sizes), signed(fingerprints(h, row, sizes))], ["id", "n", "name"])
+            columns = [rows.column(0), pa.array(sizes), signed(fingerprints(h, row, sizes)), sketches(h, row, sizes, percent)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "name", "sketch"])
 
-    return _narrow(docs, id_column, text).mapInArrow(run, "id bigint, n bigint, name bigint")
+    return _narrow(docs, id_column, text).mapInArrow(run, "id bigint, n bigint, name bigint, sketch array<bigint>")
 
 
-def popular_shingles(docs: DataFrame, words: int, share: float = 0.001, text: str = "text") -> np.ndarray:
+def popular_shingles(docs: DataFrame, words: int, share: float = 0.001, text: str = "text", scratch: Scratch | None = None) -> np.ndarray:
     """Shingles that about ``share`` of all distinct sets or more have, at most ``POPULAR``.
 
     Each task keeps counters of its commonest shingles (a shingle of a share over 1 / ``POPULAR`` of its
@@ -209,7 +221,7 @@ def popular_shingles(docs: DataFrame, words: int, share: float = 0.001, text: st
         )
 
     counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "shingle bigint, sets bigint, total boolean")
-    summary = stored(counted.groupBy("total", "shingle").agg(F.sum("sets").alias("sets")), "popular")
+    summary = (scratch or Scratch(docs.sparkSession)).stored(counted.groupBy("total", "shingle").agg(F.sum("sets").alias("sets")), "popular")
     limit = max(20, int(share * (summary.where("total").agg(F.sum("sets")).first()[0] or 0)))
     common = summary.where(~F.col("total") & (F.col("sets") >= limit)).orderBy(F.desc("sets"), "shingle").limit(POPULAR)
     return np.sort(np.array([r.shingle for r in common.select("shingle").collect()], np.int64).view(np.uint64))
@@ -259,8 +271,33 @@ def buckets(rows: DataFrame) -> DataFrame:
     return rows.repartition("key").sortWithinPartitions("key", "role", "name").mapInArrow(run, "key bigint, pivot bigint, name bigint, role tinyint")
 
 
+def sets_of(docs: DataFrame, names: DataFrame, every: DataFrame, words: int, id_column: str, text: str) -> DataFrame:
+    """(name, n, shingles) of the wanted ``names``; a name again where several documents of it were let through."""
+    ids = every.join(names, "name").groupBy("name").agg(F.min(F.struct("id")).alias("_id"))
+    bit = F.pmod(F.xxhash64("_id.id"), F.lit(MEMBERSHIP))
+    flag = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))
+    wanted = ids.groupBy(F.shiftright(bit, 6).alias("place")).agg(F.bit_or(flag).alias("flags")).toPandas()  # of bounded size
+    member = np.zeros(MEMBERSHIP >> 6, np.int64)
+    member[wanted["place"].to_numpy(np.int64)] = wanted["flags"].to_numpy(np.int64)
+    sent = docs.sparkSession.sparkContext.broadcast(member)
+
+    def wanted_rows(part: pa.RecordBatch) -> pa.RecordBatch:
+        place = part.column(0).to_numpy()
+        return part.filter(pa.array((sent.value[place >> 6] >> (place & 63) & 1) > 0))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, cut in slices(map(wanted_rows, parts)):
+            h, row, sizes = shingle_sets(cut, words)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), signed(h))
+            yield pa.RecordBatch.from_arrays([signed(fingerprints(h, row, sizes)), pa.array(sizes), lists], ["name", "n", "shingles"])
+
+    place = F.pmod(F.xxhash64(F.col(id_column).cast("bigint")), F.lit(MEMBERSHIP))
+    made = docs.select(place.alias("place"), F.col(text).alias("text")).mapInArrow(run, "name bigint, n bigint, shingles array<bigint>")
+    return made.join(names, "name", "left_semi")
+
+
 def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs`` (a, b, ...) with the sizes ``n_a``, ``n_b`` and the ``shared`` shingles of their whole sets."""
+    """``pairs`` (a, b) with the sizes ``n_a``, ``n_b`` and the ``shared`` shingles of their whole sets."""
     b = sets.select(F.col("name").alias("b"), F.col("shingles").alias("_b"), F.col("n").alias("n_b"))
     a = sets.select(F.col("name").alias("a"), F.col("shingles").alias("_a"), F.col("n").alias("n_a"))
     return pairs.join(b, "b").join(a, "a").withColumn("shared", F.size(F.array_intersect("_a", "_b"))).drop("_a", "_b")
@@ -274,52 +311,51 @@ def near_duplicates(
     docs: DataFrame, words: int = 5, percent: int = 80, id_column: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(id, n_shingles, component_id): one row for each row of ``docs``."""
-    every = stored(nodes(docs, words, id_column, text), "sets")
-    members = stored(buckets(signatures(docs, words, percent, popular_shingles(docs, words, text=text), text)), "buckets")
+    scratch = Scratch(docs.sparkSession)
+    every = scratch.stored(nodes(docs, words, percent, id_column, text), "names")
+    popular = popular_shingles(docs, words, text=text, scratch=scratch)
+    members = scratch.stored(buckets(signatures(docs, words, percent, popular, text)), "buckets")
     star = members.select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     used = star.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    chosen = every.groupBy("name").agg(F.min(F.struct("id")).alias("_id")).join(used, "name").select(F.col("_id.id").alias("id"))
-    sets = stored(_sets(docs, chosen.distinct(), words, id_column, text), "shingles")
-    parity = sets.select("name", "n", *SKETCH)
-    links = verified(stored(_possible_pairs(star, parity, percent), "star"), sets).where(linked(percent)).select("a", "b")
-    links = stored(links, "links")
-    labels = components(links)
+    cards = scratch.stored(every.join(used, "name").groupBy("name").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "cards")
+
+    def links_of(pairs: DataFrame) -> DataFrame | None:
+        pairs = scratch.stored(pairs, "pairs")
+        if pairs.isEmpty():
+            return None
+        names = pairs.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+        sets = scratch.stored(sets_of(docs, names, every, words, id_column, text), "shingles")
+        found = scratch.stored(verified(pairs, sets).where(linked(percent)).select("a", "b"), "found")
+        scratch.drop("shingles")
+        scratch.drop("pairs")
+        return found
+
+    found = [links_of(_possible_pairs(star, cards, percent))]
+    labels = _labels(found, every, scratch)
     for pairs_of in (_star_of(1), _star_of(2), _across):
-        rest = pairs_of(_mixed_members(members, labels, parity), percent)
-        more = verified(stored(rest, "across"), sets).where(linked(percent)).select("a", "b")
-        links = stored(links.union(more), "links")
-        labels = components(links)
-    named = every.join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("_group", F.coalesce("component", "name"))
+        full = _mixed_members(members, labels, cards, scratch)
+        found.append(None if full.isEmpty() else links_of(pairs_of(full, percent)))
+        scratch.drop("members")
+        if found[-1] is not None:
+            labels = _labels(found, every, scratch)
+    named = every.select("id", "n", "name").join(labels.withColumnRenamed("node", "name"), "name", "left").withColumn("_group", F.coalesce("component", "name"))
     smallest = named.where(F.col("n") > 0).groupBy("_group").agg(F.min("id").alias("_smallest"))
-    return named.join(smallest, "_group", "left").select(
+    groups = stored(named.join(smallest, "_group", "left").select(
         "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("_smallest")).otherwise(F.col("id")).alias("component_id")
-    )
+    ), "groups")
+    scratch.clear()
+    return groups
 
 
-def _sets(docs: DataFrame, chosen: DataFrame, words: int, id_column: str, text: str) -> DataFrame:
-    """(name, n, shingles, SKETCH...) of the chosen rows; a name again only where rows with equal ids lie in different tasks."""
+def _labels(found: list[DataFrame | None], every: DataFrame, scratch: Scratch) -> DataFrame:
+    """The components of all links found so far."""
+    links = every.limit(0).select(F.col("name").alias("a"), F.col("name").alias("b"))
+    for more in found:
+        links = links if more is None else links.union(more)
+    return components(links, scratch)
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for _, cut in slices(parts):
-            h, row, sizes = shingle_sets(cut, words)
-            names = fingerprints(h, row, sizes)
-            fresh = np.zeros(cut.rows, bool)
-            for i, name in enumerate(names.tolist()):
-                fresh[i] = name not in seen
-                if len(seen) < _REMEMBERED:
-                    seen.add(name)
-            arrays = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), signed(h))
-            parity = [pa.array(c) for c in sketches(h, row, cut.rows).T]
-            found = pa.RecordBatch.from_arrays([signed(names), pa.array(sizes), arrays, *parity], ["name", "n", "shingles", *SKETCH])
-            yield found.filter(pa.array(fresh))
-
-    picked = _narrow(docs, id_column, text)
-    picked = picked.join(chosen.withColumnRenamed("id", "_chosen"), F.col("id").eqNullSafe(F.col("_chosen")), "left_semi")
-    return picked.mapInArrow(run, "name bigint, n bigint, shingles array<bigint>, " + ", ".join(f"{c} bigint" for c in SKETCH))
 
-
-def _mixed_members(members: DataFrame, labels: DataFrame, parity: DataFrame) -> DataFrame:
+def _mixed_members(members: DataFrame, labels: DataFrame, cards: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of buckets that are not yet one component: their size, sketch and component, and whether they are outside
     the pivot's component (``odd``)."""
     group = labels.select(F.col("node").alias("name"), "component")
@@ -331,20 +367,33 @@ def _mixed_members(members: DataFrame, labels: DataFrame, parity: DataFrame) ->
         .select("key", "name", "role", "component", "odd")
     ).distinct()
     mixed = full.groupBy("key").agg(F.max("odd").alias("_odd")).where("_odd").select("key")
-    return stored(full.join(mixed, "key", "left_semi").join(parity, "name"), "members")
+    return scratch.stored(full.join(mixed, "key", "left_semi").join(cards, "name"), "members")
+
+
+def _bits_apart(x, y, percent: int):
+    """In how many bits two sketches differ, the longer one folded; sizes that may link differ by few foldings."""
+
+    def folded(longer, other):
+        half = F.size(longer) / 2
+        halves = F.zip_with(F.slice(longer, F.lit(1), half.cast("int")), F.slice(longer, (half + 1).cast("int"), half.cast("int")), lambda p, q: p.bitwiseXOR(q))
+        return F.when(F.size(longer) > F.size(other), halves).otherwise(longer)
+
+    for _ in range(int(np.ceil(np.log2(100 / percent)))):
+        x, y = folded(x, y), folded(y, x)
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda total, n: total + n)
 
 
 def _may_link(percent: int):
     """Whether the sizes and sketches of a pair (x and x_1) allow a link."""
-    size = F.col("n") + F.col("n_1")
-    flipped = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_1"))) for c in SKETCH), F.lit(0))
-    return (100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")) & (flipped * (100 + percent) <= size * (100 - percent))
+    sizes = 100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")
+    near = _bits_apart(F.col("sketch"), F.col("sketch_1"), percent) * (100 + percent) <= (F.col("n") + F.col("n_1")) * (100 - percent)
+    return F.when(sizes, near).otherwise(F.lit(False))
 
 
-def _possible_pairs(pairs: DataFrame, parity: DataFrame, percent: int) -> DataFrame:
+def _possible_pairs(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that may be linked."""
-    other = parity.select(F.col("name").alias("b"), *(F.col(c).alias(f"{c}_1") for c in ("n", *SKETCH)))
-    both = pairs.join(parity.withColumnRenamed("name", "a"), "a").join(other, "b")
+    other = cards.select(F.col("name").alias("b"), F.col("n").alias("n_1"), F.col("sketch").alias("sketch_1"))
+    both = pairs.join(cards.withColumnRenamed("name", "a"), "a").join(other, "b")
     return both.where(_may_link(percent)).select("a", "b")
 
 
@@ -354,7 +403,7 @@ def _possible(percent: int):
 
 
 def _as_other(full: DataFrame) -> DataFrame:
-    return full.select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "component", *SKETCH)))
+    return full.select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "component", "sketch")))
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -385,5 +434,6 @@ def one_of_each_group(docs: DataFrame, words: int = 5, percent: int = 80) -> Dat
     Rows without an id stay. Only the ids that go are joined to the texts, so few of them need no shuffle of texts.
     """
     groups = near_duplicates(docs, words, percent)
-    gone = stored(groups.where(F.col("component_id") != F.col("id")).select(F.col("id").alias("_gone")).distinct(), "duplicates")
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("_gone"), "left_anti")
+    gone = unused("_gone", docs.columns)
+    ids = stored(groups.where(F.col("component_id") != F.col("id")).select(F.col("id").alias(gone)).distinct(), "duplicates")
+    return docs.join(ids, F.col("doc_id").cast("bigint") == F.col(gone), "left_anti")

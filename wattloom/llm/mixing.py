@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattloom.llm.storage import stored
+from wattloom.llm.storage import stored, unused
 from wattloom.llm.text import WORD
 
 WEIGHTS = (5, 2, 1)
@@ -105,7 +105,8 @@ def mixed_rows(docs: DataFrame, seed: int = 7) -> DataFrame:
     Rows with equal id, source and size count as one row here.
     """
     copies = mix_copies(docs, seed=seed).where(F.col("copies") > 0).groupBy("id", "source", "size").agg(F.max("copies").alias("_copies"))
-    copies = copies.toDF("_id", "_source", "_size", "_copies")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("_n_words") == F.col("_size"))
-    joined = docs.withColumn("_n_words", word_count()).join(copies, same)
-    return joined.select(*(c for c in docs.columns if c != "copy"), F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("copy"))
+    id_, source, size, times, n_words = (unused(c, docs.columns) for c in ("_id", "_source", "_size", "_copies", "_n_words"))
+    copies = copies.toDF(id_, source, size, times)
+    same = F.col("doc_id").eqNullSafe(F.col(id_)) & F.col("source").eqNullSafe(F.col(source)) & (F.col(n_words) == F.col(size))
+    joined = docs.withColumn(n_words, word_count()).join(copies, same)
+    return joined.select(*(c for c in docs.columns if c.lower() != "copy"), F.explode(F.sequence(F.lit(1), F.col(times).cast("int"))).alias("copy"))

@@ -39,3 +39,37 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         place = spark._jvm.org.apache.hadoop.fs.Path(path)
         place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+class Scratch:
+    """Tables of one call, deleted when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, {}
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        """As ``stored``, and remembered under the label (an earlier table of that label can be dropped with ``drop``)."""
+        path = write_table(df, scratch_path(self.spark, label))
+        self.paths.setdefault(label, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, label: str, keep: int = 0) -> None:
+        """Delete the label's tables but for the last ``keep``."""
+        held = self.paths.pop(label, [])
+        last = held[len(held) - keep :] if keep else []
+        remove(self.spark, *held[: len(held) - len(last)])
+        if last:
+            self.paths[label] = last
+
+    def clear(self) -> None:
+        for label in list(self.paths):
+            self.drop(label)
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """``name``, or with a number behind it, so that no column is called that (whatever the case)."""
+    taken, out, n = {c.lower() for c in columns}, name, 0
+    while out.lower() in taken:
+        n += 1
+        out = f"{name}{n}"
+    return out
