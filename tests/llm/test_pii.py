@@ -101,6 +101,42 @@ def test_windows_cover_all_triggers_of_long_texts():
     assert all(inside[m.start()] for m in re.finditer("[0-9@]", text))
 
 
+def rewritten_sentences(seed, n):
+    """Texts with spans that the patterns do not see, and where those are."""
+    out = []
+    for text in sentences(random.Random(seed), n):
+        spans = pii.base_spans(text)[0]
+        out.append(pii.rewritten(text, spans))
+    return out
+
+
+def test_rewritten_spans_are_where_they_say():
+    hidden = 0
+    for (text, spans), before in zip(rewritten_sentences(9, 300), sentences(random.Random(9), 300)):
+        base = pii.base_spans(before)[0]
+        assert len(spans) <= len(base) and [k for *_, k in spans] == [k for *_, k in base][: len(spans)]
+        for a, b, kind in spans:
+            assert 0 <= a < b <= len(text) and b - a <= pii.WINDOW // 2
+            hidden += not any(x < b and y > a and k == kind for x, y, k in pii.base_spans(text)[0])
+    assert hidden > 120
+
+
+def test_spans_that_the_patterns_miss_are_found_in_other_texts():
+    """Precision and recall on held-out texts whose spans are written another way, and on texts without any."""
+    sample = [w for t in sentences(random.Random(1), 900) for w in pii.training_windows(t)]
+    whole = np.frombuffer(b"".join(w for _, w in sample), np.int8).reshape(-1, 2, pii.WINDOW).astype(np.int64)
+    whole = whole[(whole[:, 1, 0] == 0) | (whole[:, 1, 0] % 2 == 1)]
+    tagger = pii.Tagger()
+    tagger.train(whole[:, 0], whole[:, 1])
+    held_out = rewritten_sentences(77, 400)
+    base = [pii.base_spans(t) for t, _ in held_out]
+    added = pii.tag_texts([t for t, _ in held_out], [kept + refused for kept, refused in base], tagger)
+    true = [{s for s in spans if not any(a < s[1] and b > s[0] for a, b, _ in kept + refused)} for (_, spans), (kept, refused) in zip(held_out, base)]
+    right, told, all_true = sum(len(set(a) & t) for a, t in zip(added, true)), sum(map(len, added)), sum(map(len, true))
+    print("right", right, "told", told, "true", all_true)
+    assert all_true > 100 and right >= 0.7 * all_true and right >= 0.8 * told
+
+
 def test_rows(spark, odd, empty, docs):
     table = docs(*sentences(random.Random(4), 60), None, "", "9" * 20_000).withColumn("spans", F.lit(1))
     got = sorted(pii.find(table).collect())

@@ -4,11 +4,13 @@
 dropped. Searches are written so that no text, however long or odd, takes more than linear time.
 
 **Tagger.** A two-way LSTM over characters gives scores for outside / begin / inside of each kind; CRF transitions tie neighbouring
-tags. It is trained in numpy on windows whose labels are the base spans, at most ``TRAINING_WINDOWS`` with and as many without a
-span, out of at most ``TRAINING_DOCUMENTS`` documents (those with the smallest hash of their id).
+tags. It is trained in numpy on labelled spans that the patterns do not see: base spans, written another way within their texts (``rewritten``:
+"at" and "dot" as words or in brackets, numbers with strokes, wider gaps or no plus), beside the same texts as they were and windows of texts
+without any span. At most ``TRAINING_WINDOWS`` of each come from at most ``TRAINING_DOCUMENTS`` documents (those with the smallest hash of their id).
 
-**Windows.** Every span of these kinds holds a digit or an at sign, so whatever lies further than ``MARGIN`` characters from one is
-outside by definition. The stretches around them, over whole texts, are cut into windows that overlap by half. A span that touches a
+**Windows.** Every span of these kinds, however written, holds a digit, an at sign, or "at" or "dot" as a word of its own, so whatever lies
+further than ``MARGIN`` characters from one is outside by definition. The stretches around them, over whole texts, are cut into windows that overlap
+by half, so a span of up to half a window is whole in some window. A span that touches a
 cut edge is left to the neighbouring window. Of all spans decoded in a text, those that do not overlap and
 have the highest total log-odds are chosen by dynamic programming. Base spans stay; tagged spans must not overlap them, nor stretches that
 a pattern matched and its check refused, and need log-odds of ``LEAST_ODDS`` or more.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
 
@@ -30,8 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 KINDS = ("email", "ip", "card", "phone")
-TRAINING_DOCUMENTS, TRAINING_WINDOWS = 8_000, 1_000
-WINDOW, MARGIN = 96, 24
+TRAINING_DOCUMENTS, TRAINING_WINDOWS = 8_000, 1_500
+WINDOW, MARGIN = 128, 40
 LEAST_ODDS = 6.0
 HIDDEN = 12
 TAGS = 1 + 2 * len(KINDS)  # 0 outside; 1 + 2k begins kind k; 2 + 2k goes on with it
@@ -45,7 +48,7 @@ _local_reversed = re.compile(r"[A-Za-z0-9._%+-]*")
 _ip = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _card = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 _phone = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_trigger = re.compile(r"[0-9@]")
+_trigger = re.compile(r"[0-9@]|(?<![A-Za-z])(?:at|dot)(?![A-Za-z])", re.IGNORECASE)
 
 Span = tuple[int, int, int]  # start, end, kind
 
@@ -91,14 +94,48 @@ def valid(kind: int, match: str) -> bool:
 
 
 def base_spans(text: str) -> tuple[list[Span], list[Span]]:
-    """Spans in order of start and kind, and the matches that were refused."""
+    """Spans in order of start and kind, and the matches that were refused. A number too short for a card says nothing, so it is neither."""
     kept, refused = [(a, b, 0) for a, b in emails(text)], []
     for kind, pattern in ((1, _ip), (2, _card), (3, _phone)):
         for m in pattern.finditer(text):
-            (kept if valid(kind, m.group()) else refused).append((m.start(), m.end(), kind))
+            if valid(kind, m.group()):
+                kept.append((m.start(), m.end(), kind))
+            elif kind != 2 or sum(map(str.isdigit, m.group())) >= 14:
+                refused.append((m.start(), m.end(), kind))
     return sorted(kept, key=lambda s: (s[0], s[2])), refused
 
 
+def _written_out(match: str, kind: int) -> str:
+    """The same personal data as people write it to hide it, or out of habit; which way depends on the match alone."""
+    way = zlib.crc32(match.encode())
+    if kind == 0:
+        local, _, domain = match.partition("@")
+        at, dot = ((" (at) ", " (dot) "), (" at ", " dot "), ("[at]", "."), (" [at] ", " [dot] "), (" AT ", "."), ("(at)", "(dot)"))[way % 6]
+        return local + at + domain.replace(".", dot)
+    if kind == 1:
+        return match.replace(".", ("[.]", " . ")[way % 2])
+    parts = re.findall("[0-9]+", match)
+    if kind == 2:
+        digits = "".join(parts)
+        return ("/", "_", "  ", " / ")[way % 4].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+    if len(parts) == 1:
+        parts = [parts[0][:2], parts[0][2:5], parts[0][5:]]
+    return (("00", "/"), ("", "/"), ("00", " / "), ("0", "/"))[way % 4][0] + (("/", "/", " / ", "/")[way % 4]).join(p for p in parts if p)
+
+
+def rewritten(text: str, spans: list[Span]) -> tuple[str, list[Span]]:
+    """The text with its spans written another way, and where they are then; of overlapping spans only the first stays one."""
+    out, moved, end, at = [], [], 0, 0
+    for a, b, kind in spans:
+        if a >= end:
+            out += [text[end:a], _written_out(text[a:b], kind)]
+            at += a - end
+            moved.append((at, at + len(out[-1]), kind))
+            at += len(out[-1])
+            end = b
+    return "".join(out) + text[end:], moved
+
+
 def codes_of(text: str) -> np.ndarray:
     """One symbol a code point: 1-95 printable ASCII, 96 other ASCII, 97 the rest."""
     points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
@@ -106,8 +143,9 @@ def codes_of(text: str) -> np.ndarray:
 
 
 def windows_of(codes: np.ndarray) -> list[tuple[int, int, bool, bool]]:
-    """(start, end, cut at the start, cut at the end) of all windows around digits and at signs."""
-    hits = np.flatnonzero(((codes >= 17) & (codes <= 26)) | (codes == 33))
+    """(start, end, cut at the start, cut at the end) of all windows around digits, at signs and written-out ones."""
+    plain = np.where(codes < 96, codes + 31, 1).astype(np.uint8).tobytes().decode("latin-1")
+    hits = np.array([m.start() for m in _trigger.finditer(plain)], np.int64)
     out = []
     if not len(hits):
         return out
@@ -234,7 +272,7 @@ class Tagger:
             "next": np.where(self.barred, 0, d_next / n).astype(np.float32),
         }
 
-    def train(self, codes: np.ndarray, tags: np.ndarray, steps: int = 160, batch: int = 48, rate: float = 0.02, seed: int = 7) -> None:
+    def train(self, codes: np.ndarray, tags: np.ndarray, steps: int = 200, batch: int = 64, rate: float = 0.02, seed: int = 7) -> None:
         rng, m, s = np.random.default_rng(seed), {}, {}
         for t in range(1, steps + 1):
             pick = rng.integers(0, len(codes), batch)
@@ -351,23 +389,19 @@ def train_tagger(docs: DataFrame) -> Tagger | None:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in _texts(parts):
-            rows = []
+            sorts, found = [], []
             for text in texts:
-                if not _trigger.search(text):
-                    continue
-                codes, spans = codes_of(text), base_spans(text)[0]
-                for start, end, *_ in windows_of(codes):
-                    near = [s for s in spans if s[0] < end and s[1] > start]
-                    window = np.zeros(WINDOW, np.int8)
-                    window[: end - start] = codes[start:end]
-                    rows.append((bool(near), np.concatenate([window, tags_of(near, start, end)]).tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.bool_()), pa.array([r[1] for r in rows], pa.binary())], ["labelled", "window"])
-
-    windows = picked.mapInArrow(run, "labelled boolean, window binary")
+                if _trigger.search(text):
+                    for sort, window in training_windows(text):
+                        sorts.append(sort)
+                        found.append(window)
+            yield pa.RecordBatch.from_arrays([pa.array(sorts, pa.int32()), pa.array(found, pa.binary())], ["sort", "window"])
+
+    windows = picked.mapInArrow(run, "sort int, window binary")
     got = [
         row.window
-        for labelled in (True, False)
-        for row in windows.where(F.col("labelled") == labelled).select("window").orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS).collect()
+        for sort in range(3)
+        for row in windows.where(F.col("sort") == sort).select("window").distinct().orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS).collect()
     ]
     whole = np.frombuffer(b"".join(got), np.int8).reshape(-1, 2, WINDOW).astype(np.int64)
     if not (whole[:, 1] > 0).any():
@@ -380,6 +414,18 @@ def train_tagger(docs: DataFrame) -> Tagger | None:
     return tagger
 
 
+def training_windows(text: str) -> Iterator[tuple[int, bytes]]:
+    """(sort, symbols and tags) of a text's windows: 0 with rewritten spans, 1 with spans as they were, 2 without any."""
+    spans = base_spans(text)[0]
+    for sort, (version, known) in enumerate((rewritten(text, spans), (text, spans))):
+        codes = codes_of(version)
+        for start, end, *_ in windows_of(codes) if spans or sort else ():
+            near = [s for s in known if s[0] < end and s[1] > start]
+            window = np.zeros(WINDOW, np.int8)
+            window[: end - start] = codes[start:end]
+            yield (sort if near else 2), np.concatenate([window, tags_of(near, start, end)]).tobytes()
+
+
 def line_of(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, b, k in sorted(spans, key=lambda s: (s[0], s[2])))
 
