@@ -1,8 +1,8 @@
 """WARC archives with a chunked record table.
 
-A payload is never put together: it is held as rows (record id, chunk number, bytes). ``chunk_table`` cuts payloads
-into chunks of at most ``chunk_bytes`` and carries the SHA-1 and length of everything up to and with each chunk.
-``write_warc`` writes one WARC 1.0 record a chunk: payloads of one chunk become plain records, longer ones are
+A payload is held as rows (record id, chunk number, bytes), and no step puts one together. ``chunk_table`` cuts payloads, in the buffer they are
+read into, into chunks of at most ``chunk_bytes`` and carries the SHA-1 and length of everything up to and with each chunk; the last one's are
+the payload's. ``write_warc`` joins chunk rows and writes one WARC 1.0 record a chunk: payloads of one chunk become plain records, longer ones are
 segmented as the standard lays down (``WARC-Segment-Number``, ``continuation`` records,
 ``WARC-Segment-Total-Length`` on the last). ``read_warc`` gives the chunk rows back, and ``digest_records`` sums them
 up in one pass over chunks in order, holding one batch of rows.
@@ -23,6 +23,7 @@ its own. An empty table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -34,22 +35,18 @@ from wattloom.shared import scratch_path
 
 VERSION_LINE = b"WARC/1.0\r\n"
 END = "\r\n\r\n"
+_version_line = re.compile(re.escape(VERSION_LINE))
 DATE = "1970-01-01T00:00:00Z"
 
-CHUNKS = "id bigint, chunk int, last boolean, data binary, bytes_so_far bigint, sha1_so_far string"
+CHUNKS = "id bigint, chunk int, last boolean, data binary, bytes_so_far bigint, sha1_so_far string, bytes bigint, sha1 string, uri string, row bigint"
 RECORDS = "id bigint, row bigint, chunk int, type string, refers_to bigint, digest string, total bigint, uri string, data binary"
 _batch_bytes = 4 << 20
 
 
 def cuts(data: bytes | memoryview, chunk_bytes: int) -> list[int]:
     """Chunk borders from 0 to the end; a version line never lies within one chunk."""
-    whole, edges, at = memoryview(data), [0], 0
-    raw = bytes(data) if not isinstance(data, bytes) else data
-    marks, found = [], raw.find(VERSION_LINE)
-    while found >= 0:
-        marks.append(found + 4)
-        found = raw.find(VERSION_LINE, found + 1)
-    for mark in [*marks, len(whole)]:
+    edges, at = [0], 0
+    for mark in [*(m.start() + 4 for m in _version_line.finditer(data)), len(data)]:
         while mark - at > chunk_bytes:
             at += chunk_bytes
             edges.append(at)
@@ -59,26 +56,49 @@ def cuts(data: bytes | memoryview, chunk_bytes: int) -> list[int]:
     return edges
 
 
-def chunk_table(pages: DataFrame, chunk_bytes: int, id_column: str = "page_id", payload: str = "html") -> DataFrame:
-    """The chunk rows of each payload, with digest and length up to and with each chunk."""
+def _digested(data: memoryview, chunk_bytes: int) -> list[tuple[int, int, str]]:
+    """(begin, end, SHA-1 up to the end) of each chunk."""
+    edges, digest, out = cuts(data, chunk_bytes), hashlib.sha1(), []
+    for a, b in zip(edges, edges[1:]):
+        digest.update(data[a:b])
+        out.append((a, b, digest.hexdigest()))
+    return out
+
+
+def _views(column: pa.Array) -> Iterator[memoryview]:
+    for value in column:
+        yield memoryview(value.as_buffer()) if value.is_valid else memoryview(b"")
+
+
+def chunk_table(
+    pages: DataFrame, chunk_bytes: int, id_column: str = "page_id", payload: str = "html", uri: str | None = None
+) -> DataFrame:
+    """The chunk rows of each payload, with digest and length up to and with each chunk, and of the whole (``bytes``, ``sha1``).
+
+    ``row`` tells rows of ``pages`` apart.
+    """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, held = [], 0
         for part in parts:
-            for number, value in zip(part.column(0).to_pylist(), part.column(1)):
-                data = value.as_py() or b""
-                edges, digest = cuts(data, chunk_bytes), hashlib.sha1()
-                for k, (a, b) in enumerate(zip(edges, edges[1:])):
-                    piece = data[a:b]
-                    digest.update(piece)
-                    out.append((number, k, b == len(data), piece, b, digest.hexdigest()))
-                    held += len(piece)
+            for number, uri, row, data in zip(*(part.column(k).to_pylist() for k in (0, 1, 2)), _views(part.column(3))):
+                chunks = _digested(data, chunk_bytes)
+                for k, (a, b, so_far) in enumerate(chunks):
+                    out.append((number, k, b == len(data), bytes(data[a:b]), b, so_far, len(data), chunks[-1][2], uri, row))
+                    held += b - a
                     if held > _batch_bytes:
                         yield _rows(out, CHUNKS)
                         out, held = [], 0
         yield _rows(out, CHUNKS)
 
-    return pages.select(F.col(id_column).cast("bigint").alias("id"), F.col(payload).cast("binary").alias("data")).mapInArrow(run, CHUNKS)
+    return _narrow(pages, id_column, payload, uri).mapInArrow(run, CHUNKS)
+
+
+def _narrow(pages: DataFrame, id_column: str, payload: str, uri: str | None) -> DataFrame:
+    named = F.col(uri).cast("string") if uri else F.lit(None).cast("string")
+    return pages.select(
+        F.col(id_column).cast("bigint").alias("id"), named.alias("uri"), F.monotonically_increasing_id().alias("row"), F.col(payload).cast("binary").alias("data")
+    )
 
 
 _types = {"bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
@@ -90,18 +110,19 @@ def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, _types[t]) for c, (_, t) in zip(columns, fields)], [n for n, _ in fields])
 
 
-def repeated_payloads(pages: DataFrame, min_revisit_bytes: int, id_column: str = "page_id", payload: str = "html") -> DataFrame:
+def repeated_payloads(
+    pages: DataFrame, min_revisit_bytes: int, id_column: str = "page_id", payload: str = "html", chunk_bytes: int = 32 << 10
+) -> DataFrame:
     """(sha1, bytes, response): the largest id of each payload of ``min_revisit_bytes`` or more that is there twice or more."""
-    data = _payload(payload)
-    digests = pages.select(
-        F.col(id_column).cast("bigint").alias("id"), F.octet_length(data).cast("bigint").alias("bytes"), F.sha1(data).alias("sha1")
-    )
-    counted = digests.where(F.col("bytes") >= min_revisit_bytes).groupBy("sha1", "bytes")
-    return counted.agg(F.max("id").alias("response"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
+    schema = "id bigint, bytes bigint, sha1 string"
 
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield _rows([(i, len(d), _digested(d, chunk_bytes)[-1][2]) for i, d in zip(part.column(0).to_pylist(), _views(part.column(3)))], schema)
 
-def _payload(payload: str) -> Column:
-    return F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
+    digests = _narrow(pages, id_column, payload, None).where(F.octet_length("data") >= min_revisit_bytes).mapInArrow(run, schema)
+    counted = digests.groupBy("sha1", "bytes")
+    return counted.agg(F.max("id").alias("response"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).drop("n")
 
 
 _NO_ID = "<urn:uuid:00000000-0000-0001-0000-000000000000>"
@@ -131,51 +152,17 @@ def write_warc(
 ) -> str:
     """Write a record (or its segments) for each row of ``pages`` to WARC files under ``path``.
 
-    One pass finds repeated payloads. A second joins each row with them and writes; where few payloads repeat, Catalyst
-    broadcasts them and no payload is shuffled, else adaptive execution splits the rows of a payload repeated very often.
+    One pass finds repeated payloads by their digests. A second cuts payloads into chunk rows, joins those with them, and writes; where few
+    payloads repeat, Catalyst broadcasts them and no chunk is shuffled, else adaptive execution splits the rows of a payload
+    repeated very often. Of a revisit only the first row stays, without its bytes.
     """
-    again = stored(repeated_payloads(pages, min_revisit_bytes, id_column, payload), "repeated-payloads")
-    data = _payload(payload)
-    named = pages.select(
-        F.col(id_column).cast("bigint").alias("id"), data.alias("data"), F.octet_length(data).cast("bigint").alias("bytes"),
-        F.sha1(data).alias("sha1"), (F.col(uri).cast("string") if uri else F.lit(None).cast("string")).alias("uri"),
-    )
-    revisit = ~F.col("response").eqNullSafe(F.col("id")) & F.col("response").isNotNull()
-    records = named.join(again, ["sha1", "bytes"], "left").select(
-        "id", F.when(revisit, F.lit(b"")).otherwise(F.col("data")).alias("data"), "bytes", "sha1", F.when(revisit, F.col("response")).alias("refers_to"),
-        "uri", F.monotonically_increasing_id().alias("row"),
+    again = stored(repeated_payloads(pages, min_revisit_bytes, id_column, payload, chunk_bytes), "repeated-payloads")
+    again_of = F.when(~F.col("response").eqNullSafe(F.col("id")), F.col("response"))
+    joined = chunk_table(pages, chunk_bytes, id_column, payload, uri).join(again, ["sha1", "bytes"], "left").withColumn("refers_to", again_of)
+    is_revisit = F.col("refers_to").isNotNull()
+    chunks = joined.where(~is_revisit | (F.col("chunk") == 0)).withColumns(
+        {"data": F.when(is_revisit, F.lit(b"")).otherwise(F.col("data")), "last": F.col("last") | is_revisit}
     )
-
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in parts:
-            numbers, payloads = part.column(0).to_pylist(), part.column(1)
-            picked, chunk, last, pieces, held = [], [], [], [], 0
-            rest = [2, 3, 4, 5, 6]
-
-            def out() -> pa.RecordBatch:
-                taken = pa.array(picked, pa.int64())
-                return pa.RecordBatch.from_arrays(
-                    [part.column(0).take(taken), pa.array(chunk, pa.int32()), pa.array(last, pa.bool_()), pa.array(pieces, pa.binary()),
-                     *(part.column(k).take(taken) for k in rest)],
-                    ["id", "chunk", "last", "data", "bytes", "sha1", "refers_to", "uri", "row"],
-                )
-
-            for i in range(len(numbers)):
-                whole = payloads[i].as_py()
-                edges = cuts(whole, chunk_bytes)
-                for k, (a, b) in enumerate(zip(edges, edges[1:])):
-                    picked.append(i)
-                    chunk.append(k)
-                    last.append(b == len(whole))
-                    pieces.append(whole[a:b])
-                    held += b - a
-                if held > _batch_bytes:
-                    yield out()
-                    picked, chunk, last, pieces, held = [], [], [], [], 0
-            yield out()
-
-    schema = "id bigint, chunk int, last boolean, data binary, bytes bigint, sha1 string, refers_to bigint, uri string, row bigint"
-    chunks = records.mapInArrow(run, schema)
     first, revisit, one = F.col("chunk") == 0, F.col("refers_to").isNotNull(), (F.col("chunk") == 0) & F.col("last")
     head = F.concat(
         F.lit(VERSION_LINE.decode()),
