@@ -47,6 +47,25 @@ def test_bands():
     assert R.compression(usual[: 4 * R.CHUNK + 5], packer)[1] == 4
 
 
+@pytest.mark.parametrize("size", [3_000, 8_000, 60_000])
+@pytest.mark.parametrize("kind", ["base64", "repeated", "spam"])
+def test_planted_junk_blocks_are_caught(kind, size):
+    """A junk block of a quarter of the text, but of 1.5 KB at least, in prose that passes; and the prose itself."""
+    packer, rng = zstandard.ZstdCompressor(level=R.LEVEL), random.Random(size)
+    junk = {
+        "base64": lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(n)),
+        "repeated": lambda n: ("click here now! " * n)[:n], "spam": lambda n: (prose(1, 30).replace("\n", " ") * n)[:n],
+    }[kind]
+    kept, caught = 0, 0
+    for trial in range(20):
+        text = " ".join("".join(rng.choice("eeetaoinshrdlucmf") for _ in range(rng.randint(2, 9))) for _ in range(size))[:size]
+        at = rng.randrange(len(text))
+        with_junk = text[:at] + junk(max(1536, size // 4)) + text[at:]
+        kept += R.in_band(len(text), *R.compression(text.encode(), packer))
+        caught += not R.in_band(len(with_junk), *R.compression(with_junk.encode(), packer))
+    assert kept == 20 and caught >= 14, caught
+
+
 def test_rules_on_odd_rows(odd, empty):
     clashing = odd.withColumn("kept", F.lit("mine")).withColumn("n_words", F.lit(-1))
     got = R.quality_rules(clashing)

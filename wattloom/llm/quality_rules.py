@@ -4,11 +4,12 @@ Counted rules: a document fails with fewer than ``min_words`` words, or where mo
 words lie in 8-word windows that the text has twice or more.
 
 Compression bands: the zstandard size of the whole text over its bytes, and the same for fixed chunks of
-``CHUNK`` bytes. Text that repeats itself packs too well and random text too badly. What is usual depends on the
-length, so each length band has its own lowest and highest whole-text ratio; a document also fails when more
-than ``BAD_CHUNKS`` of its chunks lie outside the chunk limits (a junk stretch in an otherwise usual text).
+``CHUNK`` bytes, in every text of two chunks or more. Text that repeats itself packs too well and random text too badly. What is usual depends on the
+length, so each length band has its own lowest and highest whole-text ratio. Chunks are all of one length, so they share their limits, which are
+narrow; a junk stretch that a long text would hide shows in its own chunks. How many chunks may lie outside falls with the length: none
+of up to four, and one in twenty of many (``tolerated``).
 
-The bands are fixed values, wide enough for prose of any language: they depend on neither the corpus nor its size.
+The bands are fixed values, wider on both sides than prose of any language that we know: they depend on neither the corpus nor its size.
 
 Defined results: NULL and empty texts have zero counts, no ratio (NULL) and fail for having too few words.
 Rows with equal ids are treated on their own. Texts of any length are read whole; zstandard runs over one text at a time.
@@ -27,10 +28,10 @@ from wattloom.llm.text import GAP, STARTS_CODE_POINT, Slice, mix, slices, window
 
 SYMBOLS = "#*$%&|<>"
 #: Bytes up to which a band reaches; lowest and highest ratio of packed to plain bytes in it.
-BANDS = ((256, 0.40, 1.05), (1024, 0.35, 0.90), (4096, 0.28, 0.80), (16384, 0.24, 0.75), (None, 0.20, 0.70))
-CHUNK = 4096
-CHUNK_LIMITS = (0.20, 0.80)
-BAD_CHUNKS = 0.34
+BANDS = ((256, 0.40, 1.30), (1024, 0.38, 0.90), (2048, 0.36, 0.72), (4096, 0.34, 0.68), (16384, 0.31, 0.64), (None, 0.27, 0.62))
+CHUNK = 1024
+CHUNK_LIMITS = (0.40, 0.67)
+TOLERATED = ((4, 0.24), (32, 0.12), (None, 0.05))  # up to so many chunks; share of them that may lie outside the limits
 LEVEL = 3
 
 _is_symbol = np.zeros(256, bool)
@@ -83,7 +84,12 @@ def in_band(n_bytes: int, whole: float | None, chunks: int, bad: int) -> bool:
     if whole is None:
         return False
     _, low, high = next(band for band in BANDS if band[0] is None or n_bytes <= band[0])
-    return low <= whole <= high and (not chunks or bad <= BAD_CHUNKS * chunks)
+    return low <= whole <= high and (not chunks or bad <= tolerated(chunks) * chunks)
+
+
+def tolerated(chunks: int) -> float:
+    """The share of so many chunks that may lie outside the chunk limits."""
+    return next(share for most, share in TOLERATED if most is None or chunks <= most)
 
 
 def measure(rows: pa.RecordBatch, words: Slice, at: int, min_words: int, max_repeat_percent: int) -> list[pa.Array]:
