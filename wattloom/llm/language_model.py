@@ -7,11 +7,14 @@ words of each document meet their counts in an equi-join, in which no word is fr
 **Model.** A text is the subword ids of its words, A-Z in lower case and each with a blank before it, and an end. The model gives
 P(id) = P(class | up to 31 ids before) P(id | class): the most frequent ids are classes of their own, the others
 share classes of about equal mass. The first factor is one head of causal self-attention over the classes, with a learned weight
-for each distance; the second comes from the counts of all training texts. Both are proper distributions, and so is their product.
+for each distance, and a softmax in two steps: over groups of classes, and over the classes of the group. The second factor comes from the
+counts of all training texts. All are proper distributions, and so is their product.
 
-**Training.** The driver only finds a start, on at most ``TRAINING_WINDOWS`` windows. From there every window of every training text
-is learned from once: the texts fall into ``ROUNDS`` parts by hash, in a round each task takes Adam steps over its windows, and the
-tasks' weights are averaged by their windows. Steps grow with the windows; what a task sends has the size of the model.
+**Training.** Ids are written once, and read by everything below. The driver finds a start, on at most ``TRAINING_WINDOWS`` windows. From
+there every window of every training text is learned from once: the texts fall into ``ROUNDS`` parts by a hash of the row, a round
+sums the gradients of all windows of its part, and the driver takes one Adam step. A task sends one row of the size of the
+model, and ``_SUMMING`` tasks sum them. Sums over batches are in double precision, so a model, and a score, does not
+depend on how the rows lie in partitions, but for the rounding of float32 within a batch.
 
 **Scoring.** Windows of 32 ids overlap by half: each block of 16 is scored once, by queries that see their own block up to
 themselves and the block before. Blocks of many texts go through the attention as one masked batch.
@@ -22,6 +25,7 @@ rows score alike, to the rounding of float32. With no training text at all every
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
@@ -32,45 +36,69 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattloom.llm.quality_classifier import fold
-from wattloom.llm.storage import stored
+from wattloom.llm.storage import Scratch, write_table
 from wattloom.llm.text import Slice, signed, slices
 from wattloom.llm.tokenizers import BYTE_BPE, END, IDS, byte_bpe
+from wattloom.shared import scratch_path
 
 COMMON = 200_000
 TRAINING_DOCUMENTS, TRAINING_WINDOWS = 400, 6_000
-ROUNDS = 2
-SINGLE, SHARED = 256, 64  # classes of one id, and of many
+ROUNDS = 16
+RATE, LAST_RATE = 0.01, 0.002  # of the first and the last round
+SINGLE, SHARED = 960, 64  # classes of one id, and of many
+MEMBERS = 32  # classes of a group
 BLOCK, WIDTH = 16, 16
-_CACHED_WORDS = 200_000
+_AT_ONCE = 1024  # blocks of a batch
+_SUMMING = 16
+_CACHED_WORDS = 600_000
+_LARGEST = 60.0  # of a logit, so that sums of exponentials need no shift
 END_WORD = np.uint64(0x243F6A8885A308D3)  # stands for the end among word hashes
 
 
 class Encoder:
-    """Subword ids of whole slices; each distinct word is encoded once while it is in the cache."""
+    """Subword ids of whole slices; words not met before are encoded together, and remembered."""
 
     def __init__(self, path: str):
-        self.encode, self.cache = byte_bpe(path).encode_ordinary, {}
+        self.bpe = byte_bpe(path)
+        self.starts_word = np.array([self.bpe.decode_single_token_bytes(i)[:1] == b" " for i in range(self.bpe.n_vocab)] + [False] * (IDS - self.bpe.n_vocab))
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[int, int] = {}
+        self.ids, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some words, and how many each has. A blank starts a token, so joined words fall apart again there; where blanks of
+        other kinds in a word hide that, the words are encoded one by one."""
+        ids = np.array(self.bpe.encode_ordinary(" " + " ".join(texts)), np.int32)
+        starts = np.flatnonzero(self.starts_word[ids])
+        if len(starts) == len(texts):
+            return ids, np.diff(np.append(starts, len(ids)))
+        each = [self.bpe.encode_ordinary(" " + t) for t in texts]
+        sizes = np.fromiter(map(len, each), np.int64, len(each))
+        return np.fromiter(chain.from_iterable(each), np.int32, int(sizes.sum())), sizes
 
     def __call__(self, words: Slice, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end after each row, and the number of ids of each row."""
         distinct, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.cache) > _CACHED_WORDS:
-            self.cache.clear()
-        known, pieces = self.cache, []
-        for key, i in zip(distinct.tolist(), first.tolist()):
-            ids = known.get(key)
-            if ids is None:
-                ids = known[key] = self.encode(" " + words.word(i).lower().decode())
-            pieces.append(ids)
-        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
-        flat = np.fromiter(chain.from_iterable(pieces), np.int64, int(sizes.sum()))
-        begins = np.cumsum(sizes) - sizes
-        n = sizes[at]
+        if len(self.known) > _CACHED_WORDS:
+            self._forget()
+        find = self.known.get
+        place = np.array([find(key, -1) for key in distinct.tolist()], np.int64)
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            found = [self._pieces([words.word(i).lower().decode() for i in first[new[a : a + 4096]].tolist()]) for a in range(0, len(new), 4096)]
+            ids, sizes = (np.concatenate(x) for x in zip(*found))
+            place[new] = np.arange(len(new)) + len(self.known)
+            self.known.update(zip(distinct[new].tolist(), place[new].tolist()))
+            self.begins = np.append(self.begins, np.cumsum(sizes) - sizes + len(self.ids))
+            self.sizes, self.ids = np.append(self.sizes, sizes), np.append(self.ids, ids)
+        n, begins = self.sizes[place][at] if len(at) else np.zeros(0, np.int64), self.begins[place] if len(at) else np.zeros(0, np.int64)
         total = np.bincount(words.row, n, words.rows).astype(np.int64) + 1
         out = np.full(int(total.sum()), END, np.int64)
         ends = np.cumsum(n)
-        place = np.arange(int(n.sum())) - np.repeat(ends - n, n)
-        out[np.arange(len(place)) + np.repeat(words.row, n)] = flat[np.repeat(begins[at], n) + place]
+        within = np.arange(int(n.sum())) - np.repeat(ends - n, n)
+        out[np.arange(len(within)) + np.repeat(words.row, n)] = self.ids[np.repeat(begins[at], n) + within]
         return out, total
 
 
@@ -132,81 +160,149 @@ class Adam:
             weights[name] -= (rate * step).astype(np.float32)
 
 
+def keep_memory() -> None:
+    """Let this process keep freed memory: batches need the same few megabytes again and again, and new pages cost more than sums."""
+    c = ctypes.CDLL(None)
+    if hasattr(c, "mallopt"):
+        c.mallopt(-3, 1 << 26)  # M_MMAP_THRESHOLD
+        c.mallopt(-1, 1 << 27)  # M_TRIM_THRESHOLD
+
+
+def add_by_class(out: np.ndarray, classes: np.ndarray, values: np.ndarray) -> None:
+    """Add each row of ``values`` to the row of ``out`` that its class names."""
+    order = np.argsort(classes.astype(np.int16), kind="stable")
+    in_order = classes[order]
+    starts = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
+    out[in_order[starts]] += np.add.reduceat(values[order], starts, axis=0)
+
+
 class Attention:
-    """One head of causal self-attention over class ids, with residual and softmax output; float32."""
+    """One head of causal self-attention over class ids, with residual and a softmax in two steps; float32."""
 
-    def __init__(self, n_classes: int, seed: int = 7):
-        rng = np.random.default_rng(seed)
+    def __init__(self, n_classes: int, members: int = MEMBERS, seed: int = 7):
+        rng, groups = np.random.default_rng(seed), n_classes // members
         draw = lambda *s, scale=0.1: rng.normal(0, scale, s).astype(np.float32)
         self.weights = {
             "embed": draw(n_classes + 1, WIDTH, scale=0.3), "query": draw(WIDTH, WIDTH, scale=0.25), "key": draw(WIDTH, WIDTH, scale=0.25),
-            "value": draw(WIDTH, WIDTH, scale=0.25), "near": np.zeros(2 * BLOCK, np.float32), "out": draw(WIDTH, n_classes), "bias": np.zeros(n_classes, np.float32),
+            "value": draw(WIDTH, WIDTH, scale=0.25), "near": np.zeros(2 * BLOCK, np.float32), "group": draw(WIDTH, groups), "group_bias": np.zeros(groups, np.float32),
+            "member": draw(groups, WIDTH, members), "member_bias": np.zeros((groups, members), np.float32),
         }
 
-    def _forward(self, inputs: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple:
-        """Logits for (blocks, BLOCK) inputs with the inputs of the block before (not seen where ``first``)."""
-        w = self.weights
-        seen = np.concatenate([before, inputs], axis=1)
-        x = w["embed"][seen]
-        q, k, v = x[:, BLOCK:] @ w["query"], x @ w["key"], x @ w["value"]
-        scores = q @ k.transpose(0, 2, 1) / np.float32(np.sqrt(WIDTH)) + w["near"][_distance]
-        scores[:, _unseen] = -1e9
-        scores[first, :, :BLOCK] = -1e9
-        scores -= scores.max(-1, keepdims=True)
-        a = np.exp(scores)
-        a /= a.sum(-1, keepdims=True)
-        h = x[:, BLOCK:] + a @ v
-        return seen, x, q, k, v, a, h, h @ w["out"] + w["bias"]
-
-    def log_probabilities(self, targets: np.ndarray, inputs: np.ndarray, first: np.ndarray, batch: int = 512) -> np.ndarray:
-        """log P of each target, in the targets' shape; 0 where there is none. The same sums as in ``_forward``.
-
-        Inputs are few classes, so each product of a class is looked up and not computed again at every place.
+    def _hear(self, inputs: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple:
+        """What is known at each place of (blocks, BLOCK) inputs, with the inputs of the block before (not seen where ``first``).
+
+        Inputs are few classes, so their products with the weights are looked up.
         """
+        w, scale = self.weights, np.float32(1 / np.sqrt(WIDTH))
+        seen = np.concatenate([before, inputs], axis=1)
+        own = np.concatenate([w["embed"] @ w["query"] * scale, w["embed"]], axis=1)[inputs]
+        others = np.concatenate([w["embed"] @ w["key"], w["embed"] @ w["value"]], axis=1)[seen]
+        q, k, v = own[..., :WIDTH], others[..., :WIDTH], others[..., WIDTH:]
+        a = q @ k.transpose(0, 2, 1)
+        np.clip(a, -_LARGEST, _LARGEST, out=a)
+        a += np.where(_unseen, np.float32(-1e9), w["near"][_distance])
+        a[first, :, :BLOCK] = -1e9
+        np.exp(a, out=a)
+        a /= (a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, np.float32)).reshape(*a.shape[:2], 1)
+        return seen, q, k, v, a, own[..., WIDTH:] + a @ v
+
+    def _predict(self, h: np.ndarray, target: np.ndarray, sums: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
+        """log P of each target after ``h``; with ``sums`` also adds the gradients of -log P there, and returns those of ``h``."""
         w = self.weights
-        value = w["embed"] @ w["value"]
-        affinity = np.exp((w["embed"] @ w["query"]) @ (w["embed"] @ w["key"]).T / np.float32(np.sqrt(WIDTH)))
-        near = np.exp(np.where(_unseen, np.float32(-1e9), w["near"][_distance])).astype(np.float32)
-        affinity, direct = affinity.astype(np.float32).ravel(), w["embed"] @ w["out"] + w["bias"]
-        classes, out = w["embed"].shape[0], np.zeros(targets.shape)
-        small, know = inputs.astype(np.int32), targets >= 0
-        for a in range(0, len(targets), batch):
-            here, part = small[a : a + batch], slice(a, a + batch)
-            seen = np.concatenate([small[np.maximum(np.arange(a, a + len(here)) - 1, 0)], here], axis=1)
-            weight = affinity[here[:, :, None] * classes + seen[:, None, :]]
-            weight *= near
-            weight[first[part], :, :BLOCK] = 0
-            heard = (weight @ value[seen]) / weight.sum(-1, keepdims=True)
-            z = heard.reshape(-1, WIDTH) @ w["out"]
-            z += direct[here.ravel()]
-            picked = z[np.arange(len(z)), np.maximum(targets[part], 0).ravel()]
+        members, rows = w["member"].shape[2], np.arange(len(h))
+        order = np.argsort((target // members).astype(np.int16), kind="stable")
+        h, target = h[order], target[order]
+        group, member = target // members, target % members
+
+        def chosen(z: np.ndarray, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
+            """log P of the chosen ones; leaves probabilities less the choice in ``z`` where gradients are wanted."""
+            np.clip(z, -_LARGEST, _LARGEST, out=z)
+            picked = z[rows, of].astype(np.float64)
             np.exp(z, out=z)
-            out[part] = (picked - np.log(z.sum(-1))).reshape(here.shape)
-        return np.where(know, out, 0)
-
-    def gradients(self, targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray) -> dict[str, np.ndarray]:
-        w = self.weights
-        seen, x, q, k, v, a, h, z = self._forward(inputs, before, first)
-        z -= z.max(-1, keepdims=True)
-        p = np.exp(z)
-        p /= p.sum(-1, keepdims=True)
+            total = z @ np.ones(z.shape[1], np.float32)
+            if sums is not None:
+                z /= total[:, None]
+                z[rows, of] -= 1
+            return picked - np.log(total)
+
+        z = h @ w["group"]
+        z += w["group_bias"]
+        log_p = chosen(z, rows, group)
+        if sums is not None:
+            dh = z @ w["group"].T
+            sums["group"] += h.T @ z
+            sums["group_bias"] += z.sum(0)
+        bounds = np.searchsorted(group, np.arange(len(w["group_bias"]) + 1))
+        for g in np.flatnonzero(np.diff(bounds)).tolist():
+            here = slice(bounds[g], bounds[g + 1])
+            y = h[here] @ w["member"][g]
+            y += w["member_bias"][g]
+            log_p[here] += chosen(y, rows[: len(y)], member[here])
+            if sums is not None:
+                dh[here] += y @ w["member"][g].T
+                sums["member"][g] += h[here].T @ y
+                sums["member_bias"][g] += y.sum(0)
+        back = np.empty_like(order)
+        back[order] = rows
+        return log_p[back], None if sums is None else dh[back]
+
+    def log_probabilities(self, targets: np.ndarray, inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """log P of each target, in the targets' shape; 0 where there is none."""
+        out = np.zeros(targets.shape)
+        for a in range(0, len(targets), _AT_ONCE):
+            part = slice(a, a + _AT_ONCE)
+            before = inputs[np.maximum(np.arange(a, a + len(targets[part])) - 1, 0)]
+            h = self._hear(inputs[part], before, first[part])[-1]
+            known = targets[part] >= 0
+            out[part][known] = self._predict(h[known], targets[part][known])[0]
+        return out
+
+    def no_sums(self) -> dict[str, np.ndarray]:
+        """Sums over no windows: loss, targets and windows; gradients by class (of the residual, query, key and value) and of the other weights."""
+        like = {"told": (3,), "by_class": (len(self.weights["embed"]), 4 * WIDTH)}
+        like |= {name: self.weights[name].shape for name in ("near", "group", "group_bias", "member", "member_bias")}
+        return {name: np.zeros(shape) for name, shape in like.items()}
+
+    def add_gradients(
+        self, sums: dict[str, np.ndarray], targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, in_order: bool = False
+    ) -> None:
+        """Add the gradients of the targets' -log P; ``in_order`` says that each block but the first has the one above before it.
+
+        Nothing is heard of the block before where ``first``, so its gradients are 0 there.
+        """
+        seen, q, k, v, a, h = self._hear(inputs, before, first)
         known = targets >= 0
-        np.put_along_axis(p, np.maximum(targets, 0)[..., None], np.take_along_axis(p, np.maximum(targets, 0)[..., None], -1) - 1, -1)
-        dz = p * known[..., None] / np.float32(max(1, known.sum()))
-        dh = dz @ w["out"].T
-        da, dv = dh @ v.transpose(0, 2, 1), a.transpose(0, 2, 1) @ dh
-        ds = a * (da - (da * a).sum(-1, keepdims=True))
-        scaled = ds / np.float32(np.sqrt(WIDTH))
-        dq, dk = scaled @ k, scaled.transpose(0, 2, 1) @ q
-        dx = dk @ w["key"].T + dv @ w["value"].T
-        dx[:, BLOCK:] += dh + dq @ w["query"].T
-        flat = lambda m: m.reshape(-1, m.shape[-1])
-        embed = np.zeros_like(w["embed"])
-        np.add.at(embed, seen.ravel(), flat(dx))
-        return {
-            "embed": embed, "query": flat(x[:, BLOCK:]).T @ flat(dq), "key": flat(x).T @ flat(dk), "value": flat(x).T @ flat(dv),
-            "near": np.bincount(_distance.ravel(), ds.sum(0).ravel(), 2 * BLOCK).astype(np.float32), "out": flat(h).T @ flat(dz), "bias": flat(dz).sum(0),
-        }
+        log_p, d = self._predict(h[known], targets[known], sums)
+        sums["told"] += [-log_p.sum(), len(log_p), len(targets)]
+        dh = np.zeros_like(h)
+        dh[known] = d
+        da = dh @ v.transpose(0, 2, 1)
+        dv = a.transpose(0, 2, 1) @ dh
+        da -= ((da * a).reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, np.float32)).reshape(*a.shape[:2], 1)
+        da *= a
+        sums["near"] += np.bincount(_distance.ravel(), da.sum(0, dtype=np.float64).ravel(), 2 * BLOCK)
+        scale = np.float32(1 / np.sqrt(WIDTH))
+        parts = [dh, (da @ k) * scale, da.transpose(0, 2, 1) @ q, dv]  # q is scaled already
+        if in_order:  # a place is heard in its own block and in the next: one row for both
+            parts[2:], heard = [x[:, BLOCK:] for x in parts[2:]], [x[:, :BLOCK] for x in parts[2:]]
+            for own, later in zip(parts[2:], heard):
+                own[:-1] += later[1:]
+            rows = [(inputs, np.concatenate(parts, axis=2)), (before[:1], np.concatenate([np.zeros_like(dh[:1])] * 2 + [x[:1] for x in heard], axis=2))]
+        else:
+            zeros = np.zeros_like(dh)
+            rows = [(inputs, np.concatenate([*parts[:2], zeros, zeros], axis=2)), (seen, np.concatenate([np.zeros_like(dv)] * 2 + parts[2:], axis=2))]
+        for classes, values in rows:
+            add_by_class(sums["by_class"], classes.ravel(), values.reshape(-1, 4 * WIDTH))
+
+    def gradients(self, sums: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+        """Gradients of the mean -log P over all targets that were summed."""
+        w, n = self.weights, max(1.0, sums["told"][1])
+        direct, *by_class = np.split(sums["by_class"], 4, axis=1)
+        by_class = dict(zip(("query", "key", "value"), by_class))
+        embed = direct + sum(g @ w[name].T for name, g in by_class.items())
+        found = {name: sums[name] for name in ("near", "group", "group_bias", "member", "member_bias")}
+        found |= {"embed": embed, **{name: w["embed"].T @ g for name, g in by_class.items()}}
+        return {name: (g / n) for name, g in found.items()}
 
     def train(self, targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 7) -> None:
         """Adam steps on random batches of windows, the rate falling to a tenth."""
@@ -214,54 +310,85 @@ class Attention:
             return
         rng, adam = np.random.default_rng(seed), Adam()
         for t in range(1, steps + 1):
-            pick = rng.integers(0, len(targets), batch)
-            adam.step(self.weights, self.gradients(targets[pick], inputs[pick], before[pick], first[pick]), rate * (1 - 0.9 * t / steps))
+            pick, sums = rng.integers(0, len(targets), batch), self.no_sums()
+            self.add_gradients(sums, targets[pick], inputs[pick], before[pick], first[pick])
+            adam.step(self.weights, self.gradients(sums), rate * (1 - 0.9 * t / steps))
 
-    def learn(self, targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, adam: Adam, batch: int = 64, rate: float = 0.002) -> None:
-        """Adam steps over all windows, each used once, in batches of about ``batch``."""
-        order = np.random.default_rng(len(targets)).permutation(len(targets))
-        for pick in np.array_split(order, max(1, round(len(order) / batch))):
-            adam.step(self.weights, self.gradients(targets[pick], inputs[pick], before[pick], first[pick]), rate)
 
-
-def corpus_counts(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """(kind, key, n): kind 0, the count of each word hash (``END_WORD`` for ends); kind 1, of each subword id."""
+def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(key, n): the count of each word hash, and of ``END_WORD`` for ends."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, ids, ends = Encoder(path), np.zeros(IDS, np.int64), 0
+        ends, held = 0, 0
         pending: list[tuple[np.ndarray, np.ndarray]] = []
-        held = 0
 
-        def rows(kind: int, keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+        def rows(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(keys), 100_000):
-                some = keys[a : a + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), kind, np.int8)), signed(some), pa.array(n[a : a + 100_000])], ["kind", "key", "n"])
+                yield pa.RecordBatch.from_arrays([signed(keys[a : a + 100_000]), pa.array(n[a : a + 100_000])], ["key", "n"])
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
             keys, at = np.unique(np.concatenate([k for k, _ in pending]), return_inverse=True)
             return keys, np.bincount(at, np.concatenate([n for _, n in pending]), len(keys)).astype(np.int64)
 
         for _, words in slices(parts, "text"):
-            h = words.hashes(fold_case=True)
-            ids += np.bincount(encode(words, h)[0], minlength=IDS)
             ends += words.rows
-            pending.append(np.unique(h, return_counts=True))
+            pending.append(np.unique(words.hashes(fold_case=True), return_counts=True))
             held += len(pending[-1][0])
             if held > 1_500_000:
                 pending = [merged()]
                 held = len(pending[0][0])
                 if held > 1_000_000:
-                    yield from rows(0, *pending[0])
+                    yield from rows(*pending[0])
                     pending, held = [], 0
         if pending:
-            yield from rows(0, *merged())
+            yield from rows(*merged())
         if ends:
-            yield from rows(0, np.array([END_WORD]), np.array([ends]))
-        seen = np.flatnonzero(ids)
-        yield from rows(1, seen.astype(np.uint64), ids[seen])
+            yield from rows(np.array([END_WORD]), np.array([ends]))
+
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "key bigint, n bigint")
+    return counted.groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def encoded(keyed: DataFrame, path: str) -> DataFrame:
+    """(row, id, part, ids): the subword ids of each row of ``keyed`` (row, id, part, text)."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = Encoder(path)
+        for rows, words in slices(parts, "text"):
+            ids, sizes = encode(words, words.hashes(fold_case=True))
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids.astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*rows.columns[:3], lists], ["row", "id", "part", "ids"])
+
+    return keyed.select("row", "id", "part", "text").mapInArrow(run, "row bigint, id bigint, part int, ids array<int>")
+
+
+def sequences(parts: Iterator[pa.RecordBatch], column: str = "ids", at_once: int = 400_000) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Batches cut into runs of rows of about ``at_once`` ids (one row at least), with their ids and the number of each row."""
+    for part in parts:
+        if not part.num_rows:
+            continue
+        lists = part.column(part.schema.get_field_index(column))
+        bounds, at = lists.offsets.to_numpy(), 0
+        while at < part.num_rows:
+            stop = max(at + 1, int(np.searchsorted(bounds, bounds[at] + at_once, "right")) - 1)
+            yield part.slice(at, stop - at), lists.values.slice(bounds[at], bounds[stop] - bounds[at]).to_numpy().astype(np.int64), np.diff(bounds[at : stop + 1]).astype(np.int64)
+            at = stop
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "kind tinyint, key bigint, n bigint")
-    return counted.groupBy("kind", "key").agg(F.sum("n").alias("n"))
+
+def id_counts(texts: DataFrame) -> np.ndarray:
+    """How often each subword id is found."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(IDS, np.int64)
+        for _, ids, _ in sequences(parts):
+            total += np.bincount(ids, minlength=IDS)
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], ["key", "n"])
+
+    counts = texts.select("ids").mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    per_id = np.zeros(IDS)
+    per_id[counts["key"].to_numpy(np.int64)] = counts["n"].to_numpy(np.float64)
+    return per_id
 
 
 @dataclass
@@ -272,18 +399,15 @@ class Scorer:
     model: Attention
     keys: np.ndarray
     logs: np.ndarray
-    path: str
 
 
-def training_windows(docs: DataFrame, classes: Classes, path: str, id_column: str, text: str) -> tuple[np.ndarray, ...]:
-    """For the start: at most ``TRAINING_WINDOWS`` windows of at most ``TRAINING_DOCUMENTS`` documents, those with the smallest hashes."""
-    some = docs.select(F.col(id_column).alias("_some")).orderBy(F.xxhash64("_some")).limit(TRAINING_DOCUMENTS).distinct()
-    picked = docs.select(F.col(id_column).alias("id"), F.col(text).alias("text")).join(F.broadcast(some), F.col("id").eqNullSafe(F.col("_some")), "left_semi")
+def training_windows(texts: DataFrame, classes: Classes) -> tuple[np.ndarray, ...]:
+    """For the start: at most ``TRAINING_WINDOWS`` windows of the ``TRAINING_DOCUMENTS`` texts with the smallest row hashes."""
+    last = texts.select("row").distinct().orderBy("row").limit(TRAINING_DOCUMENTS).agg(F.max("row")).first()[0]
+    some = texts.where(F.col("row") <= last).dropDuplicates(["row"]) if last is not None else texts
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(path)
-        for _, words in slices(parts, "text"):
-            ids, sizes = encode(words, words.hashes(fold_case=True))
+        for _, ids, sizes in sequences(parts):
             targets, inputs, first = blocks(classes.of[ids], sizes, classes.n)
             before = inputs[np.maximum(np.arange(len(inputs)) - 1, 0)]
             whole = np.concatenate([targets, inputs, before, first[:, None]], axis=1).astype(np.int16)
@@ -291,41 +415,57 @@ def training_windows(docs: DataFrame, classes: Classes, path: str, id_column: st
                 lists = pa.ListArray.from_arrays(pa.array(np.arange(len(whole[a : a + 5_000]) + 1) * whole.shape[1], pa.int32()), pa.array(whole[a : a + 5_000].ravel()))
                 yield pa.RecordBatch.from_arrays([lists], ["window"])
 
-    windows = picked.mapInArrow(run, "window array<smallint>").orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS)
+    windows = some.select("ids").mapInArrow(run, "window array<smallint>").orderBy(F.xxhash64("window"), "window").limit(TRAINING_WINDOWS)
     got = np.array([r.window for r in windows.collect()], np.int64).reshape(-1, 3 * BLOCK + 1)
     return got[:, :BLOCK], got[:, BLOCK : 2 * BLOCK], got[:, 2 * BLOCK : 3 * BLOCK], got[:, -1] > 0
 
 
-def fit(docs: DataFrame, classes: Classes, path: str, id_column: str = "id", text: str = "text") -> tuple[Attention, int]:
-    """The attention model trained on all windows of all of ``docs``, and how many windows those were."""
-    spark, model, windows = docs.sparkSession, Attention(classes.n), 0
-    model.train(*training_windows(docs, classes, path, id_column, text))
+def summed(rows: DataFrame) -> np.ndarray | None:
+    """The sum of equally long arrays (total); ``_SUMMING`` tasks sum those of all others, the driver theirs."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for part in parts:
+            for i in range(part.num_rows):
+                one = part.column(0)[i].values.to_numpy()
+                total = one.copy() if total is None else total + one
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.float64()))], ["total"])
+
+    sums = rows.repartition(_SUMMING).mapInArrow(run, "total array<double>").toArrow()["total"]
+    arrays = [x.values.to_numpy() for x in sums]
+    return sum(arrays[1:], arrays[0]) if arrays else None
+
+
+def fit(texts: DataFrame, classes: Classes) -> tuple[Attention, int]:
+    """The attention model trained on all windows of ``texts`` (row, part, ids), and how many windows those were."""
+    spark, model, adam, windows = texts.sparkSession, Attention(classes.n), Adam(), 0
+    model.train(*training_windows(texts, classes))
     for part in range(ROUNDS):
         sent = spark.sparkContext.broadcast((classes, model))
 
         def run(parts: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            classes, start = sent.value
-            encode, adam, own, n = Encoder(path), Adam(), Attention(classes.n), 0
-            own.weights = {name: w.copy() for name, w in start.weights.items()}
-            for _, words in slices(parts, "text"):
-                ids, sizes = encode(words, words.hashes(fold_case=True))
-                if not len(ids):
-                    continue
+            classes, model = sent.value
+            keep_memory()
+            sums = model.no_sums()
+            for _, ids, sizes in sequences(parts):
                 targets, inputs, first = blocks(classes.of[ids], sizes, classes.n)
-                own.learn(targets, inputs, inputs[np.maximum(np.arange(len(inputs)) - 1, 0)], first, adam)
-                n += len(targets)
-            if n:
-                flat = np.concatenate([[1.0], *(w.ravel() for w in own.weights.values())]) * n
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], ["place", "total"])
-
-        here = docs.where(F.pmod(F.xxhash64(id_column, text), F.lit(ROUNDS)) == part).select(F.col(text).alias("text"))
-        summed = here.mapInArrow(run, "place bigint, total double").groupBy("place").agg(F.sum("total").alias("total")).toPandas()
-        if len(summed):
-            total = summed.sort_values("place")["total"].to_numpy()
-            windows, mean, at = windows + round(total[0]), total[1:] / total[0], 0
-            for name, w in model.weights.items():
-                model.weights[name] = mean[at : at + w.size].astype(np.float32).reshape(w.shape)
-                at += w.size
+                for a in range(0, len(targets), _AT_ONCE):
+                    here = slice(a, a + _AT_ONCE)
+                    before = inputs[np.maximum(np.arange(a, a + len(targets[here])) - 1, 0)]
+                    model.add_gradients(sums, targets[here], inputs[here], before, first[here], True)
+            if sums["told"][1]:
+                flat = np.concatenate([g.ravel() for g in sums.values()])
+                yield pa.RecordBatch.from_arrays([pa.array([flat], pa.list_(pa.float64()))], ["total"])
+
+        total = summed(texts.where(F.col("part") == part).select("ids").mapInArrow(run, "total array<double>"))
+        if total is not None:
+            sums, at = model.no_sums(), 0
+            for name, g in sums.items():
+                sums[name] = total[at : at + g.size].reshape(g.shape)
+                at += g.size
+            adam.step(model.weights, model.gradients(sums), RATE + (LAST_RATE - RATE) * part / max(1, ROUNDS - 1))
+            windows += round(sums["told"][2])
         sent.unpersist()
     return model, windows
 
@@ -336,12 +476,10 @@ def row_key(id_column: str, text: str) -> Column:
 
 def score(docs: DataFrame, held_out_fold: int = 1, path: str = BYTE_BPE, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, held_out, n_tokens, n_known, train_tokens, base_score, score): one row for each row of ``docs``."""
-    spark = docs.sparkSession
-    narrow = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    spark, scratch = docs.sparkSession, Scratch(docs.sparkSession)
     held_out = F.coalesce(fold(F.col("id")) == held_out_fold, F.lit(False))
-    training = narrow.where(~held_out)
-    counts = stored(corpus_counts(training, path), "corpus-counts")
-    words = counts.where(F.col("kind") == 0).select("key", "n")
+    narrow = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text).alias("text"))
+    words = scratch.stored(word_counts(narrow.where(~held_out)), "word-counts")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(total.n), int(total.v)
     ends = words.where(F.col("key") == int(np.array([END_WORD]).view(np.int64)[0])).first()
@@ -349,64 +487,56 @@ def score(docs: DataFrame, held_out_fold: int = 1, path: str = BYTE_BPE, id_colu
     common = words.orderBy(F.desc("n"), "key").limit(COMMON).toPandas()
     keys = common["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    ids = counts.where(F.col("kind") == 1).select("key", "n").toPandas()
-    per_id = np.zeros(IDS)
-    per_id[ids["key"].to_numpy(np.int64)] = ids["n"].to_numpy(np.float64)
-    classes = make_classes(per_id)
-    model, _ = fit(training, classes, path)
-    floor = np.log10(n + 0.5 * (v + 1))
-    scorer = spark.sparkContext.broadcast(Scorer(classes, model, keys[order], np.log10(common["n"].to_numpy(np.float64)[order] + 0.5), path))
     keyed = narrow.select(row_key("id", "text").alias("row"), "id", "text")
+    part = F.when(held_out, F.lit(ROUNDS)).otherwise(F.pmod("row", F.lit(ROUNDS))).cast("int")
+    ids_path = write_table(encoded(keyed.withColumn("part", part), path), scratch_path(spark, "subwords"), "part")
+    texts = spark.read.schema("row bigint, id bigint, ids array<int>, part int").parquet(ids_path)
+    training = texts.where(F.col("part") < ROUNDS)
+    classes = make_classes(id_counts(training))
+    model, _ = fit(training, classes)
+    floor = np.log10(n + 0.5 * (v + 1))
+    scorer = spark.sparkContext.broadcast(Scorer(classes, model, keys[order], np.log10(common["n"].to_numpy(np.float64)[order] + 0.5)))
 
-    def common_part(s: Scorer, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.minimum(np.searchsorted(s.keys, h), max(len(s.keys) - 1, 0))
-        is_common = s.keys[at] == h if len(s.keys) else np.zeros(len(h), bool)
-        return is_common, s.logs[at] if len(s.keys) else np.zeros(len(h))
-
-    def rare(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def base(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = scorer.value
         for rows, cut in slices(parts, "text"):
             h = cut.hashes(fold_case=True)
-            left = ~common_part(s, h)[0]
-            row, h = cut.row[left], h[left]
-            order = np.lexsort((h, row))
-            row, h = row[order], h[order]
+            at = np.minimum(np.searchsorted(s.keys, h), max(len(s.keys) - 1, 0))
+            is_common = s.keys[at] == h if len(s.keys) else np.zeros(len(h), bool)
+            known = np.bincount(cut.row[is_common], minlength=cut.rows) + (end_count > 0)
+            sums = np.bincount(cut.row[is_common], s.logs[at[is_common]], cut.rows) + np.log10(end_count + 0.5)
+            row, h = cut.row[~is_common], h[~is_common]
+            in_order = np.lexsort((h, row))
+            row, h = row[in_order], h[in_order]
             new = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])]) if len(h) else [])
             times = np.diff(np.append(new, len(h)))
-            names = rows.column(0).to_numpy()
-            # a row of 0 times marks the document itself, so that repeated rows can be told
-            out = (np.concatenate([names[row[new]], names]), np.concatenate([h[new].view(np.int64), names]), np.concatenate([times, np.zeros(len(names), np.int64)]))
-            for a in range(0, len(out[0]), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000]) for c in out], ["row", "key", "times"])
-
-    def whole(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            names, none = rows.column(0).to_numpy(), np.zeros(cut.rows, np.int64)
+            # a row of 0 times is the document itself: what its common words give, and how often the document is repeated
+            left = [names[row[new]], h[new].view(np.int64), times, *(pa.nulls(len(new), t) for t in (pa.int64(), pa.int64(), pa.float64()))]
+            whole = [names, names, none, cut.n_words + 1, known, sums]
+            for columns in (left, whole):
+                for a in range(0, len(columns[0]), 100_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(c[a : a + 100_000]) for c in columns], ["row", "key", "times", "n_tokens", "known", "sums"])
+
+    def attention(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = scorer.value
-        encode = Encoder(s.path)
-        for rows, cut in slices(parts, "text"):
-            h = cut.hashes(fold_case=True)
-            is_common, log = common_part(s, h)
-            known = np.bincount(cut.row[is_common], minlength=cut.rows) + (end_count > 0)
-            sums = np.bincount(cut.row[is_common], log[is_common], cut.rows) + np.log10(end_count + 0.5)
-            ids, sizes = encode(cut, h)
+        keep_memory()
+        for rows, ids, sizes in sequences(parts):
             targets, inputs, first = blocks(s.classes.of[ids], sizes, s.classes.n)
             per_block = s.model.log_probabilities(targets, inputs, first).sum(1)
-            begin = np.flatnonzero(first)
             subword = np.add.reduceat(s.classes.log_share[ids], np.cumsum(sizes) - sizes)
-            model_score = (np.add.reduceat(per_block, begin) + subword) / np.log(10)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column(0), rows.column(1), pa.array(cut.n_words + 1), pa.array(known), pa.array(sums), pa.array(model_score)],
-                ["row", "id", "n_tokens", "known", "sums", "score"],
-            )
-
-    in_rare = keyed.select("row", "text").mapInArrow(rare, "row bigint, key bigint, times bigint")
-    found = in_rare.join(words.withColumnRenamed("n", "c"), "key", "left")
+            score = (np.add.reduceat(per_block, np.flatnonzero(first)) + subword) / np.log(10)
+            yield pa.RecordBatch.from_arrays([*rows.columns[:2], pa.array(score)], ["row", "id", "score"])
+
+    counted = keyed.select("row", "text").mapInArrow(base, "row bigint, key bigint, times bigint, n_tokens bigint, known bigint, sums double")
+    found = counted.join(words.withColumnRenamed("n", "c"), "key", "left")
     times, c = F.col("times"), F.coalesce("c", F.lit(0))
-    rare_sums = found.groupBy("row").agg(
+    per_row = found.groupBy("row").agg(
         F.sum(times * F.log10(c + F.lit(0.5))).alias("_rare"), F.sum(F.when(c > 0, times).otherwise(F.lit(0))).alias("_known"),
-        F.sum((times == 0).cast("long")).alias("_copies"),
+        F.sum((times == 0).cast("long")).alias("_copies"), *(F.max(name).alias(name) for name in ("n_tokens", "known", "sums")),
     )
-    scored = keyed.mapInArrow(whole, "row bigint, id bigint, n_tokens bigint, known bigint, sums double, score double")
-    return scored.join(rare_sums, "row").select(
+    scored = texts.select("row", "id", "ids").mapInArrow(attention, "row bigint, id bigint, score double")
+    return scored.join(per_row, "row").select(
         "id", held_out.alias("held_out"), "n_tokens", (F.col("known") + (F.col("_known") / F.col("_copies")).cast("long")).alias("n_known"),
         F.lit(n).cast("long").alias("train_tokens"),
         (F.col("sums") + F.col("_rare") / F.col("_copies") - F.col("n_tokens") * F.lit(float(floor))).alias("base_score"), "score",
