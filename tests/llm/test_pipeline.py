@@ -4,7 +4,7 @@ import os
 from collections import Counter
 
 import pytest
-from llm_texts import _package_on_workers, fold, prose  # noqa: F401
+from llm_texts import SCHEMA, _package_on_workers, fold, odd_rows, prose  # noqa: F401
 from sql_check import compare, connect
 
 import __spark_entry__ as entry_points
@@ -77,3 +77,23 @@ def test_run_is_the_stages_one_after_another(spark, folder):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, path)
     assert sorted(map(str, docs.collect())) == sorted(map(str, corpus_pipeline.run(spark, path).collect()))
+
+
+@pytest.mark.parametrize("rows", ["odd", "none"])
+def test_odd_rows_empty_tables_and_clashing_names_pass_all_stages(spark, tmp_path, rows):
+    """NULLs everywhere, texts of all lengths, repeated rows, and columns with the names that stages use inside."""
+    clashing = ["_line_id", "_gone", "_size", "_n_words", "_OF", "_frequent", "id", "component_id", "score", "h", "rank"]
+    values = [(*r, *(["x"] * len(clashing))) for r in (odd_rows() if rows == "odd" else [])]
+    docs = spark.createDataFrame(values, f"{SCHEMA}, " + ", ".join(f"{c} string" for c in clashing))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, 0) for i in range(60)] + [(None, 1, 0), (3, None, None)] if rows == "odd" else []
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    benchmark = [(1, None), (None, "a b"), (2, "")] if rows == "odd" else []
+    spark.createDataFrame(benchmark, "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    here = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        after = stage(spark, here, str(tmp_path))
+        assert after.columns[: len(here.columns)] == here.columns, name
+        here = spark.createDataFrame(after.collect(), after.schema)
+    assert (here.count() > 0) == (rows == "odd")
+    assert all(r[c] == "x" for r in here.collect() for c in clashing)
