@@ -91,6 +91,8 @@ def test_sketches_bound_the_difference_and_tell_sets_apart_at_any_size(spark, n)
     rows = spark.createDataFrame([(made[0], made[1]), (made[0], made[2]), (made[1], made[2]), (made[2], made[2])], "x array<bigint>, y array<bigint>")
     like, unlike, unlike_2, same = (r[0] for r in rows.select(J._bits_apart(rows.x, rows.y, 80)).collect())
     allowed = (longer + n) * 20 / 180
+    short = np.array([c.to_numpy() for c in J.folded(J.sketches(near, np.repeat([0, 1, 2], sizes), sizes, 80))]).T
+    assert np.bitwise_count((short[0] ^ short[1]).view(np.uint64)).sum() <= like and (len(made[0]) == 16) == (made[0] == short[0].tolist())
     assert like <= longer - n and same == 0
     assert n < 50 or (unlike > allowed and unlike_2 > 2 * n * 20 / 180)
 

@@ -19,7 +19,8 @@ with the pivot are verified exactly on the full sets. A bucket that this leaves
 turn, drawn by hash from outside the first one's component; what is still across components then is verified pair by pair.
 No sets are made for pairs that an exact bound rules out: their sizes, and parity sketches. Each shingle flips one bit, so
 sets differ in as many shingles as their sketches differ in bits, or more. A sketch has eight bits or more for each shingle that linked
-sets of its size may differ in, so it tells unrelated sets apart at any size; the longer of two sketches is folded to the shorter.
+sets of its size may differ in (1,024 at least), so it tells unrelated sets apart at any size. All are compared folded to 1,024 bits, in
+plain columns, first; larger sets then by the whole of the shorter sketch, with the longer one folded to it.
 Sketches come with the names, in the first pass. Full sets are made only for names in pairs that are left: a bitmap of fixed
 size over their documents' ids lets each task pass over most texts, and what it lets through by chance is dropped by name.
 Pairs inside a component can add nothing to the components and are skipped. So a group of k near copies costs about k pairs.
@@ -42,9 +43,11 @@ from wattloom.llm.components import components
 from wattloom.llm.storage import Scratch, stored, unused
 from wattloom.llm.text import Slice, mix, signed, slices, windows
 
-POPULAR = 20_000  # most shingles that can count as popular: bounds the summaries and what is sent to the tasks
+POPULAR = 60_000  # most shingles that can count as popular: bounds the summaries and what is sent to the tasks
+COMMON_FROM = 20  # distinct sets that make a shingle popular, whatever the number of sets: buckets of rarer ones stay small
 _REMEMBERED = 500_000  # sets a task remembers, to emit the signatures of equal sets once
 MEMBERSHIP = 1 << 24  # bits of the map over ids whose sets are wanted; a full map costs time, not results
+FOLDED = [f"s{i}" for i in range(16)]  # 64 bits each
 _SEGMENT, _CONTENT = np.uint64(0x1F83D9ABFB41BD6B), np.uint64(0x5BE0CD19137E2179)
 
 
@@ -152,7 +155,7 @@ def signature_rows(
 def sketch_longs(sizes: np.ndarray, percent: int) -> np.ndarray:
     """The length of each set's sketch, a power of two, in longs."""
     bits = 16 * sizes * (100 - percent) // (100 + percent) + 1
-    return np.left_shift(1, np.maximum(np.ceil(np.log2(bits)).astype(np.int64) - 6, 0))
+    return np.left_shift(len(FOLDED), np.maximum(np.ceil(np.log2(bits / (64 * len(FOLDED)))).astype(np.int64), 0))
 
 
 def sketches(h: np.ndarray, row: np.ndarray, sizes: np.ndarray, percent: int) -> pa.Array:
@@ -160,8 +163,25 @@ def sketches(h: np.ndarray, row: np.ndarray, sizes: np.ndarray, percent: int) ->
     bounds = np.concatenate([[0], np.cumsum(sketch_longs(sizes, percent))])
     width = np.diff(bounds) * 64
     bit = (mix(h + _CONTENT) >> np.uint64(20)).astype(np.int64) & (width - 1)[row]
-    odd = np.bincount(bounds[row] * 64 + bit, minlength=int(bounds[-1]) * 64) & 1
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.packbits(odd.astype(np.uint8)).view(np.int64)))
+    place, times = np.unique(bounds[row] * 64 + bit, return_counts=True)
+    odd = np.zeros(int(bounds[-1]) * 64, np.uint8)
+    odd[place[times % 2 == 1]] = 1
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.packbits(odd).view(np.int64)))
+
+
+def longer_ones(sketch: pa.Array) -> pa.Array:
+    """The sketches that are longer than folded, NULL for others."""
+    n = np.diff(sketch.offsets.to_numpy())
+    keep = n > len(FOLDED)
+    blocks = sketch.values.to_numpy().reshape(-1, len(FOLDED))[np.repeat(keep, n // len(FOLDED))]
+    offsets = np.concatenate([[0], np.cumsum(np.where(keep, n, 0))])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(blocks.ravel()), mask=pa.array(~keep))
+
+
+def folded(sketch: pa.Array) -> list[pa.Array]:
+    """The columns ``FOLDED`` of some sketches."""
+    blocks = sketch.values.to_numpy().reshape(-1, len(FOLDED))
+    return [pa.array(c) for c in np.bitwise_xor.reduceat(blocks, sketch.offsets.to_numpy()[:-1] // len(FOLDED), axis=0).T]
 
 
 def _narrow(docs: DataFrame, id_column: str, text: str) -> DataFrame:
@@ -169,26 +189,28 @@ def _narrow(docs: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def nodes(docs: DataFrame, words: int, percent: int, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """(id, n, name, sketch): the set size, set name and parity sketch of each row."""
+    """(id, n, name, sketch, FOLDED...): the set size, set name and parity sketch of each row; ``sketch`` is NULL where it is no longer than folded."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, cut in slices(parts):
             h, row, sizes = shingle_sets(cut, words)
-            columns = [rows.column(0), pa.array(sizes), signed(fingerprints(h, row, sizes)), sketches(h, row, sizes, percent)]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "name", "sketch"])
+            whole = sketches(h, row, sizes, percent)
+            columns = [rows.column(0), pa.array(sizes), signed(fingerprints(h, row, sizes)), longer_ones(whole), *folded(whole)]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "n", "name", "sketch", *FOLDED])
 
-    return _narrow(docs, id_column, text).mapInArrow(run, "id bigint, n bigint, name bigint, sketch array<bigint>")
+    schema = "id bigint, n bigint, name bigint, sketch array<bigint>, " + ", ".join(f"{c} bigint" for c in FOLDED)
+    return _narrow(docs, id_column, text).mapInArrow(run, schema)
 
 
-def popular_shingles(docs: DataFrame, words: int, share: float = 0.001, text: str = "text", scratch: Scratch | None = None) -> np.ndarray:
-    """Shingles that about ``share`` of all distinct sets or more have, at most ``POPULAR``.
+def popular_shingles(docs: DataFrame, words: int, text: str = "text", scratch: Scratch | None = None) -> np.ndarray:
+    """Shingles that about ``COMMON_FROM`` distinct sets or more have, the commonest ``POPULAR`` of them.
 
     Each task keeps counters of its commonest shingles (a shingle of a share over 1 / ``POPULAR`` of its
     sets is never pushed out for good); the counters are summed and the commonest come to the driver.
     """
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, kept, counts, sets = set(), np.zeros(0, np.uint64), np.zeros(0, np.int64), 0
+        seen, kept, counts = set(), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         pending, held = [], 0
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
@@ -207,7 +229,6 @@ def popular_shingles(docs: DataFrame, words: int, share: float = 0.001, text: st
                     fresh[i] = True
                     if len(seen) < _REMEMBERED:
                         seen.add(name)
-            sets += int(fresh.sum())
             pending.append(h[fresh[row]])
             held += len(pending[-1])
             if held > 1_000_000:
@@ -215,16 +236,14 @@ def popular_shingles(docs: DataFrame, words: int, share: float = 0.001, text: st
                 pending, held = [], 0
         kept, counts = merged()
         several = counts > 1
-        yield pa.RecordBatch.from_arrays(
-            [pa.concat_arrays([signed(kept[several]), pa.array([0], pa.int64())]), pa.array([*counts[several].tolist(), sets], pa.int64()),
-             pa.array([False] * int(several.sum()) + [True])], ["shingle", "sets", "total"],
-        )
+        yield pa.RecordBatch.from_arrays([signed(kept[several]), pa.array(counts[several])], ["shingle", "sets"])
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "shingle bigint, sets bigint, total boolean")
-    summary = (scratch or Scratch(docs.sparkSession)).stored(counted.groupBy("total", "shingle").agg(F.sum("sets").alias("sets")), "popular")
-    limit = max(20, int(share * (summary.where("total").agg(F.sum("sets")).first()[0] or 0)))
-    common = summary.where(~F.col("total") & (F.col("sets") >= limit)).orderBy(F.desc("sets"), "shingle").limit(POPULAR)
-    return np.sort(np.array([r.shingle for r in common.select("shingle").collect()], np.int64).view(np.uint64))
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(run, "shingle bigint, sets bigint")
+    summary = (scratch or Scratch(docs.sparkSession)).stored(
+        counted.groupBy("shingle").agg(F.sum("sets").alias("sets")).where(F.col("sets") >= COMMON_FROM), "popular"
+    )
+    common = summary.orderBy(F.desc("sets"), "shingle").limit(POPULAR)
+    return np.sort(common.select("shingle").toPandas()["shingle"].to_numpy(np.int64).view(np.uint64))
 
 
 def signatures(docs: DataFrame, words: int, percent: int, popular: np.ndarray, text: str = "text") -> DataFrame:
@@ -317,7 +336,7 @@ def near_duplicates(
     members = scratch.stored(buckets(signatures(docs, words, percent, popular, text)), "buckets")
     star = members.select(F.col("pivot").alias("a"), F.col("name").alias("b")).distinct()
     used = star.select(F.explode(F.array("a", "b")).alias("name")).distinct()
-    cards = scratch.stored(every.join(used, "name").groupBy("name").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch")), "cards")
+    cards = scratch.stored(every.select("name", "n", "sketch", *FOLDED).join(used, "name").dropDuplicates(["name"]), "cards")
 
     def links_of(pairs: DataFrame) -> DataFrame | None:
         pairs = scratch.stored(pairs, "pairs")
@@ -333,8 +352,8 @@ def near_duplicates(
     found = [links_of(_possible_pairs(star, cards, percent))]
     labels = _labels(found, every, scratch)
     for pairs_of in (_star_of(1), _star_of(2), _across):
-        full = _mixed_members(members, labels, cards, scratch)
-        found.append(None if full.isEmpty() else links_of(pairs_of(full, percent)))
+        full = _mixed_members(members, labels, scratch)
+        found.append(None if full.isEmpty() else links_of(pairs_of(full, cards, percent)))
         scratch.drop("members")
         if found[-1] is not None:
             labels = _labels(found, every, scratch)
@@ -355,8 +374,8 @@ def _labels(found: list[DataFrame | None], every: DataFrame, scratch: Scratch) -
     return components(links, scratch)
 
 
-def _mixed_members(members: DataFrame, labels: DataFrame, cards: DataFrame, scratch: Scratch) -> DataFrame:
-    """Members of buckets that are not yet one component: their size, sketch and component, and whether they are outside
+def _mixed_members(members: DataFrame, labels: DataFrame, scratch: Scratch) -> DataFrame:
+    """Members of buckets that are not yet one component: their component, and whether they are outside
     the pivot's component (``odd``)."""
     group = labels.select(F.col("node").alias("name"), "component")
     pivots = labels.select(F.col("node").alias("pivot"), F.col("component").alias("_pivot_component"))
@@ -367,7 +386,7 @@ def _mixed_members(members: DataFrame, labels: DataFrame, cards: DataFrame, scra
         .select("key", "name", "role", "component", "odd")
     ).distinct()
     mixed = full.groupBy("key").agg(F.max("odd").alias("_odd")).where("_odd").select("key")
-    return scratch.stored(full.join(mixed, "key", "left_semi").join(cards, "name"), "members")
+    return scratch.stored(full.join(mixed, "key", "left_semi"), "members")
 
 
 def _bits_apart(x, y, percent: int):
@@ -385,25 +404,30 @@ def _bits_apart(x, y, percent: int):
 
 def _may_link(percent: int):
     """Whether the sizes and sketches of a pair (x and x_1) allow a link."""
+    size = F.col("n") + F.col("n_1")
     sizes = 100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")
-    near = _bits_apart(F.col("sketch"), F.col("sketch_1"), percent) * (100 + percent) <= (F.col("n") + F.col("n_1")) * (100 - percent)
-    return F.when(sizes, near).otherwise(F.lit(False))
+    short = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_1"))) for c in FOLDED), F.lit(0))
+    within = lambda apart: apart * (100 + percent) <= size * (100 - percent)
+    whole = F.col("sketch").isNull() | F.col("sketch_1").isNull() | within(_bits_apart(F.col("sketch"), F.col("sketch_1"), percent))
+    return F.when(sizes & within(short), whole).otherwise(F.lit(False))
 
 
-def _possible_pairs(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that may be linked."""
-    other = cards.select(F.col("name").alias("b"), F.col("n").alias("n_1"), F.col("sketch").alias("sketch_1"))
-    both = pairs.join(cards.withColumnRenamed("name", "a"), "a").join(other, "b")
-    return both.where(_may_link(percent)).select("a", "b")
+def _as_other(rows: DataFrame, *kept: str) -> DataFrame:
+    return rows.select(*kept, *(F.col(c).alias(f"{c}_1") for c in rows.columns if c not in kept))
 
 
-def _possible(percent: int):
-    """Whether a pair of rows of a bucket is across components, probed by one side, and may be linked."""
-    return (F.col("component") != F.col("component_1")) & ((F.col("role") == 0) | (F.col("role_1") == 0)) & _may_link(percent)
+def _possible_pairs(pairs: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may be linked: by their sizes alone first, so that sketches travel only with what is left."""
+    sizes = cards.select("name", "n")
+    near = pairs.join(sizes.withColumnRenamed("name", "a"), "a").join(_as_other(sizes).withColumnRenamed("name_1", "b"), "b")
+    near = near.where(100 * F.least("n", "n_1") >= percent * F.greatest("n", "n_1")).select("a", "b")
+    both = near.join(cards.withColumnRenamed("name", "a"), "a").join(_as_other(cards).withColumnRenamed("name_1", "b"), "b")
+    return both.where(_may_link(percent)).select("a", "b")
 
 
-def _as_other(full: DataFrame) -> DataFrame:
-    return full.select("key", *(F.col(c).alias(f"{c}_1") for c in ("name", "role", "n", "component", "sketch")))
+def _across_components():
+    """Whether a pair of rows of a bucket is across components and probed by one side."""
+    return (F.col("component") != F.col("component_1")) & ((F.col("role") == 0) | (F.col("role_1") == 0))
 
 
 def _distinct_pairs(pairs: DataFrame) -> DataFrame:
@@ -411,20 +435,26 @@ def _distinct_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def _star_of(seed: int):
-    """Pairs (a, b) of a member of each bucket, drawn from outside the pivot's component, with the other members."""
+    """Pairs (a, b) of a member of each bucket, drawn from outside the pivot's component, with the other members.
+
+    The same pairs come from many buckets, so they are made different before sketches are joined to them.
+    """
 
-    def pairs(full: DataFrame, percent: int) -> DataFrame:
+    def pairs(full: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
         odd = full.where("odd").withColumn("_draw", F.xxhash64(F.lit(seed), "key", "name"))
         first = odd.groupBy("key").agg(F.min(F.struct("role", "_draw")).alias("_first"))  # probing members first
         drawn = odd.join(first, "key").where((F.col("_draw") == F.col("_first._draw")) & (F.col("role") == F.col("_first.role")))
-        return _distinct_pairs(_as_other(drawn).join(full, "key").where(_possible(percent)))
+        other = _as_other(drawn.select("key", "name", "role", "component"), "key")
+        return _possible_pairs(_distinct_pairs(other.join(full, "key").where(_across_components())), cards, percent)
 
     return pairs
 
 
-def _across(full: DataFrame, percent: int) -> DataFrame:
+def _across(full: DataFrame, cards: DataFrame, percent: int) -> DataFrame:
     """(a, b): all pairs of a bucket in different components that may be linked."""
-    pairs = _as_other(full.where("odd")).join(full, "key").where(_possible(percent) & (~F.col("odd") | (F.col("name_1") < F.col("name"))))
+    known = full.join(cards, "name")
+    other = _as_other(known.where("odd").drop("odd"), "key")
+    pairs = other.join(known, "key").where(_across_components() & (~F.col("odd") | (F.col("name_1") < F.col("name"))) & _may_link(percent))
     return _distinct_pairs(pairs)
 
 
