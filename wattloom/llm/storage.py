@@ -8,11 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from wattloom.shared import scratch_path
 
+_ROWS_AT_ONCE = 2_000  # rows of an Arrow batch: texts are long, and batches lie beside Spark's own memory
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def importable(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package from where the driver has it, if they see that folder.
+    """Let Python workers import this package from where the driver has it, if they see that folder, and bound their batches.
 
     On a cluster without it, hand the package to the executors with ``--py-files``.
     """
@@ -20,6 +21,8 @@ def importable(spark: SparkSession) -> SparkSession:
     paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if _ROOT not in paths:
         environment["PYTHONPATH"] = os.pathsep.join([*paths, _ROOT])
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > _ROWS_AT_ONCE:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(_ROWS_AT_ONCE))
     return spark
 
 
