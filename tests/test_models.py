@@ -190,3 +190,22 @@ def test_regularised_trees_on_any_partitioning_and_with_gaps(spark, monkeypatch)
     assert {k for k, _, b, _ in data if b is None or b != b} == {k for k, v in found[0].items() if v is None}
     nothing = boosting.train_regularised_trees(rows.where("a > 5"), ["a", "b"], "y", "k", rounds=2)
     assert nothing.feature == [] and nothing.predict(rows).where("prediction = 0").count() > 0
+
+
+def test_forest_merges_equal_rows_and_does_not_depend_on_partitions(spark):
+    rng = random.Random(11)
+    days = [(float(d % 2), rng.random() * 9) for d in range(12)]
+    data = [(i, *days[i % 12], "ab"[i % 2], days[i % 12][1] + rng.random()) for i in range(12 * 200)] + [(-1, None, 1.0, "a", 5.0), (-2, 1.0, 1.0, "a", None)]
+    rows = spark.createDataFrame(data, "k BIGINT, flag DOUBLE, Warm DOUBLE, kind STRING, y DOUBLE")
+    indexed = ft.index_categories(rows, ["kind"]).fit(rows).transform(rows)
+    names = ["flag", "warm", "kind_indexed"]
+    points = tr._points(indexed, names, "y", "k")
+    found = points.groupBy("Warm").agg({"*": "count", "_weight": "sum"}).collect()
+    assert len(found) == 12 and all(row["sum(_weight)"] == 200 and row["count(1)"] <= tr.BUNDLES for row in found)
+    assert points.selectExpr("sum(y * _weight)").first()[0] == pytest.approx(sum(d[4] for d in data[:-2]))
+    scored = []
+    for n in (1, 7):
+        model = tr.train_random_forest(indexed.repartition(n), names, "y", trees=5, depth=4, key="k")
+        scored.append([r.prediction for r in tr.predict(model, indexed.where("k >= 0")).orderBy("k").collect()])
+    assert scored[0] == pytest.approx(scored[1], abs=1e-9)
+    assert points.schema["kind_indexed"].metadata["ml_attr"]["type"] == "nominal"

@@ -41,7 +41,7 @@ def with_step(rows: DataFrame) -> DataFrame:
 def step_forest(t: Tables):
     rows = with_step(feature_rows(t))
     train, test = split(rows, [0.8, 0.2], "split_key")
-    return tr.train_random_forest(train, lookups.FORECAST_FEATURES, "energy_mean", TREES), rows, test
+    return tr.train_random_forest(train, lookups.FORECAST_FEATURES, "energy_mean", TREES, key="split_key"), rows, test
 
 
 HELD_OUT = step_sql('SELECT "LCLid", day, step AS energy_mean, step AS prediction FROM steps WHERE held_out')

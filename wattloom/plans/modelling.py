@@ -56,7 +56,7 @@ def train_and_evaluate(
     """
     known = drop_null(rows, label)
     train, test = split(known, weights, key, seed)
-    model = train_random_forest(train, features, label, trees, depth, seed)
+    model = train_random_forest(train, features, label, trees, depth, seed, key)
     if model_path:
         save_model(model, model_path)
     complete = test.na.drop(subset=resolve_columns(test, features))
@@ -101,7 +101,7 @@ def screen_features(
     indexed = index_categories(labelled, names).fit(labelled).transform(labelled)
     features = [*resolve_columns(rows, numeric), *[f"{c}_indexed" for c in names]]
     train, _ = split(indexed, (0.8, 0.2), key, seed)
-    model = train_random_forest(train, features, label, trees, depth, seed)
+    model = train_random_forest(train, features, label, trees, depth, seed, key)
     others = [c for c in numeric_columns(rows) if c not in (label, key)]
     return Screening(
         corr_with_target(rows, others, label), feature_importance(model, indexed), model
