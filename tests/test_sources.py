@@ -64,6 +64,19 @@ def test_partitioned_parquet_and_keyed_csv(spark, table, tmp_path):
     assert values(readers.read_csv(spark, str(tmp_path / "c"), "v INT, k STRING").select("k", "v")) == values(df)
 
 
+def test_csv_by_key_uses_every_core_and_splits_long_keys(spark, tmp_path, monkeypatch):
+    df = spark.range(400).selectExpr("cast(id AS INT) AS v", "concat('k', id % 40) AS k")
+    writers.write_csv_by_key(df, str(tmp_path / "short"), "k")
+    files = _files(tmp_path / "short", ".csv")
+    assert len(files) == 40 and len({f.split("-")[1] for f in files}) > 2
+    monkeypatch.setattr(writers, "FILE_ROWS", 100)
+    skewed = df.selectExpr("v", "if(v < 350, 'long', if(v < 375, k, null)) AS k")
+    writers.write_csv_by_key(skewed, str(tmp_path / "long"), "k")
+    by_key = {d: len(_files(tmp_path / "long" / d, ".csv")) for d in os.listdir(tmp_path / "long") if "=" in d}
+    assert by_key.pop("k=long") > 1 and set(by_key.values()) == {1}
+    assert values(readers.read_csv(spark, str(tmp_path / "long"), "v INT, k STRING").select("k", "v")) == values(skewed, "k", "v")
+
+
 def test_csv_is_part_files_at_any_size(spark, table, tmp_path):
     writers.write_csv(table("v INT", (1,), (2,), (3,)).repartition(3), str(tmp_path / "small"))
     many = spark.range(0, 100_001, 1, 3).selectExpr("cast(id AS INT) AS v")

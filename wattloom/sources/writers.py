@@ -11,6 +11,9 @@ from wattloom.operators.columns import quoted
 from wattloom.shared import scratch_path
 from wattloom.sources.files import join_files, part_files, remove_path
 
+#: Rows of one CSV file of a key, and files of one writing task.
+FILE_ROWS, TASK_FILES = 500_000, 500
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """Parquet, optionally in partition folders.
@@ -47,8 +50,22 @@ def write_single_csv(df: DataFrame, path: str, *order: str) -> None:
 
 
 def write_csv_by_key(df: DataFrame, path: str, key: str, mode: str = "overwrite") -> None:
-    """One CSV folder per key value; a key with very many rows is spread over several files."""
-    df.hint("rebalance", key).write.mode(mode).partitionBy(key).option("header", True).csv(path)
+    """One CSV folder per key value; a key with very many rows is spread over several files.
+
+    To open a file costs more than to fill it, so tasks are dealt by their number of files and not by bytes: a size would put the
+    folders of many short keys into few tasks.
+    """
+    counts = df.groupBy(F.col(quoted(key)).alias("_key")).agg(F.count(F.lit(1)).alias("_rows"))
+    parts = F.ceil(F.col("_rows") / F.lit(FILE_ROWS))
+    found = counts.agg(F.count(F.lit(1)).alias("keys"), F.max(parts).alias("most"), F.sum(parts).alias("files")).first()
+    tasks = max(df.sparkSession.sparkContext.defaultParallelism, -(-(found.files or 0) // TASK_FILES), found.most or 0)
+    dealt = df.repartition(tasks, quoted(key))
+    if (found.most or 0) > 1:
+        long = counts.where(parts > 1).select("_key", parts.alias("_parts"))
+        part = F.pmod(F.xxhash64(*[quoted(c) for c in df.columns]), F.coalesce("_parts", F.lit(1))).alias("_part")
+        known = df.join(long, F.col(quoted(key)).eqNullSafe(F.col("_key")), "left")
+        dealt = known.select(*[quoted(c) for c in df.columns], part).repartition(tasks, quoted(key), "_part").drop("_part")
+    dealt.write.mode(mode).partitionBy(key).option("header", True).csv(path)
 
 
 def write_text(df: DataFrame, path: str, column: str, mode: str = "overwrite") -> None:
