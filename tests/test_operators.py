@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import random
 from datetime import date, datetime, timedelta
 
@@ -312,6 +313,15 @@ def test_trend_interval(table):
     assert got[1] == (2, 5.0, None, None)
 
 
+def test_bootstrap_draws_convert_no_digits(spark):
+    df = spark.range(50).selectExpr("id AS k")
+    weighed = agg.bootstrap_weights(df, "k", 12, "w")
+    assert "conv(" not in plan_of(weighed)
+    for row in weighed.collect():
+        digits = [hashlib.md5(f"42:{b // 8}:{row.k}".encode()).hexdigest()[4 * (b % 8) :][:4] for b in range(12)]
+        assert row.w == [sum(int(d, 16) >= limit for limit in agg._POISSON) for d in digits]
+
+
 def test_bootstrap_interval_is_the_same_on_any_partitioning(spark):
     rng = random.Random(6)
     rows = [(i, i % 2, rng.gauss(i % 2, 1)) for i in range(800)] + [(9000, 2, 5.0), (9001, 3, None), (9002, None, 1.0)]

@@ -92,10 +92,18 @@ def bootstrap_weights(df: DataFrame, key: str, replicates: int, output: str, see
     One MD5 gives sixteen bits for each of eight replicates.
     """
     name = F.coalesce(F.col(quoted(key)).cast("string"), F.lit(""))
-    hashes = F.concat(*[F.md5(F.concat(F.lit(f"{seed}:{block}:"), name).cast("binary")) for block in range(-(-replicates // 8))])
-    digits = F.split(F.regexp_replace(hashes, "(.{4})", "$1 "), " ", replicates + 1)
-    draws = F.transform(F.slice(digits, 1, replicates), lambda four: F.conv(four, 16, 10).cast("int"))
-    return df.withColumn(output, F.transform(draws, lambda draw: sum(((draw >= F.lit(limit)).cast("int") for limit in _POISSON), F.lit(0))))
+    hashes = F.array(*[F.md5(F.concat(F.lit(f"{seed}:{block}:"), name).cast("binary")) for block in range(-(-replicates // 8))])
+    draws = F.flatten(F.transform(hashes, lambda h: F.array(*[F.substring(h, 4 * i + 1, 4) for i in range(8)])))
+    # Four hexadecimal digits in lower case stand in the order of their numbers, so none is converted.
+    limits = [f"{limit:04x}" for limit in _POISSON if limit < 65536]
+
+    def times(draw: Column) -> Column:
+        below = F.when(draw < limits[0], 0)
+        for k, limit in enumerate(limits[1:], 1):
+            below = below.when(draw < limit, k)
+        return below.otherwise(len(limits))
+
+    return df.withColumn(output, F.transform(F.slice(draws, 1, replicates), times))
 
 
 def bootstrap_mean_ci(
