@@ -184,6 +184,13 @@ def test_corr_of_a_constant_is_null(table):
     assert ordered == ["c", "b", "a"]
 
 
+def test_corr_of_a_constant_in_many_partitions_is_null(spark):
+    df = spark.range(0, 100_003, 1, 32).select(
+        F.lit(0.1).alias("a"), F.lit(30.0).alias("b"), (F.xxhash64("id") % 1000).cast("double").alias("x"), F.when(F.col("id") < 2, F.col("id") / 10.0).alias("few"))
+    got = {r.variable: r["corr"] for r in pr.corr_with_target(df, ["a", "b", "x", "few"], "x").collect()}
+    assert got["a"] is None and got["b"] is None and got["x"] == pytest.approx(1.0) and abs(got["few"]) == pytest.approx(1.0)
+
+
 def test_null_counts_and_shape(table):
     df = table("a INT, b STRING", (1, None), (None, None))
     assert values(pr.null_counts(df)) == [("a", 1), ("b", 2)]

@@ -81,9 +81,13 @@ def quartiles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def _pearson(a: Column, b: Column) -> Column:
-    """Pairwise-complete correlation; NULL when either side does not vary."""
+    """Pairwise-complete correlation; NULL when either side does not vary.
+
+    That is told by the extremes: merged partial means of equal values can differ in their last bit, and so leave a deviation above 0.
+    """
     a_pair, b_pair = F.when(b.isNotNull(), a), F.when(a.isNotNull(), b)
-    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(a_pair) * F.stddev_pop(b_pair))
+    varies = (F.min(a_pair) < F.max(a_pair)) & (F.min(b_pair) < F.max(b_pair))
+    return F.when(varies, F.try_divide(F.covar_pop(a, b), F.stddev_pop(a_pair) * F.stddev_pop(b_pair)))
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
