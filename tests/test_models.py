@@ -209,3 +209,28 @@ def test_forest_merges_equal_rows_and_does_not_depend_on_partitions(spark):
         scored.append([r.prediction for r in tr.predict(model, indexed.where("k >= 0")).orderBy("k").collect()])
     assert scored[0] == pytest.approx(scored[1], abs=1e-9)
     assert points.schema["kind_indexed"].metadata["ml_attr"]["type"] == "nominal"
+
+
+def test_boosting_merges_equal_rows_and_counts_them_in_its_nodes(spark, monkeypatch):
+    rng, given = random.Random(12), []
+    data = [(i, float(i % 6), float(i % 3), (i % 6) * 2.0 + rng.random()) for i in range(6 * 100)] + [(-1, None, 1.0, 5.0), (-2, 1.0, 1.0, None)]
+    rows = spark.createDataFrame(data, "k BIGINT, Warm DOUBLE, b DOUBLE, y DOUBLE")
+    pipeline = tr._pipeline
+
+    class Recorded:
+        def __init__(self, *parts):
+            self.stages = pipeline(*parts)
+
+        def fit(self, points):
+            given.append(points)
+            return self.stages.fit(points)
+
+    monkeypatch.setattr(tr, "_pipeline", Recorded)
+    model = tr.train_boosted_trees(rows, ["warm", "b"], "y", rounds=30, key="k")
+    found = given[0].groupBy("Warm").agg({"*": "count", "_weight": "sum"}).collect()
+    assert len(found) == 6 and all(row["sum(_weight)"] == 100 and row["count(1)"] <= tr.BOOSTED_BUNDLES for row in found)
+    means = {w: np.mean([d[3] for d in data[:-2] if d[1] == w]) for w in map(float, range(6))}
+    scored = tr.predict(model, rows.where("k >= 0")).select("Warm", "prediction").distinct().collect()
+    assert len(scored) == 6 and all(abs(r.prediction - means[r.Warm]) < 0.2 for r in scored)
+    few = tr.train_boosted_trees(rows.where("k BETWEEN 0 AND 8"), ["warm", "b"], "y", rounds=2, key="k")
+    assert all(tree.numNodes == 1 for tree in few.stages[-1].trees)
