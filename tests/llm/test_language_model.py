@@ -58,6 +58,28 @@ def test_ids_are_those_of_the_tokenizer():
     assert ids.tolist() == [i for e in expected for i in e] and sizes.tolist() == list(map(len, expected))
 
 
+def test_words_joined_for_the_tokenizer():
+    import pyarrow as pa
+
+    from wattloom.llm.text import Slice
+
+    cut = Slice(pa.array(["Ab cÉ", None, "\tZ\u00a0z  12"], pa.string()))
+    assert L.joined_words(cut, np.array([1, 0, 3, 2])) == " cÉ ab 12 z\u00a0z"
+
+
+def test_blocks_in_order_hear_the_same():
+    """Keys looked up once for two blocks, and a place without a target among the predicted."""
+    rng, n = np.random.default_rng(3), 64
+    model = L.Attention(n, members=8)
+    targets, inputs, first = L.blocks(rng.integers(0, n, 400), np.array([150, 1, 60, 189]), n)
+    before = inputs[np.maximum(np.arange(len(inputs)) - 1, 0)]
+    one, other = (model._hear(inputs[3:], before[3:], first[3:], in_order)[-1] for in_order in (False, True))
+    assert np.allclose(one, other, atol=1e-6)
+    h, flat = other.reshape(-1, other.shape[-1]), targets[3:].ravel()
+    log_p = model._predict(h, flat)[0]
+    assert (log_p[flat < 0] == 0).all() and np.allclose(log_p[flat >= 0], model._predict(h[flat >= 0], flat[flat >= 0])[0])
+
+
 @pytest.fixture(scope="module")
 def trained():
     ids, sizes = windows([prose(i, 150, 80) for i in range(60)])

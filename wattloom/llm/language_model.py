@@ -32,6 +32,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,13 +49,28 @@ RATE, LAST_RATE = 0.01, 0.002  # of the first and the last round
 SINGLE, SHARED = 960, 64  # classes of one id, and of many
 MEMBERS = 32  # classes of a group
 BLOCK, WIDTH = 16, 16
-_AT_ONCE = 1024  # blocks of a batch
+_AT_ONCE = 2048  # blocks of a batch
+_TOGETHER = 1024  # targets of a group that are predicted together
 _SUMMING = 16
 _CACHED_WORDS = 600_000
 _LARGEST = 60.0  # of a logit, so that sums of exponentials need no shift
 END_WORD = np.uint64(0x243F6A8885A308D3)  # stands for the end among word hashes
 
 
+_lower = np.arange(256, dtype=np.uint8)
+_lower[65:91] += 32
+
+
+def joined_words(words: Slice, which: np.ndarray) -> str:
+    """Some words, A-Z in lower case, each with a blank before it."""
+    starts, sizes = words.starts[which], words.ends[which] - words.starts[which]
+    ends = np.cumsum(sizes + 1)
+    out = np.full(int(ends[-1]), 0x20, np.uint8)
+    within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    out[np.repeat(ends - sizes, sizes) + within] = _lower[words.bytes[np.repeat(starts, sizes) + within]]
+    return out.tobytes().decode()
+
+
 class Encoder:
     """Subword ids of whole slices; words not met before are encoded together, and remembered."""
 
@@ -64,33 +80,34 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[int, int] = {}
+        self.keys, self.places = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self.ids, self.begins, self.sizes = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def _pieces(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of some words, and how many each has. A blank starts a token, so joined words fall apart again there; where blanks of
-        other kinds in a word hide that, the words are encoded one by one."""
-        ids = np.array(self.bpe.encode_ordinary(" " + " ".join(texts)), np.int32)
+    def _pieces(self, joined: str, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of ``n`` words with a blank before each, and how many each has. A blank starts a token, so joined words fall apart again
+        there; where blanks of other kinds in a word hide that, the words are encoded one by one."""
+        ids = np.array(self.bpe.encode_ordinary(joined), np.int32)
         starts = np.flatnonzero(self.starts_word[ids])
-        if len(starts) == len(texts):
+        if len(starts) == n:
             return ids, np.diff(np.append(starts, len(ids)))
-        each = [self.bpe.encode_ordinary(" " + t) for t in texts]
+        each = [self.bpe.encode_ordinary(" " + t) for t in joined[1:].split(" ")]
         sizes = np.fromiter(map(len, each), np.int64, len(each))
         return np.fromiter(chain.from_iterable(each), np.int32, int(sizes.sum())), sizes
 
     def __call__(self, words: Slice, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids with an end after each row, and the number of ids of each row."""
         distinct, first, at = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.known) > _CACHED_WORDS:
+        if len(self.keys) > _CACHED_WORDS:
             self._forget()
-        find = self.known.get
-        place = np.array([find(key, -1) for key in distinct.tolist()], np.int64)
+        found = np.searchsorted(self.keys, distinct)
+        place = np.append(self.places, -1)[found]
+        place[np.append(self.keys, 0)[found] != distinct] = -1
         new = np.flatnonzero(place < 0)
         if len(new):
-            found = [self._pieces([words.word(i).lower().decode() for i in first[new[a : a + 4096]].tolist()]) for a in range(0, len(new), 4096)]
-            ids, sizes = (np.concatenate(x) for x in zip(*found))
-            place[new] = np.arange(len(new)) + len(self.known)
-            self.known.update(zip(distinct[new].tolist(), place[new].tolist()))
+            pieces = [self._pieces(joined_words(words, first[some]), len(some)) for some in np.split(new, range(4096, len(new), 4096))]
+            ids, sizes = (np.concatenate(x) for x in zip(*pieces))
+            place[new] = np.arange(len(new)) + len(self.keys)
+            self.keys, self.places = np.insert(self.keys, found[new], distinct[new]), np.insert(self.places, found[new], place[new])
             self.begins = np.append(self.begins, np.cumsum(sizes) - sizes + len(self.ids))
             self.sizes, self.ids = np.append(self.sizes, sizes), np.append(self.ids, ids)
         n, begins = self.sizes[place][at] if len(at) else np.zeros(0, np.int64), self.begins[place] if len(at) else np.zeros(0, np.int64)
@@ -140,7 +157,7 @@ def blocks(classes: np.ndarray, sizes: np.ndarray, n_classes: int) -> tuple[np.n
     return targets.reshape(-1, BLOCK), inputs.reshape(-1, BLOCK), first
 
 
-_query, _key = np.arange(BLOCK)[:, None] + BLOCK, np.arange(2 * BLOCK)[None, :]
+_key, _query = np.arange(2 * BLOCK)[:, None], np.arange(BLOCK)[None, :] + BLOCK
 _distance = np.clip(_query - _key, 0, 2 * BLOCK - 1)
 _unseen = _key > _query
 
@@ -170,10 +187,13 @@ def keep_memory() -> None:
 
 def add_by_class(out: np.ndarray, classes: np.ndarray, values: np.ndarray) -> None:
     """Add each row of ``values`` to the row of ``out`` that its class names."""
-    order = np.argsort(classes.astype(np.int16), kind="stable")
-    in_order = classes[order]
-    starts = np.flatnonzero(np.concatenate([[True], in_order[1:] != in_order[:-1]]))
-    out[in_order[starts]] += np.add.reduceat(values[order], starts, axis=0)
+    cells = np.arange(out.size).reshape(out.shape).take(classes, axis=0)
+    out += np.bincount(cells.ravel(), values.ravel(), out.size).reshape(out.shape)
+
+
+def bounded(z: np.ndarray) -> np.ndarray:
+    """``z`` with its logits held within ``_LARGEST``; few are beyond, and to look costs less than to write."""
+    return np.clip(z, -_LARGEST, _LARGEST, out=z) if z.max() > _LARGEST or z.min() < -_LARGEST else z
 
 
 class Attention:
@@ -188,121 +208,134 @@ class Attention:
             "member": draw(groups, WIDTH, members), "member_bias": np.zeros((groups, members), np.float32),
         }
 
-    def _hear(self, inputs: np.ndarray, before: np.ndarray, first: np.ndarray) -> tuple:
+    def _hear(self, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, in_order: bool = False) -> tuple:
         """What is known at each place of (blocks, BLOCK) inputs, with the inputs of the block before (not seen where ``first``).
 
-        Inputs are few classes, so their products with the weights are looked up.
+        Inputs are few classes, so their products with the weights are looked up; ``in_order`` says that each block but the first has the
+        one above before it, so keys and values are looked up once for both. Attention has a row for each key and a column for each query,
+        and is divided by its sums last: every value has a 1 behind it that adds them up. So has what is known, for the biases.
         """
         w, scale = self.weights, np.float32(1 / np.sqrt(WIDTH))
-        seen = np.concatenate([before, inputs], axis=1)
-        own = np.concatenate([w["embed"] @ w["query"] * scale, w["embed"]], axis=1)[inputs]
-        others = np.concatenate([w["embed"] @ w["key"], w["embed"] @ w["value"]], axis=1)[seen]
-        q, k, v = own[..., :WIDTH], others[..., :WIDTH], others[..., WIDTH:]
-        a = q @ k.transpose(0, 2, 1)
-        np.clip(a, -_LARGEST, _LARGEST, out=a)
+        ones = np.ones((len(w["embed"]), 1), np.float32)
+        heard = np.concatenate([w["embed"] @ w["key"], w["embed"] @ w["value"], ones], axis=1)
+        if in_order:
+            seen = np.concatenate([before[:1], inputs])
+            others = sliding_window_view(heard.take(seen.ravel(), axis=0), 2 * BLOCK, axis=0)[::BLOCK].transpose(0, 2, 1)
+        else:
+            seen = np.concatenate([before, inputs], axis=1)
+            others = heard.take(seen, axis=0)
+        own = np.concatenate([w["embed"] @ w["query"] * scale, w["embed"], ones], axis=1).take(inputs, axis=0)
+        q, k, v, h = own[..., :WIDTH], others[..., :WIDTH], others[..., WIDTH:], own[..., WIDTH:]
+        a = k @ np.ascontiguousarray(q.transpose(0, 2, 1))
+        a = bounded(a)
         a += np.where(_unseen, np.float32(-1e9), w["near"][_distance])
-        a[first, :, :BLOCK] = -1e9
         np.exp(a, out=a)
-        a /= (a.reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, np.float32)).reshape(*a.shape[:2], 1)
-        return seen, q, k, v, a, own[..., WIDTH:] + a @ v
+        a[first, :BLOCK] = 0
+        o = a.transpose(0, 2, 1) @ v
+        share = 1 / o[..., WIDTH:]
+        o = o[..., :WIDTH] * share
+        h[..., :WIDTH] += o
+        return seen, q, k, v, a, share, o, h
 
     def _predict(self, h: np.ndarray, target: np.ndarray, sums: dict[str, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray | None]:
-        """log P of each target after ``h``; with ``sums`` also adds the gradients of -log P there, and returns those of ``h``."""
+        """log P of each target after ``h``, 0 for a target of -1; with ``sums`` also adds the gradients of -log P there, and returns those
+        of ``h`` (without its 1). Targets of a group are taken together, so that one product gives both steps of the softmax."""
         w = self.weights
-        members, rows = w["member"].shape[2], np.arange(len(h))
-        order = np.argsort((target // members).astype(np.int16), kind="stable")
-        h, target = h[order], target[order]
-        group, member = target // members, target % members
-
-        def chosen(z: np.ndarray, rows: np.ndarray, of: np.ndarray) -> np.ndarray:
-            """log P of the chosen ones; leaves probabilities less the choice in ``z`` where gradients are wanted."""
-            np.clip(z, -_LARGEST, _LARGEST, out=z)
-            picked = z[rows, of].astype(np.float64)
-            np.exp(z, out=z)
-            total = z @ np.ones(z.shape[1], np.float32)
-            if sums is not None:
-                z /= total[:, None]
-                z[rows, of] -= 1
-            return picked - np.log(total)
-
-        z = h @ w["group"]
-        z += w["group_bias"]
-        log_p = chosen(z, rows, group)
+        groups, members = w["member_bias"].shape
+        group = (target // members).astype(np.int16)
+        order = np.argsort(group, kind="stable")
+        h, member = h.take(order, axis=0), target.take(order) % members + groups
+        bounds = np.searchsorted(group.take(order), np.arange(groups + 1))
+        each = np.empty((groups + members, WIDTH + 1), np.float32)
+        each[:groups, :WIDTH], each[:groups, WIDTH] = w["group"].T, w["group_bias"]
+        step = np.repeat(np.eye(2, dtype=np.float32), [groups, members], axis=1)
+        log_p, rows = np.zeros(len(h)), np.arange(_TOGETHER)
         if sums is not None:
-            dh = z @ w["group"].T
-            sums["group"] += h.T @ z
-            sums["group_bias"] += z.sum(0)
-        bounds = np.searchsorted(group, np.arange(len(w["group_bias"]) + 1))
+            dh, by_group = np.zeros((len(h), WIDTH), np.float32), np.zeros((groups, WIDTH + 1))
         for g in np.flatnonzero(np.diff(bounds)).tolist():
-            here = slice(bounds[g], bounds[g + 1])
-            y = h[here] @ w["member"][g]
-            y += w["member_bias"][g]
-            log_p[here] += chosen(y, rows[: len(y)], member[here])
-            if sums is not None:
-                dh[here] += y @ w["member"][g].T
-                sums["member"][g] += h[here].T @ y
-                sums["member_bias"][g] += y.sum(0)
-        back = np.empty_like(order)
-        back[order] = rows
-        return log_p[back], None if sums is None else dh[back]
+            each[groups:, :WIDTH], each[groups:, WIDTH] = w["member"][g].T, w["member_bias"][g]
+            for a in range(bounds[g], bounds[g + 1], _TOGETHER):
+                here = slice(a, min(a + _TOGETHER, bounds[g + 1]))
+                z = bounded(each @ h[here].T)  # a column for each target
+                own = member[here], rows[: z.shape[1]]
+                picked = z[g] + z[own]
+                np.exp(z, out=z)
+                total = step @ z
+                log_p[here] = picked - np.log(total[0] * total[1])
+                if sums is not None:
+                    np.reciprocal(total, out=total)
+                    z[:groups] *= total[0]
+                    z[groups:] *= total[1]
+                    z[g] -= 1
+                    z[own] -= 1
+                    np.matmul(z.T, each[:, :WIDTH], out=dh[here])
+                    found = z @ h[here]
+                    by_group += found[:groups]
+                    sums["member"][g] += found[groups:, :WIDTH].T
+                    sums["member_bias"][g] += found[groups:, WIDTH]
+        if sums is not None:
+            sums["group"] += by_group[:, :WIDTH].T
+            sums["group_bias"] += by_group[:, WIDTH]
+        out = np.empty_like(log_p)
+        out[order] = log_p
+        if sums is None:
+            return out, None
+        back = np.empty_like(dh)
+        back[order] = dh
+        return out, back
 
     def log_probabilities(self, targets: np.ndarray, inputs: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log P of each target, in the targets' shape; 0 where there is none."""
         out = np.zeros(targets.shape)
         for a in range(0, len(targets), _AT_ONCE):
             part = slice(a, a + _AT_ONCE)
-            before = inputs[np.maximum(np.arange(a, a + len(targets[part])) - 1, 0)]
-            h = self._hear(inputs[part], before, first[part])[-1]
-            known = targets[part] >= 0
-            out[part][known] = self._predict(h[known], targets[part][known])[0]
+            h = self._hear(inputs[part], inputs[max(a - 1, 0) :][:1], first[part], True)[-1]
+            out[part] = self._predict(h.reshape(-1, WIDTH + 1), targets[part].ravel())[0].reshape(-1, BLOCK)
         return out
 
     def no_sums(self) -> dict[str, np.ndarray]:
-        """Sums over no windows: loss, targets and windows; gradients by class (of the residual, query, key and value) and of the other weights."""
-        like = {"told": (3,), "by_class": (len(self.weights["embed"]), 4 * WIDTH)}
-        like |= {name: self.weights[name].shape for name in ("near", "group", "group_bias", "member", "member_bias")}
-        return {name: np.zeros(shape) for name, shape in like.items()}
+        """Sums over no windows: loss, targets and windows; gradients of the weights."""
+        return {"told": np.zeros(3)} | {name: np.zeros(w.shape) for name, w in self.weights.items()}
 
     def add_gradients(
         self, sums: dict[str, np.ndarray], targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, in_order: bool = False
     ) -> None:
         """Add the gradients of the targets' -log P; ``in_order`` says that each block but the first has the one above before it.
 
-        Nothing is heard of the block before where ``first``, so its gradients are 0 there.
+        Nothing is heard of the block before where ``first``, so its gradients are 0 there. With ``in_order`` a place that is heard in its
+        own block and in the next has one row for both.
         """
-        seen, q, k, v, a, h = self._hear(inputs, before, first)
-        known = targets >= 0
-        log_p, d = self._predict(h[known], targets[known], sums)
-        sums["told"] += [-log_p.sum(), len(log_p), len(targets)]
-        dh = np.zeros_like(h)
-        dh[known] = d
-        da = dh @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
-        da -= ((da * a).reshape(-1, 2 * BLOCK) @ np.ones(2 * BLOCK, np.float32)).reshape(*a.shape[:2], 1)
+        w, n = self.weights, len(inputs)
+        seen, q, k, v, a, share, o, h = self._hear(inputs, before, first, in_order)
+        log_p, dh = self._predict(h.reshape(-1, WIDTH + 1), targets.ravel(), sums)
+        sums["told"] += [-log_p.sum(), np.count_nonzero(targets >= 0), n]
+        do = np.empty((n * BLOCK, WIDTH + 1), np.float32)
+        do[:, :WIDTH], do[:, WIDTH] = dh, (dh * o.reshape(-1, WIDTH)) @ np.full(WIDTH, -1, np.float32)
+        do = do.reshape(n, BLOCK, WIDTH + 1)
+        do *= share
+        da = v @ np.ascontiguousarray(do.transpose(0, 2, 1))
         da *= a
-        sums["near"] += np.bincount(_distance.ravel(), da.sum(0, dtype=np.float64).ravel(), 2 * BLOCK)
-        scale = np.float32(1 / np.sqrt(WIDTH))
-        parts = [dh, (da @ k) * scale, da.transpose(0, 2, 1) @ q, dv]  # q is scaled already
-        if in_order:  # a place is heard in its own block and in the next: one row for both
-            parts[2:], heard = [x[:, BLOCK:] for x in parts[2:]], [x[:, :BLOCK] for x in parts[2:]]
-            for own, later in zip(parts[2:], heard):
-                own[:-1] += later[1:]
-            rows = [(inputs, np.concatenate(parts, axis=2)), (before[:1], np.concatenate([np.zeros_like(dh[:1])] * 2 + [x[:1] for x in heard], axis=2))]
-        else:
-            zeros = np.zeros_like(dh)
-            rows = [(inputs, np.concatenate([*parts[:2], zeros, zeros], axis=2)), (seen, np.concatenate([np.zeros_like(dv)] * 2 + parts[2:], axis=2))]
-        for classes, values in rows:
-            add_by_class(sums["by_class"], classes.ravel(), values.reshape(-1, 4 * WIDTH))
+        sums["near"] += np.bincount(_distance.ravel(), np.ones(n, np.float32) @ da.reshape(n, -1), 2 * BLOCK)
+
+        def heard(x: np.ndarray) -> np.ndarray:
+            """A row for each of ``seen``: with ``in_order``, the sum of what a place's own block and the next hear of it."""
+            if in_order:
+                x, later = np.concatenate([x[:1, :BLOCK], x[:, BLOCK:]]), x[1:, :BLOCK]
+                x[1:-1] += later
+            return x.reshape(-1, WIDTH)
+
+        dq = (da.transpose(0, 2, 1) @ k).reshape(-1, WIDTH) * np.float32(1 / np.sqrt(WIDTH))
+        dk, dv = heard(da @ q), heard(a @ do[..., :WIDTH])  # q is scaled already
+        x, embed = w["embed"].take(seen.ravel(), axis=0), dk @ w["key"].T + dv @ w["value"].T
+        own = np.s_[BLOCK:] if in_order else np.arange(len(x)).reshape(n, -1)[:, BLOCK:].ravel()
+        for name, heard_by, d in (("query", x[own], dq), ("key", x, dk), ("value", x, dv)):
+            sums[name] += heard_by.T @ d
+        embed[own] += dh + dq @ w["query"].T
+        add_by_class(sums["embed"], seen.ravel(), embed)
 
     def gradients(self, sums: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
         """Gradients of the mean -log P over all targets that were summed."""
-        w, n = self.weights, max(1.0, sums["told"][1])
-        direct, *by_class = np.split(sums["by_class"], 4, axis=1)
-        by_class = dict(zip(("query", "key", "value"), by_class))
-        embed = direct + sum(g @ w[name].T for name, g in by_class.items())
-        found = {name: sums[name] for name in ("near", "group", "group_bias", "member", "member_bias")}
-        found |= {"embed": embed, **{name: w["embed"].T @ g for name, g in by_class.items()}}
-        return {name: (g / n) for name, g in found.items()}
+        return {name: sums[name] / max(1.0, sums["told"][1]) for name in self.weights}
 
     def train(self, targets: np.ndarray, inputs: np.ndarray, before: np.ndarray, first: np.ndarray, steps: int = 500, batch: int = 64, rate: float = 0.01, seed: int = 7) -> None:
         """Adam steps on random batches of windows, the rate falling to a tenth."""
@@ -452,8 +485,7 @@ def fit(texts: DataFrame, classes: Classes) -> tuple[Attention, int]:
                 targets, inputs, first = blocks(classes.of[ids], sizes, classes.n)
                 for a in range(0, len(targets), _AT_ONCE):
                     here = slice(a, a + _AT_ONCE)
-                    before = inputs[np.maximum(np.arange(a, a + len(targets[here])) - 1, 0)]
-                    model.add_gradients(sums, targets[here], inputs[here], before, first[here], True)
+                    model.add_gradients(sums, targets[here], inputs[here], inputs[max(a - 1, 0) :][:1], first[here], True)
             if sums["told"][1]:
                 flat = np.concatenate([g.ravel() for g in sums.values()])
                 yield pa.RecordBatch.from_arrays([pa.array([flat], pa.list_(pa.float64()))], ["total"])
