@@ -8,6 +8,8 @@ from datetime import datetime
 
 import pytest
 from conftest import values
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from wattloom import schemas, shared
@@ -77,6 +79,47 @@ def test_csv_by_key_uses_every_core_and_splits_long_keys(spark, tmp_path, monkey
     assert values(readers.read_csv(spark, str(tmp_path / "long"), "v INT, k STRING").select("k", "v")) == values(skewed, "k", "v")
 
 
+def _tree(path):
+    return {d: [sorted(open(os.path.join(at, f)).read().split("\n")) for f in names if f.endswith(".csv")]
+            for at, _, names in os.walk(path) if "=" in (d := os.path.basename(at))}
+
+
+def test_csv_by_key_has_the_folders_and_bytes_of_sparks_writer_and_is_read_by_path(spark, table, tmp_path):
+    df = table("`K y` STRING, v INT, `t, x` STRING, `d.d` DOUBLE", ("a", 1, "x,y", 1.5), ("a/b:c%{}[]^+ %2B", 2, 'q"u\\o', 1e-7), (None, 3, None, None),
+               ("ü =?*#'~ +", 4, " lead ", 1e20), ("a", 5, "line\nbreak", None), ("=", 6, "", -0.0))
+    spark_s, ours = str(tmp_path / "spark"), str(tmp_path / "ours")
+    df.repartition(1).write.partitionBy("K y").option("header", True).csv(spark_s)
+    for _ in range(2):  # the second replaces the first
+        writers.write_csv_by_key(df, ours, "K y")
+        assert _tree(ours) == _tree(spark_s) and len(_tree(ours)) == 5
+    assert sorted(os.listdir(tmp_path)) == ["ours", "spark"] and os.path.exists(f"{ours}/_SUCCESS")
+    schema = "v INT, `t, x` STRING, `d.d` DOUBLE"
+    got = readers.read_csv_by_key(spark, ours, schema, "K y")
+    assert got.columns == ["v", "t, x", "d.d", "K y"] and dict(values(got, "v", "`K y`")) == dict(values(df, "v", "`K y`"))
+    assert values(got) == values(readers.read_csv(spark, spark_s, f"{schema}, `K y` STRING", multiLine=True))
+    writers.write_csv_by_key(df, ours, "K y", "append")
+    assert readers.read_csv_by_key(spark, ours, schema, "K y").count() == 12
+    with pytest.raises(AnalysisException):
+        writers.write_csv_by_key(df, ours, "K y", "error")
+    alone = table("k INT, v STRING", (1, None), (2, "b"))
+    writers.write_csv_by_key(alone, ours, "k")  # a NULL alone has no line
+    assert values(readers.read_csv_by_key(spark, ours, "v STRING", "k", "int")) == [("b", 2)] and _tree(ours)["k=1"] == [["", "v"]]
+    writers.write_csv_by_key(alone.where("k > 2"), ours, "k")
+    assert readers.read_csv_by_key(spark, ours, "v STRING", "k", "int").count() == 0
+
+
+def test_csv_by_key_starts_no_process_for_a_file(spark, tmp_path, monkeypatch):
+    def refused(*_):
+        raise AssertionError("Hadoop's local file system creates these files, at four processes each")
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", refused)
+    writers.write_csv_by_key(spark.range(500).selectExpr("id AS v", "id AS k"), str(tmp_path / "c"), "k")
+    monkeypatch.undo()
+    # folders are no partitions: of those the driver's inference takes time by the square of their number
+    got = readers.read_csv_by_key(spark, str(tmp_path / "c"), "v BIGINT", "k", "bigint")
+    assert got.where("k = v").count() == 500 and "PartitionFilters: []" in got.where("k > 3")._jdf.queryExecution().toString()
+
+
 def test_csv_is_part_files_at_any_size(spark, table, tmp_path):
     writers.write_csv(table("v INT", (1,), (2,), (3,)).repartition(3), str(tmp_path / "small"))
     many = spark.range(0, 100_001, 1, 3).selectExpr("cast(id AS INT) AS v")

@@ -113,7 +113,7 @@ def x9(t: Tables) -> DataFrame:
     trained = modelling.train_and_evaluate(with_step(feature_rows(t)), trees=TREES)
     path = scratch_path(t.spark, "x9")
     modelling.export_actual_vs_predicted(trained, path, None)
-    exported = readers.read_csv(t.spark, path, "Date DATE, Actual DOUBLE, Predicted DOUBLE, LCLid STRING")
+    exported = readers.read_csv_by_key(t.spark, path, "Date DATE, Actual DOUBLE, Predicted DOUBLE", "LCLid")
     sums = exported.groupBy("LCLid").agg(F.count(F.lit(1)).alias("exported"), F.sum("Actual").alias("actual"), F.sum("Predicted").alias("predicted"))
     return sums.withColumn("predicted", r("predicted")).withColumn("rmse", trained.evaluation.select(r("rmse").alias("rmse")).scalar())
 

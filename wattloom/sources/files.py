@@ -13,6 +13,19 @@ def _place(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def local_path(spark: SparkSession, path: str) -> str | None:
+    """The plain path where ``path`` is on the local file system, else None."""
+    place, system = _place(spark, path)
+    where = system.makeQualified(place).toUri()
+    return where.getPath() if where.getScheme() == "file" else None
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file."""
+    place, system = _place(spark, path)
+    system.create(place, True).close()
+
+
 def part_files(spark: SparkSession, folder: str) -> list[str]:
     """The paths of a written folder's data files."""
     place, system = _place(spark, folder)

@@ -12,6 +12,8 @@ from wattloom import schemas
 from wattloom.functions.values import to_numeric
 
 LATIN_1 = "ISO-8859-1"
+#: What Spark names the folder of rows whose key has no value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_csv(
@@ -38,6 +40,20 @@ def read_csv_dir(spark: SparkSession, folder: str, schema: str | StructType, pat
     return read_csv(spark, folder, schema, pathGlobFilter=pattern)
 
 
+def read_csv_by_key(spark: SparkSession, path: str, schema: str | StructType, key: str, kind: str = "string", **options: str) -> DataFrame:
+    """The folders of ``write_csv_by_key`` as one table: the columns of ``schema``, then the key as ``kind``.
+
+    The key is taken from each file's path in the tasks. Spark's own inference of partitions keeps all folders in one list of the
+    driver, in time that grows with the square of their number. Files are read whole, since one that may be cut into splits
+    costs a copy of all settings, however short it is.
+    """
+    rows = read_csv(spark, path, schema, recursiveFileLookup=True, multiLine=True, **options)
+    plain = lambda text: F.url_decode(F.replace(text, F.lit("+"), F.lit("%2B")))
+    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)  # percent signs twice: of the path, and of Spark's folder names
+    value = plain(F.substring_index(plain(folder), "=", -1))
+    return rows.select("*", F.nullif(value, F.lit(NO_VALUE)).cast(kind).alias(key))
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
