@@ -7,7 +7,7 @@ import random
 
 import numpy as np
 import pytest
-from conftest import values
+from conftest import plan_of, values
 from pyspark.ml.functions import vector_to_array
 
 from wattloom.catalog import all_queries
@@ -234,3 +234,21 @@ def test_boosting_merges_equal_rows_and_counts_them_in_its_nodes(spark, monkeypa
     assert len(scored) == 6 and all(abs(r.prediction - means[r.Warm]) < 0.2 for r in scored)
     few = tr.train_boosted_trees(rows.where("k BETWEEN 0 AND 8"), ["warm", "b"], "y", rounds=2, key="k")
     assert all(tree.numNodes == 1 for tree in few.stages[-1].trees)
+
+
+def test_boosting_tasks_do_not_carry_the_plan_of_their_points(spark, rows, monkeypatch):
+    given, pipeline = [], tr._pipeline
+
+    class Recorded:
+        def __init__(self, *parts):
+            self.stages = pipeline(*parts)
+
+        def fit(self, points):
+            given.append(points)
+            return self.stages.fit(points)
+
+    monkeypatch.setattr(tr, "_pipeline", Recorded)
+    model = tr.train_boosted_trees(rows, ["x", "noise"], "energy_mean", rounds=3, key="split_key")
+    assert "Exchange" not in plan_of(given[0]) and "Scan parquet" not in plan_of(given[0])
+    dealt = tr._points(rows, ["x", "noise"], "energy_mean", "split_key", tr.BOOSTED_BUNDLES)
+    assert given[0].rdd.glom().collect() == dealt.rdd.glom().collect() and len(model.stages[-1].trees) == 3
